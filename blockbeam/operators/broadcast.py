@@ -1,0 +1,29 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a cheap, bounded check of its row count: the check
+job reads at most ``max_rows + 1`` rows, so it costs little even when the side
+turns out to be large. Above the bound the caller's shuffle plan is used instead
+(and AQE may still convert it at run time from measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Default bound for lookup tables keyed by time (one row per candle / per minute):
+# 10 years of one-minute candles is 5.3M rows, ~100 MB as (long, double) pairs.
+DEFAULT_MAX_ROWS = 6_000_000
+
+
+def fits(df: DataFrame, max_rows: int | None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
+    if max_rows is None:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Return ``(df_or_hinted_df, was_broadcast)``."""
+    if fits(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
