@@ -57,18 +57,8 @@ def except_rows(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.subtract(other)
 
 
-def ordinal(df: DataFrame, col: str, cut: int | None = None) -> DataFrame:
-    """WIN-6: 0-based ordinal of each distinct value of ``col``.
-
-    Computed as "number of distinct values below it": the distinct values are
-    range-partitioned and sorted by Spark, and each partition's offset comes from
-    a small per-partition count table, so no single task sees all values.
-    """
-    vals = df.select(F.col(col).alias("_v")).distinct().repartitionByRange("_v").sortWithinPartitions("_v")
-    with_pid = vals.withColumn("_pid", F.spark_partition_id())
-    counts = with_pid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window as W
-    offsets = counts.withColumn("_off", F.sum("_n").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)))
-    local = with_pid.withColumn("_i", F.row_number().over(W.partitionBy("_pid").orderBy("_v")) - 1)
-    out = local.join(F.broadcast(offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))), "_pid")
-    return out.select(F.col("_v").alias(col), (F.col("_i") + F.col("_off")).alias("ordinal"))
+def ordinal(df: DataFrame, col: str) -> DataFrame:
+    """WIN-6: 0-based ordinal of each distinct value of ``col`` (``zipWithIndex`` on
+    the sorted distinct values), via the distributed row index."""
+    from .windows import row_index
+    return row_index(df.select(col).distinct(), [col], "ordinal")
