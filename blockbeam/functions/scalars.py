@@ -145,3 +145,15 @@ def threshold_percent(c) -> Column:
 def csv_line(*cols) -> Column:
     """STR-5: interpolate columns into one comma-separated line."""
     return F.concat_ws(",", *[col_(c).cast("string") for c in cols])
+
+
+def interval_spine(df, start: str, end: str, step: int):
+    """DT-3: split ``[start, end]`` into ``ceil((end - start) / step)`` consecutive
+    windows of ``step`` seconds, the last one clipped to ``end``. Each row expands
+    to its own windows (an explode), so the work stays with the row's task."""
+    n = F.ceil((F.col(end) - F.col(start)) / F.lit(step)).cast("long")
+    idx = F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    out = df.select("*", F.explode(idx).alias("_i"))
+    return out.select(*df.columns, F.col("_i").cast("int").alias("i"),
+                      (F.col(start) + F.col("_i") * step).alias("seg_start"),
+                      F.least(F.col(start) + (F.col("_i") + 1) * step, F.col(end)).alias("seg_end"))
