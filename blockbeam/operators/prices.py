@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from .broadcast import DEFAULT_MAX_ROWS, fits
+from .broadcast import DEFAULT_MAX_ROWS, materialise
 
 MISSING_POLICIES = ("error", "drop", "null")
 
@@ -33,9 +33,9 @@ def with_prices(df: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *
     """
     if missing not in MISSING_POLICIES:
         raise ValueError(f"missing must be one of {MISSING_POLICIES}")
-    side = _price_side(candles, key_col, price_col)
+    side, n_side = materialise(_price_side(candles, key_col, price_col))
     names = list(offsets)
-    if fits(side, max_broadcast_rows):
+    if max_broadcast_rows is not None and n_side <= max_broadcast_rows:
         how = "inner" if missing == "drop" else "left"
         out = df
         for name in names:

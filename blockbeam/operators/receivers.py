@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.scalars import floor_time
-from .broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
+from .broadcast import DEFAULT_MAX_ROWS, bounded_broadcast, materialise
 from .prices import rise_flags, with_prices
 
 # Fixed values of the reference (parameters here):
@@ -117,7 +117,9 @@ def block_coverage(outs: DataFrame, scores: DataFrame, score_col: str = "r4",
     """
     scored = scores.select("receiver", F.col(score_col).cast("double").alias("_score")).filter(
         F.col("_score") >= F.lit(float(min(thresholds))))
-    scored_b, _ = bounded_broadcast(scored, max_broadcast_rows)
+    scored, n_scored = materialise(scored)
+    small = max_broadcast_rows is not None and n_scored <= max_broadcast_rows
+    scored_b = F.broadcast(scored) if small else scored
     pairs = outs.select("block_id", "time", "receiver").distinct()
     joined = pairs.join(scored_b, "receiver", "left")
     per_block = joined.groupBy("block_id", "time").agg(

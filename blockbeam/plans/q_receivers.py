@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import receivers as R
+from ..operators.broadcast import materialise
 from . import jobs as J
 from . import standins as S
 from .catalog import query
@@ -19,8 +20,10 @@ _FEAT = with_(OUTS, CANDLES, RAW, POP, HITS, FIRSTS, BLOCKS, FEATURES)
 
 
 def raw(spark, sf):
-    return J.receiver_raw(S.outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
-                          cut_index=S.RECEIVER_CUT_INDEX)
+    """JOB-2 output, materialised once (the reference writes it out as text)."""
+    r = J.receiver_raw(S.outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
+                       cut_index=S.RECEIVER_CUT_INDEX)
+    return materialise(r)[0]
 
 
 def train(spark, sf):
@@ -28,7 +31,8 @@ def train(spark, sf):
 
 
 def scores(spark, sf):
-    return J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS)
+    """JOB-3 output (one row per popular receiver), materialised once."""
+    return materialise(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS))[0]
 
 
 def features(spark, sf, version):
@@ -37,7 +41,8 @@ def features(spark, sf, version):
                             fanout_min=S.FANOUT_MIN, high_value=S.HIGH_VALUE, subsidy=S.SUBSIDY,
                             version=version)
     n_train = S.TRAIN_BLOCKS_V1 if version == 1 else S.TRAIN_BLOCKS_V2
-    return J.split_features(feat, n_train, S.VALID_BLOCKS)
+    # one row per block; materialised so the split's two cut subqueries read it once
+    return J.split_features(materialise(feat)[0], n_train, S.VALID_BLOCKS)
 
 
 @query("receiver_activity", with_(OUTS) + f"""
