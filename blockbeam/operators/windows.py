@@ -9,6 +9,9 @@
   time span no shorter than the frame; rows that fall inside the frame of the
   previous chunk's last rows are copied into that chunk as look-ahead, so every
   frame is complete inside one chunk and the window runs partitioned by chunk.
+  Frame sums are differences of two running sums, which Spark keeps
+  incrementally (a sliding RANGE frame would re-aggregate the whole frame each
+  time its lower end moves).
 * row-framed windows (WIN-4, WIN-5, WIN-7): equi-joins / aggregations on the row
   index (each row is fanned out to at most ``k`` neighbours).
 
@@ -79,32 +82,47 @@ def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Colum
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
+def _frame_sums(c: DataFrame, u: str, frame: int, exprs: dict[str, Column]) -> DataFrame:
+    """Σ of each expression over ``[u, u + frame)`` inside each chunk, as the
+    difference of two running sums (``u' < u + frame`` minus ``u' < u``). Both
+    frames have an unbounded lower end, so Spark evaluates them incrementally:
+    O(rows), however many rows a frame holds. Exact for integer/decimal inputs."""
+    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
+    before = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, -1)
+    return c.withColumns({
+        name: F.sum(e).over(upto_end) - F.coalesce(F.sum(e).over(before), F.lit(0).cast(DEC))
+        for name, e in exprs.items()})
+
+
 def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int, chunk: int) -> DataFrame:
     """WIN-1: slope of y against row position over the frame ``[u, u + frame)``
     walked latest-first (quirk Q8), i.e. ``regr_slope(y, -rn)``; NULL for a
     single-row frame. ``y_int`` is y scaled to an integer (e.g. cents)."""
     c = _chunked(df, u, frame, chunk)
     c = c.withColumn("_x", -F.row_number().over(W.partitionBy("_chunk").orderBy(u)).cast(DEC))
-    w = W.partitionBy("_chunk").orderBy(u).rangeBetween(0, frame - 1)
     y = F.col(y_int).cast(DEC)
-    c = c.withColumn("_slope", _slope(F.count(F.lit(1)).over(w), F.sum("_x").over(w), F.sum(y).over(w),
-                                      F.sum(F.col("_x") * y).over(w), F.sum(F.col("_x") * F.col("_x")).over(w)))
-    return c.filter("_own").drop("_chunk", "_own", "_x")
+    x = F.col("_x")
+    c = _frame_sums(c, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x})
+    c = c.withColumn("_slope", _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
+    return c.filter("_own").drop("_chunk", "_own", "_x", "_n", "_sx", "_sy", "_sxy", "_sxx")
 
 
 def rolling_sum_forward(df: DataFrame, u: str, y: str, frame: int, chunk: int, name: str = "rolling_sum") -> DataFrame:
-    """WIN-2: Σ y over ``[u, u + frame)``."""
+    """WIN-2: Σ y over ``[u, u + frame)`` (y integer or decimal for an exact sum)."""
     c = _chunked(df, u, frame, chunk)
-    w = W.partitionBy("_chunk").orderBy(u).rangeBetween(0, frame - 1)
-    return c.withColumn(name, F.sum(y).over(w)).filter("_own").drop("_chunk", "_own")
+    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
+    before = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, -1)
+    total = F.sum(y).over(upto_end) - F.coalesce(F.sum(y).over(before), F.lit(0))
+    return c.withColumn(name, total).filter("_own").drop("_chunk", "_own")
 
 
 def rolling_endpoint_slope(df: DataFrame, u: str, y: str, frame: int, chunk: int, span_seconds: float,
                            name: str = "endpoint_slope") -> DataFrame:
-    """WIN-3: (current value - latest value in ``[u, u + frame)``) / span."""
+    """WIN-3: (current value - latest value in ``[u, u + frame)``) / span. The latest
+    row of the frame is the last row with ``u' < u + frame`` (incremental frame)."""
     c = _chunked(df, u, frame, chunk)
-    w = W.partitionBy("_chunk").orderBy(u).rangeBetween(0, frame - 1)
-    c = c.withColumn(name, (F.col(y) - F.last(y).over(w)) / F.lit(float(span_seconds)))
+    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
+    c = c.withColumn(name, (F.col(y) - F.last(y).over(upto_end)) / F.lit(float(span_seconds)))
     return c.filter("_own").drop("_chunk", "_own")
 
 
