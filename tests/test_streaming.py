@@ -1,0 +1,32 @@
+import os
+
+from blockbeam.sources import blocks as B
+from blockbeam.streaming import ingest as S
+
+
+def _frame(p):
+    return B.BLOCK_MAGIC.to_bytes(4, "little") + len(p).to_bytes(4, "little") + p
+
+
+def test_stream_ingest_and_minute_activity(spark, tmp_out):
+    src = tmp_out("stream_src").removeprefix("file:")
+    os.makedirs(src)
+    txs = [{"txid": "", "outs": [{"amount_sat": 625000000 + 7, "script": "aa"}]},
+           {"txid": "", "outs": [{"amount_sat": 5, "script": "76a914" + "ab" * 20 + "88ac"}]}]
+    for i, t in enumerate((60, 90, 200)):
+        with open(f"{src}/f{i}.dat", "wb") as f:
+            f.write(_frame(B.encode_block(t, i, txs)))
+    out, ck = tmp_out("stream_out"), tmp_out("stream_ck")
+    q = S.stage_outputs(S.block_stream(spark, src), out, ck)
+    q.awaitTermination(120)
+    staged = spark.read.parquet(out)
+    assert staged.count() == 6
+    assert staged.filter("receiver = '" + "ab" * 20 + "'").count() == 3
+
+    q2 = (S.minute_activity(S.block_stream(spark, src), watermark="0 seconds").writeStream
+          .format("memory").queryName("minute_act").outputMode("complete")
+          .option("checkpointLocation", tmp_out("stream_ck2")).trigger(availableNow=True).start())
+    q2.awaitTermination(120)
+    rows = {r.t: r for r in spark.sql("SELECT * FROM minute_act").collect()}
+    assert rows[60].n_txns == 4 and rows[180].n_txns == 2
+    assert rows[60].fee_sat == 14
