@@ -74,11 +74,14 @@ def drop_first_tx(outs: DataFrame, positional: bool = False) -> DataFrame:
 
     ``positional``: ``tx_pos`` is a 0-based position, so a filter suffices.
     Otherwise the first order key per block is aggregated (one row per block,
-    partial aggregation) and joined back.
+    partial aggregation), materialised, and broadcast back after a size check.
     """
     if positional:
         return outs.filter(F.col("tx_pos") > 0)
-    first = outs.groupBy("block_id").agg(F.min("tx_pos").alias("_first_tx"))
+    from ..operators.broadcast import DEFAULT_MAX_ROWS, materialise
+    first, n_blocks = materialise(outs.groupBy("block_id").agg(F.min("tx_pos").alias("_first_tx")))
+    # one row per block: broadcast when within the bound, so the outputs are not shuffled
+    first = F.broadcast(first) if n_blocks <= DEFAULT_MAX_ROWS else first
     return outs.join(first, "block_id").filter(F.col("tx_pos") > F.col("_first_tx")).drop("_first_tx")
 
 

@@ -23,9 +23,7 @@ Each function has an SQL twin in ``plans.sqlviews`` used by the DuckDB oracle.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalars import epoch_micros, epoch_seconds, floor_time, seconds_to_ntz
 
@@ -54,12 +52,17 @@ def outputs(spark: SparkSession, sf_dir: str, receiver: str = "l_partkey") -> Da
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
+    # position of the output in its transaction: a window over one order's lines (at
+    # most seven); at scale it reuses the join's partitioning on the order key, and an
+    # integer position keeps every later min_by a hash aggregate
+    pos = F.row_number().over(Window.partitionBy("o_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
     return j.select(
         F.concat(F.col("time").cast("string"), F.lit("-"), F.col("o_orderstatus")).alias("block_id"),
         "time",
         F.col("o_orderkey").alias("txid"),
         F.col("o_orderkey").alias("tx_pos"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("out_pos"),
+        pos.alias("out_pos"),
         F.col("l_extendedprice").cast(T.DecimalType(18, 2)).alias("amount"),
         F.col(receiver).cast("string").alias("receiver"),
     )
