@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..ml import forest as M
+from ..operators.broadcast import materialise
 from ..operators.metrics import classification_metrics
 from . import standins as S
 from .catalog import query
@@ -54,7 +55,8 @@ def q_classification_metrics(spark, sf):
 
 
 def _splits(spark, sf, version):
-    return features(spark, sf, version).checkpoint(eager=True)
+    """The split feature table, materialised once per session (model keys share it)."""
+    return materialise(features(spark, sf, version))[0]
 
 
 @query("ml_assembled")
