@@ -5,13 +5,13 @@
   columns, number rows inside each partition (``monotonically_increasing_id``
   keeps the record number in its low bits), and add each partition's offset
   from a table of per-partition counts (one row per partition).
-* time-framed rolling windows (WIN-1..3): the series is cut into chunks of a fixed
-  time span no shorter than the frame; rows that fall inside the frame of the
-  previous chunk's last rows are copied into that chunk as look-ahead, so every
-  frame is complete inside one chunk and the window runs partitioned by chunk.
-  Frame sums are differences of two running sums, which Spark keeps
-  incrementally (a sliding RANGE frame would re-aggregate the whole frame each
-  time its lower end moves).
+* time-framed rolling windows (WIN-1..3): a frame sum is ``P(end) - P(start - 1)``
+  over global prefix sums in time order; each frame's end position is a prefix
+  count over frame ends merged with the row keys. Prefix sums are a distributed
+  scan (range partitions, running sums per partition, per-partition offsets), so
+  no task holds more than its share of rows however dense a time span is, and
+  the cost is linear in the rows (a sliding RANGE frame would re-aggregate the
+  whole frame each time its lower end moves).
 * row-framed windows (WIN-4, WIN-5, WIN-7): equi-joins / aggregations on the row
   index (each row is fanned out to at most ``k`` neighbours).
 
@@ -66,64 +66,100 @@ def lags(df: DataFrame, order_cols: Sequence[str], cols: Sequence[str], ks: Sequ
     return out.drop("_idx")
 
 
-def _chunked(df: DataFrame, u: str, frame: int, chunk: int) -> DataFrame:
-    """Tag rows with their chunk and add look-ahead copies for the previous chunk."""
-    if chunk < frame:
-        raise ValueError("chunk span must be at least the frame")
-    own = df.withColumn("_chunk", F.floor(F.col(u) / F.lit(chunk))).withColumn("_own", F.lit(True))
-    ahead = (own.filter(F.col(u) - F.col("_chunk") * F.lit(chunk) < F.lit(frame))
-             .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_own", F.lit(False)))
-    return own.unionByName(ahead)
+def prefix_sums(df: DataFrame, order_cols: Sequence[str], sums: Sequence[str], lasts: Sequence[str] = (),
+                num_partitions: int | None = None) -> DataFrame:
+    """Running values in the order of ``order_cols``: ``_P_<c>`` is the inclusive
+    running sum of each column in ``sums`` and the latest non-NULL value of each
+    column in ``lasts``.
+
+    Distributed scan: range-partition by the order (balanced by sampling; the order
+    columns must make rows unique so a hot value is split too), running values
+    inside each partition, then each partition's carry-in from a table with one row
+    per partition (broadcast)."""
+    n = num_partitions or _n_parts(df.sparkSession)
+    # range partitions by the order; the partition id is range-partitioned once more so
+    # the window below keeps one range partition per task (a hash of the id could put
+    # several into one task)
+    parted = (df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+              .repartitionByRange(n, "_pid"))
+    run = W.partitionBy("_pid").orderBy(*order_cols).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = parted.withColumns({**{f"_L_{c}": F.sum(c).over(run) for c in sums},
+                                **{f"_L_{c}": F.last(c, ignorenulls=True).over(run) for c in lasts}})
+    local = local.checkpoint(eager=True)
+    order = F.struct(*order_cols)
+    totals = local.groupBy("_pid").agg(*[F.sum(c).alias(f"_T_{c}") for c in sums],
+                                       *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_T_{c}")
+                                         for c in lasts])
+    before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_T_{c}").over(before), F.lit(0)).alias(f"_O_{c}")
+                                      for c in sums],
+                            *[F.last(f"_T_{c}", ignorenulls=True).over(before).alias(f"_O_{c}") for c in lasts])
+    out = local.join(F.broadcast(offsets), "_pid")
+    return out.select(*df.columns, *[(F.col(f"_L_{c}") + F.col(f"_O_{c}")).alias(f"_P_{c}") for c in sums],
+                      *[F.coalesce(F.col(f"_L_{c}"), F.col(f"_O_{c}")).alias(f"_P_{c}") for c in lasts])
+
+
+def frame_sums(df: DataFrame, u: str, frame: int, values: dict[str, Column],
+               lasts: Sequence[str] = ()) -> DataFrame:
+    """Σ of each value over the rows with ``u' in [u, u + frame)`` (``u`` unique), and
+    for each column in ``lasts`` its value on the latest row of the frame
+    (``<c>_frame_last``). ``values`` may use ``_i``, the row's global position.
+
+    One merged scan: every row appears once as itself (key ``u``) and once as the end
+    of its frame (key ``u + frame``, sorting before a row with the same key). The
+    running sums at a row, minus its own values, are the sums before its frame; at
+    its frame end they are the sums up to the frame's last row. The two halves meet
+    in a join on the row's unique position, so rows sharing a frame end (a dense
+    time span) never meet on one key."""
+    idx = row_index(df, [u], "_i")
+    data = idx.select(*df.columns, "_i", F.col(u).alias("_key"), F.lit(1).alias("_tag"),
+                      F.col("_i").alias("_ord"), *[e.alias(f"_v_{k}") for k, e in values.items()],
+                      *[F.col(c).alias(f"_y_{c}") for c in lasts])
+    types = dict(data.dtypes)
+    ends = idx.select((F.col(u) + F.lit(frame)).alias("_key"), F.lit(0).alias("_tag"), F.col("_i").alias("_ord"),
+                      *[F.lit(0).cast(types[f"_v_{k}"]).alias(f"_v_{k}") for k in values],
+                      *[F.lit(None).cast(types[f"_y_{c}"]).alias(f"_y_{c}") for c in lasts])
+    scan = prefix_sums(data.unionByName(ends, allowMissingColumns=True), ["_key", "_tag", "_ord"],
+                       [f"_v_{k}" for k in values], [f"_y_{c}" for c in lasts])
+    at_end = scan.filter(F.col("_tag") == 0).select(
+        F.col("_ord").alias("_i"), *[F.col(f"_P__v_{k}").alias(f"_E_{k}") for k in values],
+        *[F.col(f"_P__y_{c}").alias(f"{c}_frame_last") for c in lasts])
+    at_row = scan.filter(F.col("_tag") == 1).select(
+        *df.columns, "_i", *[(F.col(f"_P__v_{k}") - F.col(f"_v_{k}")).alias(f"_S_{k}") for k in values])
+    out = at_row.join(at_end, "_i")
+    return out.select(*df.columns, "_i", *[(F.col(f"_E_{k}") - F.col(f"_S_{k}")).alias(k) for k in values],
+                      *[f"{c}_frame_last" for c in lasts])
 
 
 def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Column:
+    """Least-squares slope from exact sums: one double division at the end."""
     num = (n.cast(DEC) * sxy - sx * sy).cast(DEC)
     den = (n.cast(DEC) * sxx - sx * sx).cast(DEC)
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-def _frame_sums(c: DataFrame, u: str, frame: int, exprs: dict[str, Column]) -> DataFrame:
-    """Σ of each expression over ``[u, u + frame)`` inside each chunk, as the
-    difference of two running sums (``u' < u + frame`` minus ``u' < u``). Both
-    frames have an unbounded lower end, so Spark evaluates them incrementally:
-    O(rows), however many rows a frame holds. Exact for integer/decimal inputs."""
-    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
-    before = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, -1)
-    return c.withColumns({
-        name: F.sum(e).over(upto_end) - F.coalesce(F.sum(e).over(before), F.lit(0).cast(DEC))
-        for name, e in exprs.items()})
-
-
-def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int, chunk: int) -> DataFrame:
+def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int) -> DataFrame:
     """WIN-1: slope of y against row position over the frame ``[u, u + frame)``
     walked latest-first (quirk Q8), i.e. ``regr_slope(y, -rn)``; NULL for a
     single-row frame. ``y_int`` is y scaled to an integer (e.g. cents)."""
-    c = _chunked(df, u, frame, chunk)
-    c = c.withColumn("_x", -F.row_number().over(W.partitionBy("_chunk").orderBy(u)).cast(DEC))
+    x = (-F.col("_i")).cast(DEC)
     y = F.col(y_int).cast(DEC)
-    x = F.col("_x")
-    c = _frame_sums(c, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x})
-    c = c.withColumn("_slope", _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
-    return c.filter("_own").drop("_chunk", "_own", "_x", "_n", "_sx", "_sy", "_sxy", "_sxx")
+    out = frame_sums(df, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x})
+    out = out.withColumn("_slope", _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
+    return out.drop("_i", "_n", "_sx", "_sy", "_sxy", "_sxx")
 
 
-def rolling_sum_forward(df: DataFrame, u: str, y: str, frame: int, chunk: int, name: str = "rolling_sum") -> DataFrame:
+def rolling_sum_forward(df: DataFrame, u: str, y: str, frame: int, name: str = "rolling_sum") -> DataFrame:
     """WIN-2: Σ y over ``[u, u + frame)`` (y integer or decimal for an exact sum)."""
-    c = _chunked(df, u, frame, chunk)
-    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
-    before = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, -1)
-    total = F.sum(y).over(upto_end) - F.coalesce(F.sum(y).over(before), F.lit(0))
-    return c.withColumn(name, total).filter("_own").drop("_chunk", "_own")
+    return frame_sums(df, u, frame, {name: F.col(y)}).drop("_i")
 
 
-def rolling_endpoint_slope(df: DataFrame, u: str, y: str, frame: int, chunk: int, span_seconds: float,
+def rolling_endpoint_slope(df: DataFrame, u: str, y: str, frame: int, span_seconds: float,
                            name: str = "endpoint_slope") -> DataFrame:
-    """WIN-3: (current value - latest value in ``[u, u + frame)``) / span. The latest
-    row of the frame is the last row with ``u' < u + frame`` (incremental frame)."""
-    c = _chunked(df, u, frame, chunk)
-    upto_end = W.partitionBy("_chunk").orderBy(u).rangeBetween(W.unboundedPreceding, frame - 1)
-    c = c.withColumn(name, (F.col(y) - F.last(y).over(upto_end)) / F.lit(float(span_seconds)))
-    return c.filter("_own").drop("_chunk", "_own")
+    """WIN-3: (current value - latest value in ``[u, u + frame)``) / span."""
+    fr = frame_sums(df, u, frame, {"_n": F.lit(1)}, lasts=[y])
+    return fr.withColumn(name, (F.col(y) - F.col(f"{y}_frame_last")) / F.lit(float(span_seconds))).drop(
+        "_i", "_n", f"{y}_frame_last")
 
 
 def rolling_slope_rows(df: DataFrame, order_cols: Sequence[str], x_int: str, y_int: str, rows: int,

@@ -24,20 +24,41 @@ def test_rolling_slope_matches_brute_force_and_chunking(spark):
         w = pdf[(pdf.u >= u) & (pdf.u < u + frame)]
         y = w.yc.to_numpy()[::-1]  # latest first
         want.append(np.polyfit(np.arange(len(y)), y, 1)[0] if len(y) > 1 else None)
-    for chunk in (frame, 3 * frame, 50 * frame):
-        got = {r.u: r._slope for r in Wn.rolling_slope_reversed(df, "u", "yc", frame, chunk).collect()}
+    for parts in (1, 3, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = {r.u: r._slope for r in Wn.rolling_slope_reversed(df, "u", "yc", frame).collect()}
         for u, w in zip(pdf.u, want):
             if w is None:
                 assert got[u] is None
             else:
                 assert abs(got[u] - w) < 1e-9 * max(1.0, abs(w))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_dense_span_is_not_one_task(spark):
+    # a third of the rows inside one second, the rest spread over days
+    rows = [(i, i % 97) for i in range(300)] + [(10 ** 9 + i * 10 ** 8, i % 89) for i in range(600)]
+    df = spark.createDataFrame(rows, "u long, yc long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        out = Wn.rolling_sum_forward(df, "u", "yc", 4 * 3600 * US)
+        sizes = [len(p) for p in out.rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # each task holds at most its share of the merged scan (2 x 900 rows / 8 tasks), so
+    # the 300 rows of the dense second are split across tasks
+    assert sum(sizes) == 900 and max(sizes) <= 240
+    got = {r.u: r.rolling_sum for r in out.collect()}
+    assert got[0] == sum(i % 97 for i in range(300)) + sum(i % 89 for i in range(600) if i * 10 ** 8 + 10 ** 9 < 4 * 3600 * US)
 
 
 def test_rolling_sum_and_endpoint(spark):
     pdf, df = _series(spark, 200)
     frame = 3600 * US
-    s = {r.u: r.rolling_sum for r in Wn.rolling_sum_forward(df, "u", "yc", frame, 2 * frame).collect()}
-    e = {r.u: r.endpoint_slope for r in Wn.rolling_endpoint_slope(df, "u", "yc", frame, 2 * frame, 3600.0).collect()}
+    s = {r.u: r.rolling_sum for r in Wn.rolling_sum_forward(df, "u", "yc", frame).collect()}
+    e = {r.u: r.endpoint_slope for r in Wn.rolling_endpoint_slope(df, "u", "yc", frame, 3600.0).collect()}
     for u in pdf.u:
         w = pdf[(pdf.u >= u) & (pdf.u < u + frame)]
         assert s[u] == w.yc.sum()
