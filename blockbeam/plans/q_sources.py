@@ -40,10 +40,30 @@ def _block_dir(spark, sf):
     return path
 
 
-@query("src_block_frames")
+def _varint_len(c: str) -> str:
+    return f"(CASE WHEN {c} < 253 THEN 1 WHEN {c} <= 65535 THEN 3 WHEN {c} <= 4294967295 THEN 5 ELSE 9 END)"
+
+
+# Expected payload sizes from the wire format: header 80, tx count, and per
+# transaction version 4 + one placeholder input (1 + 32 + 4 + 1 + 4) + output count
+# + outputs (8 + script length + script) + lock time 4; scripts are the receiver's bytes.
+_FRAMES_SQL = with_(OUTS) + f"""
+, tx AS (SELECT block_id, txid, count(*) AS n_out,
+                sum(8 + {_varint_len('length(receiver)')} + length(receiver)) AS out_bytes
+         FROM outs GROUP BY block_id, txid),
+blk AS (SELECT block_id, count(*) AS n_tx,
+               sum(4 + 42 + {_varint_len('n_out')} + out_bytes + 4) AS tx_bytes FROM tx GROUP BY block_id),
+sz AS (SELECT 80 + {_varint_len('n_tx')} + tx_bytes AS size FROM blk)
+SELECT count(*) AS n_frames, CAST(sum(size) AS BIGINT) AS payload_bytes,
+       CAST(min(size) AS BIGINT) AS min_size, CAST(max(size) AS BIGINT) AS max_size FROM sz"""
+
+
+@query("src_block_frames", _FRAMES_SQL)
 def q_src_block_frames(spark, sf):
-    """SRC-1: frames of the written block files (file, index, offset, size)."""
-    return B.read_block_frames(spark, _block_dir(spark, sf), glob="*.dat")
+    """SRC-1: the frames of the written block files (one per block), summarised."""
+    f = B.read_block_frames(spark, _block_dir(spark, sf), glob="*.dat")
+    return f.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("size").alias("payload_bytes"),
+                 F.min("size").alias("min_size"), F.max("size").alias("max_size"))
 
 
 @query("src_block_rows", with_(OUTS) + """
