@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import floor_time
 from ..operators import chain, prices, receivers as R, splits
+from ..operators.broadcast import materialise
 
 # Column names of the block feature table (fixed values: the reference's names).
 FEATURES_V1 = (
@@ -34,7 +35,9 @@ def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index:
                  missing: str = "drop") -> DataFrame:
     """JOB-2: coinbase dropped, Σ per (bucket, receiver), close at the bucket, and a
     train/test label cut at the (cut_index+1)-th distinct bucket."""
-    act = R.receiver_activity(chain.drop_first_tx(outs), grain)
+    # the activity table is the stage boundary (the reference writes it out): materialised
+    # once, it feeds both the cut subquery and the price lookup
+    act = materialise(R.receiver_activity(chain.drop_first_tx(outs), grain))[0]
     cutoff = splits.nth_key(act, "t", cut_index + 1)
     priced = prices.with_prices(act, candles, {"close": 0}, time_col="t", missing=missing)
     out = priced.select("t", "receiver", "n_txns", "amount", "close")

@@ -20,10 +20,9 @@ _FEAT = with_(OUTS, CANDLES, RAW, POP, HITS, FIRSTS, BLOCKS, FEATURES)
 
 
 def raw(spark, sf):
-    """JOB-2 output, materialised once (the reference writes it out as text)."""
-    r = J.receiver_raw(S.outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
-                       cut_index=S.RECEIVER_CUT_INDEX)
-    return materialise(r)[0]
+    """JOB-2 output: a broadcast price lookup and a label over the materialised activity."""
+    return J.receiver_raw(S.outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
+                          cut_index=S.RECEIVER_CUT_INDEX)
 
 
 def train(spark, sf):
