@@ -19,9 +19,16 @@ _HITS = with_(OUTS, CANDLES, RAW, POP, HITS)
 _FEAT = with_(OUTS, CANDLES, RAW, POP, HITS, FIRSTS, BLOCKS, FEATURES)
 
 
+def staged_outputs(spark, sf):
+    """The flat outputs staged once for the multi-pass jobs (decoded blocks would be
+    staged the same way): the coinbase table, the activity, the block summary and the
+    coverage pairs all read this copy."""
+    return materialise(S.outputs(spark, sf))[0]
+
+
 def raw(spark, sf):
     """JOB-2 output: a broadcast price lookup and a label over the materialised activity."""
-    return J.receiver_raw(S.outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
+    return J.receiver_raw(staged_outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
                           cut_index=S.RECEIVER_CUT_INDEX)
 
 
@@ -36,7 +43,7 @@ def scores(spark, sf):
 
 def features(spark, sf, version):
     sc = scores(spark, sf)
-    feat = J.block_features(S.outputs(spark, sf), sc, S.daily_candles(spark, sf), grain=S.GRAIN, hour=S.HOUR,
+    feat = J.block_features(staged_outputs(spark, sf), sc, S.daily_candles(spark, sf), grain=S.GRAIN, hour=S.HOUR,
                             fanout_min=S.FANOUT_MIN, high_value=S.HIGH_VALUE, subsidy=S.SUBSIDY,
                             version=version)
     n_train = S.TRAIN_BLOCKS_V1 if version == 1 else S.TRAIN_BLOCKS_V2
