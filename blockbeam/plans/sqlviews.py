@@ -31,14 +31,6 @@ CANDLES = f"""candles AS (
                CAST(count(*) AS DOUBLE) AS volume
         FROM orders GROUP BY 1))"""
 
-HOURLY = f"""hourly AS (
-  SELECT unix, low, high, open, close, volume, make_timestamp(unix * 1000000) AS date,
-         volume * close AS vol_fiat
-  FROM (SELECT {epoch('ts')} - {epoch('ts')} % 3600 AS unix, min(value) AS low, max(value) AS high,
-               arg_min(value, ts) AS open, arg_max(value, ts) AS close,
-               CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS volume
-        FROM events GROUP BY 1))"""
-
 # first output of each block = first output of its first transaction
 FIRSTS = """firsts AS (
   SELECT block_id, amount AS first_amount FROM (

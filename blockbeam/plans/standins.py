@@ -15,7 +15,7 @@ grows with them):
 * daily candle            -> per order date: low/high = min/max(o_totalprice),
                              open/close = price of the lowest/highest o_orderkey,
                              volume = number of orders, vol_fiat = volume * close
-* hourly candle, ticks    -> events: per hour of ``ts``, value as price, Σ value as volume
+* tick series            -> events: microseconds of ``ts`` (unique), value as y
 * "many outputs" / "high value" limits -> 4 outputs / amount 50,000
 
 Each function has an SQL twin in ``plans.sqlviews`` used by the DuckDB oracle.
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.scalars import epoch_micros, epoch_seconds, floor_time, seconds_to_ntz
+from ..functions.scalars import epoch_seconds, seconds_to_ntz
 
 GRAIN = 86400
 HOUR = 2 * 86400
@@ -82,25 +82,6 @@ def daily_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("volume") * F.col("close")).alias("vol_fiat"))
 
 
-def hourly_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candles from the events table: one row per hour with data."""
-    e = table(spark, sf_dir, "events").select(
-        floor_time(epoch_seconds("ts"), 3600).alias("unix"), epoch_micros("ts").alias("u"), "value")
-    c = e.groupBy("unix").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"),
-        F.min_by("value", "u").alias("open"), F.max_by("value", "u").alias("close"),
-        F.sum(F.col("value").cast(T.DecimalType(18, 2))).cast("double").alias("volume"))
-    return c.select("unix", "low", "high", "open", "close", "volume",
-                    seconds_to_ntz("unix").alias("date"),
-                    (F.col("volume") * F.col("close")).alias("vol_fiat"))
-
-
-def activity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tick series for rolling windows: (u microseconds, ts, y) from events."""
-    return table(spark, sf_dir, "events").select(
-        epoch_micros("ts").alias("u"), "ts", F.col("value").alias("y"))
-
-
 def hours(k: float) -> int:
     """Stand-in seconds for ``k`` hours."""
     return int(round(k * HOUR))

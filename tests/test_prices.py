@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from blockbeam.operators import prices as P
 from blockbeam.sources import candles as C

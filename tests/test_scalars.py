@@ -1,6 +1,5 @@
 import hashlib
 
-from pyspark.sql import functions as F
 
 from blockbeam.functions import scalars as X
 
