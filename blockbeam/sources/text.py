@@ -35,3 +35,16 @@ def read_activity_csv(spark: SparkSession, path: str, fmt: str = "yyyy-MM-dd HH:
         f"`{ACTIVITY_TIME_COLUMN}` string, `{ACTIVITY_COUNT_COLUMN}` long").csv(path)
     return df.select(F.to_timestamp_ntz(F.col(f"`{ACTIVITY_TIME_COLUMN}`"), F.lit(fmt)).alias("ts"),
                      F.col(f"`{ACTIVITY_COUNT_COLUMN}`").alias("n"))
+
+
+SCORE_FIELDS = ("receiver", "n", "amount", "r30", "r1", "r2", "r3", "r4")
+
+
+def read_score_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Score tuples with every field: (receiver, n, amount, r30, r1, r2, r3, r4),
+    one row per receiver (a receiver listed under several thresholds appears once)."""
+    inner = F.split(F.regexp_extract(F.col("value"), r"^\((.*)\)$", 1), ",")
+    rows = spark.read.text(path).select(
+        inner.getItem(0).alias("receiver"), inner.getItem(1).cast("long").alias("n"),
+        *[inner.getItem(i).cast("double").alias(c) for i, c in enumerate(SCORE_FIELDS) if i >= 2])
+    return rows.dropDuplicates(["receiver"])
