@@ -209,5 +209,6 @@ def write_block_files(blocks: DataFrame, path: str, n_files: int, magic: int = B
             fs.delete_file(tmp)
         yield pa.RecordBatch.from_pylist([{"file": final, "n_blocks": n_blocks, "n_bytes": n_bytes}])
 
-    return (blocks.select("time", "nonce", "txs").repartition(n_files, "time")
+    # round-robin: equal-sized files however blocks cluster in time
+    return (blocks.select("time", "nonce", "txs").repartition(n_files)
             .mapInArrow(write, "file string, n_blocks long, n_bytes long"))
