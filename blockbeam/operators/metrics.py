@@ -41,8 +41,8 @@ def classification_metrics(preds: DataFrame, prediction: str = "prediction", lab
                                        for n in names], "tp").alias("s"))
     folded = terms.agg(F.array_sort(F.collect_list("s")).alias("a"))
 
-    def ordered_sum(field):
-        return F.aggregate("a", F.lit(0.0), lambda acc, s: acc + s[field].cast("double"))
+    def ordered_sum(field):  # NULL when nothing was scored
+        return F.when(F.size("a") > 0, F.aggregate("a", F.lit(0.0), lambda acc, s: acc + s[field].cast("double")))
 
     overall = folded.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("metric"), (ordered_sum("tp") / total.cast("double")).alias("value")),

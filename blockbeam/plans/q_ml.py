@@ -40,9 +40,11 @@ SELECT metric, l AS label, value FROM m2
 UNION ALL
 SELECT 'accuracy', NULL, CAST(sum(tp) AS DOUBLE) / CAST((SELECT total FROM tot) AS DOUBLE) FROM m2
 UNION ALL
-SELECT 'weighted_' || k, NULL, list_reduce(list_prepend(0.0, list(v ORDER BY l)), lambda a, b: a + b) FROM (
-  SELECT l, k, v * CAST(cnt AS DOUBLE) / CAST((SELECT total FROM tot) AS DOUBLE) AS v
-  FROM m2 UNPIVOT (v FOR k IN (precision, recall, fpr, f1))) GROUP BY k"""
+SELECT 'weighted_' || names.k, NULL, w.v FROM (VALUES ('precision'), ('recall'), ('fpr'), ('f1')) names(k)
+LEFT JOIN (
+  SELECT k, list_reduce(list_prepend(0.0, list(v ORDER BY l)), lambda a, b: a + b) AS v FROM (
+    SELECT l, k, v * CAST(cnt AS DOUBLE) / CAST((SELECT total FROM tot) AS DOUBLE) AS v
+    FROM m2 UNPIVOT (v FOR k IN (precision, recall, fpr, f1))) GROUP BY k) w ON w.k = names.k"""
 
 
 @query("classification_metrics", _METRICS_SQL)
