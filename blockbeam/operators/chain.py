@@ -92,7 +92,7 @@ def tx_fanout(outs: DataFrame) -> DataFrame:
 
 
 def with_tx_fanout(outs: DataFrame) -> DataFrame:
-    """GetRawData's flat row: each output with its transaction's two fan-out counts."""
+    """Flat output rows of the receiver job: each output with its transaction's two fan-out counts."""
     return outs.join(tx_fanout(outs), "txid")
 
 

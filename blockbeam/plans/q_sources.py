@@ -240,7 +240,7 @@ def _write_named_csvs(df, path, suffix):
         frames = [b.to_pandas() for b in batches]
         import pandas as pd
         pdf = pd.concat(frames) if frames else pd.DataFrame(columns=cols)
-        with fs.open_output_stream(f"{root}/Coinbase_BTCUSD_iter{pid}{suffix}") as out:
+        with fs.open_output_stream(f"{root}/candles_iter{pid}{suffix}") as out:
             out.write(pdf.to_csv(index=False).encode())
         yield pa.RecordBatch.from_pylist([{"n": len(pdf)}])
 
