@@ -38,6 +38,7 @@ def build_session(master: str | None = None, app: str = "blockbeam",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -65,3 +66,24 @@ def apply_core_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static confs on a session someone else built
             pass
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``blockbeam`` importable on the Python workers (the UDF and mapInArrow
+    steps reference its functions): zip the package once per SparkContext and add it
+    with ``addPyFile``, as ``spark-submit --py-files`` would."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_blockbeam_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="blockbeam-pyfiles-"), "blockbeam.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._blockbeam_shipped = True
