@@ -17,18 +17,20 @@ from pyspark.sql import DataFrame, functions as F
 # 10 years of one-minute candles is 5.3M rows, ~100 MB as (long, double) pairs.
 DEFAULT_MAX_ROWS = 6_000_000
 
-_MATERIALISED: dict[tuple[str, int], tuple[DataFrame, int]] = {}
+_MATERIALISED: dict[tuple[str, int], list] = {}
 
 
-def materialise(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` once per (session, plan) and return it with its row count."""
+def materialise(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
+    """Checkpoint ``df`` once per (session, plan) and return it with its row count
+    (counted only when asked for: a size check needs it, a stage boundary does not)."""
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
     hit = _MATERIALISED.get(key)
     if hit is None:
-        done = df.checkpoint(eager=True)
-        hit = (done, done.count())
+        hit = [df.checkpoint(eager=True), None]
         _MATERIALISED[key] = hit
-    return hit
+    if count and hit[1] is None:
+        hit[1] = hit[0].count()
+    return hit[0], hit[1]
 
 
 def fits(df: DataFrame, max_rows: int | None) -> bool:

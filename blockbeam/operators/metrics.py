@@ -19,7 +19,7 @@ def classification_metrics(preds: DataFrame, prediction: str = "prediction", lab
     from .broadcast import materialise
     cm = preds.select(F.col(prediction).cast("double").alias("p"), F.col(label).cast("double").alias("l")) \
         .groupBy("p", "l").agg(F.count(F.lit(1)).alias("n"))
-    cm = materialise(cm)[0]  # labels x predictions rows, read by every branch below
+    cm = materialise(cm, count=False)[0]  # labels x predictions rows, read by every branch below
     by_label = cm.groupBy("l").agg(F.sum("n").alias("cnt"), F.sum(F.when(F.col("p") == F.col("l"), F.col("n"))
                                                                    .otherwise(0)).alias("tp"))
     fp = cm.filter(F.col("p") != F.col("l")).groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("fp"))

@@ -37,7 +37,7 @@ def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index:
     train/test label cut at the (cut_index+1)-th distinct bucket."""
     # the activity table is the stage boundary (the reference writes it out): materialised
     # once, it feeds both the cut subquery and the price lookup
-    act = materialise(R.receiver_activity(chain.drop_first_tx(outs), grain))[0]
+    act = materialise(R.receiver_activity(chain.drop_first_tx(outs), grain), count=False)[0]
     cutoff = splits.nth_key(act, "t", cut_index + 1)
     priced = prices.with_prices(act, candles, {"close": 0}, time_col="t", missing=missing)
     out = priced.select("t", "receiver", "n_txns", "amount", "close")

@@ -36,7 +36,7 @@ DEFAULTS = dict(grain=60, hour=3600, receiver_cut_index=3999, train_v1=3800, tra
 def outputs(spark: SparkSession, a) -> DataFrame:
     """Decoded blocks -> flat outputs with receiver keys, staged once."""
     blocks = B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad)
-    return materialise(chain.explode_outputs(blocks))[0]
+    return materialise(chain.explode_outputs(blocks), count=False)[0]
 
 
 def candles(spark: SparkSession, a) -> DataFrame:
@@ -65,7 +65,7 @@ def block_activity(spark, a) -> dict:
 def receiver_raw(spark, a) -> dict:
     outs = chain.explode_outputs(B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad),
                                  drop_first_tx=True)
-    act = materialise(R.receiver_activity(outs, a.grain))[0]
+    act = materialise(R.receiver_activity(outs, a.grain), count=False)[0]
     cut = splits.nth_key(act, "t", a.receiver_cut_index + 1)
     priced = prices.with_prices(act, candles(spark, a), {"close": 0}, time_col="t", missing=a.missing)
     rows = splits.temporal_split(priced.select("t", "receiver", "n_txns", F.col("amount").cast("double"), "close"),
@@ -92,7 +92,7 @@ def block_features(spark, a) -> dict:
                             fanout_min=a.fanout_min, high_value=a.high_value, subsidy=a.subsidy,
                             version=a.version, missing=a.missing)
     n_train = a.train_v1 if a.version == 1 else a.train_v2
-    split = J.split_features(materialise(feat)[0], n_train, a.valid)
+    split = J.split_features(materialise(feat, count=False)[0], n_train, a.valid)
     Wr.write_parquet(split, f"{a.out}/block_features_v{a.version}", partition_by=["split"])
     return {r.split: r["count"] for r in split.groupBy("split").count().collect()}
 

@@ -58,7 +58,7 @@ def q_classification_metrics(spark, sf):
 
 def _splits(spark, sf, version):
     """The split feature table, materialised once per session (model keys share it)."""
-    return materialise(features(spark, sf, version))[0]
+    return materialise(features(spark, sf, version), count=False)[0]
 
 
 @query("ml_assembled")

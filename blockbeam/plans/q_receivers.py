@@ -23,7 +23,7 @@ def staged_outputs(spark, sf):
     """The flat outputs staged once for the multi-pass jobs (decoded blocks would be
     staged the same way): the coinbase table, the activity, the block summary and the
     coverage pairs all read this copy."""
-    return materialise(S.outputs(spark, sf))[0]
+    return materialise(S.outputs(spark, sf), count=False)[0]
 
 
 def raw(spark, sf):
@@ -38,7 +38,8 @@ def train(spark, sf):
 
 def scores(spark, sf):
     """JOB-3 output (one row per popular receiver), materialised once."""
-    return materialise(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS))[0]
+    return materialise(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS),
+                       count=False)[0]
 
 
 def features(spark, sf, version):
@@ -48,7 +49,7 @@ def features(spark, sf, version):
                             version=version)
     n_train = S.TRAIN_BLOCKS_V1 if version == 1 else S.TRAIN_BLOCKS_V2
     # one row per block; materialised so the split's two cut subqueries read it once
-    return J.split_features(materialise(feat)[0], n_train, S.VALID_BLOCKS)
+    return J.split_features(materialise(feat, count=False)[0], n_train, S.VALID_BLOCKS)
 
 
 @query("receiver_activity", with_(OUTS) + f"""
