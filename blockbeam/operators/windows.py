@@ -17,7 +17,7 @@
 
 Regression slopes use exact integer sums (x and y scaled to integers, DECIMAL(38,0)
 accumulation) and one final double division, so they do not depend on how rows
-were chunked or summed.
+were partitioned or summed.
 """
 
 from __future__ import annotations

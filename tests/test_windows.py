@@ -16,7 +16,7 @@ def _series(spark, n=400, seed=3):
         pd.DataFrame({"u": u, "yc": y}), "u long, yc long")
 
 
-def test_rolling_slope_matches_brute_force_and_chunking(spark):
+def test_rolling_slope_matches_brute_force_at_any_partitioning(spark):
     pdf, df = _series(spark)
     frame = 4 * 3600 * US
     want = []
