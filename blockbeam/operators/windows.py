@@ -56,14 +56,16 @@ def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
 
 
 def lags(df: DataFrame, order_cols: Sequence[str], cols: Sequence[str], ks: Sequence[int]) -> DataFrame:
-    """WIN-4: ``lag(c, k)`` for each column and k, by equi-joins on the row index."""
+    """WIN-4: ``lag(c, k)`` for each column and k. On the row index, every row sends
+    its values to the rows ``k`` positions later (a fan-out of ``len(ks)``), one
+    aggregation per receiving row collects them, and one join brings them back."""
     idx = row_index(df, order_cols, "_idx")
-    out = idx
-    for k in ks:
-        prev = idx.select((F.col("_idx") + F.lit(k)).alias("_idx"),
-                          *[F.col(c).alias(f"{c}_lag{k}") for c in cols])
-        out = out.join(prev, "_idx", "left")
-    return out.drop("_idx")
+    ks = list(ks)
+    sends = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("_idx") + F.lit(k)).alias("to")) for k in ks]))
+    sent = idx.select(sends.alias("_s"), *cols).select(F.col("_s.to").alias("_idx"), F.col("_s.k").alias("_k"), *cols)
+    got = sent.groupBy("_idx").agg(*[F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"{c}_lag{k}")
+                                     for k in ks for c in cols])
+    return idx.join(got, "_idx", "left").drop("_idx")
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sums: Sequence[str], lasts: Sequence[str] = (),
