@@ -88,8 +88,13 @@ def _hash160_hex(hex_str: str | None) -> str | None:
 
 @F.pandas_udf(T.StringType())
 def hash160_hex(s: pd.Series) -> pd.Series:
-    """RIPEMD160(SHA256(bytes)) of a hex string, as lowercase hex."""
-    return s.map(_hash160_hex)
+    """RIPEMD160(SHA256(bytes)) of a hex string, as lowercase hex. Only non-NULL
+    entries (the scripts that reach the hash branch) are hashed."""
+    out = pd.Series([None] * len(s), index=s.index, dtype=object)
+    mask = s.notna()
+    if mask.any():
+        out[mask] = s[mask].map(_hash160_hex)
+    return out
 
 
 def receiver_key(script, strict: bool = False) -> Column:
