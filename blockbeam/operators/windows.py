@@ -102,7 +102,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sums: Sequence[str], l
 
 
 def frame_sums(df: DataFrame, u: str, frame: int, values: dict[str, Column],
-               lasts: Sequence[str] = ()) -> DataFrame:
+               lasts: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> DataFrame:
     """Σ of each value over the rows with ``u' in [u, u + frame)`` (``u`` unique), and
     for each column in ``lasts`` its value on the latest row of the frame
     (``<c>_frame_last``). ``values`` may use ``_i``, the row's global position.
@@ -112,8 +112,9 @@ def frame_sums(df: DataFrame, u: str, frame: int, values: dict[str, Column],
     running sums at a row, minus its own values, are the sums before its frame; at
     its frame end they are the sums up to the frame's last row. The two halves meet
     in a join on the row's unique position, so rows sharing a frame end (a dense
-    time span) never meet on one key."""
-    idx = row_index(df, [u], "_i")
+    time span) never meet on one key. Rows with equal ``u`` are ordered by ``tiebreak``;
+    each such row's frame starts at its own position (it sees the tied rows after it)."""
+    idx = row_index(df, [u, *tiebreak], "_i")
     data = idx.select(*df.columns, "_i", F.col(u).alias("_key"), F.lit(1).alias("_tag"),
                       F.col("_i").alias("_ord"), *[e.alias(f"_v_{k}") for k, e in values.items()],
                       *[F.col(c).alias(f"_y_{c}") for c in lasts])
@@ -140,13 +141,14 @@ def _slope(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column) -> Colum
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int) -> DataFrame:
+def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int, tiebreak: Sequence[str] = ()) -> DataFrame:
     """WIN-1: slope of y against row position over the frame ``[u, u + frame)``
     walked latest-first (quirk Q8), i.e. ``regr_slope(y, -rn)``; NULL for a
     single-row frame. ``y_int`` is y scaled to an integer (e.g. cents)."""
     x = (-F.col("_i")).cast(DEC)
     y = F.col(y_int).cast(DEC)
-    out = frame_sums(df, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x})
+    out = frame_sums(df, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x},
+                     tiebreak=tiebreak)
     out = out.withColumn("_slope", _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
     return out.drop("_i", "_n", "_sx", "_sy", "_sxy", "_sxx")
 

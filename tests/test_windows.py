@@ -86,3 +86,16 @@ def test_row_index_lags_and_rows_slope(spark):
 def test_ordinal(spark):
     df = spark.createDataFrame([(t,) for t in (5, 3, 3, 9, 1)], "t long")
     assert [(r.t, r.ordinal) for r in Sp.ordinal(df, "t").orderBy("t").collect()] == [(1, 0), (3, 1), (5, 2), (9, 3)]
+
+
+def test_fixture_ties_follow_the_reversed_walk(spark):
+    # FIXTURES C "rolling": 1, 2, 4, 8, 16 at 00:00, 02:00, 04:00, 04:00, 05:00; walked latest-first
+    # the 4-hour windows are [16], [16,8], [16,8,4], [16,8,4,2], [2,1]
+    h = 3600 * US
+    rows = [(0, 0, 1), (1, 2 * h, 2), (2, 4 * h, 4), (3, 4 * h, 8), (4, 5 * h, 16)]
+    df = spark.createDataFrame(rows, "pos long, u long, yc long")
+    got = {r.yc: r._slope for r in Wn.rolling_slope_reversed(df, "u", "yc", 4 * h, tiebreak=["pos"]).collect()}
+    windows = {16: [16], 8: [16, 8], 4: [16, 8, 4], 2: [16, 8, 4, 2], 1: [2, 1]}
+    for y, w in windows.items():
+        want = np.polyfit(np.arange(len(w)), w, 1)[0] if len(w) > 1 else None
+        assert (got[y] is None) if want is None else abs(got[y] - want) < 1e-12, (y, got[y], want)
