@@ -153,15 +153,16 @@ def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int, tiebre
     return out.drop("_i", "_n", "_sx", "_sy", "_sxy", "_sxx")
 
 
-def rolling_sum_forward(df: DataFrame, u: str, y: str, frame: int, name: str = "rolling_sum") -> DataFrame:
+def rolling_sum_forward(df: DataFrame, u: str, y: str, frame: int, name: str = "rolling_sum",
+                        tiebreak: Sequence[str] = ()) -> DataFrame:
     """WIN-2: Σ y over ``[u, u + frame)`` (y integer or decimal for an exact sum)."""
-    return frame_sums(df, u, frame, {name: F.col(y)}).drop("_i")
+    return frame_sums(df, u, frame, {name: F.col(y)}, tiebreak=tiebreak).drop("_i")
 
 
 def rolling_endpoint_slope(df: DataFrame, u: str, y: str, frame: int, span_seconds: float,
-                           name: str = "endpoint_slope") -> DataFrame:
+                           name: str = "endpoint_slope", tiebreak: Sequence[str] = ()) -> DataFrame:
     """WIN-3: (current value - latest value in ``[u, u + frame)``) / span."""
-    fr = frame_sums(df, u, frame, {"_n": F.lit(1)}, lasts=[y])
+    fr = frame_sums(df, u, frame, {"_n": F.lit(1)}, lasts=[y], tiebreak=tiebreak)
     return fr.withColumn(name, (F.col(y) - F.col(f"{y}_frame_last")) / F.lit(float(span_seconds))).drop(
         "_i", "_n", f"{y}_frame_last")
 

@@ -43,7 +43,7 @@ SELECT event_id, u, {_slope_sql(f"(ORDER BY u RANGE BETWEEN CURRENT ROW AND {FRA
        / 100 AS slope FROM s""")
 def q_rolling_slope(spark, sf):
     """WIN-1: 4-hour rolling regression slope on the reversed series."""
-    out = Wn.rolling_slope_reversed(_series(spark, sf), "u", "yc", FRAME_4H)
+    out = Wn.rolling_slope_reversed(_series(spark, sf), "u", "yc", FRAME_4H, tiebreak=["event_id"])
     return out.select("event_id", "u", (F.col("_slope") / 100).alias("slope"))
 
 
@@ -53,7 +53,7 @@ SELECT event_id, u, CAST(sum(CAST(y AS DECIMAL(18,2))) OVER (ORDER BY u RANGE BE
 def q_rolling_sum(spark, sf):
     """WIN-2: 1-hour forward rolling sum (exact decimal sum, double at the edge)."""
     s = _series(spark, sf).withColumn("_yd", F.col("y").cast("decimal(18,2)"))
-    out = Wn.rolling_sum_forward(s, "u", "_yd", FRAME_1H)
+    out = Wn.rolling_sum_forward(s, "u", "_yd", FRAME_1H, tiebreak=["event_id"])
     return out.select("event_id", "u", F.col("rolling_sum").cast("double").alias("rolling_sum"))
 
 
@@ -62,7 +62,7 @@ SELECT event_id, u, (y - last_value(y) OVER (ORDER BY u RANGE BETWEEN CURRENT RO
        / 14400.0 AS endpoint_slope FROM s""")
 def q_rolling_endpoint_slope(spark, sf):
     """WIN-3: (current - latest in the 4-hour frame) / 14400 seconds."""
-    out = Wn.rolling_endpoint_slope(_series(spark, sf), "u", "y", FRAME_4H, 14400.0)
+    out = Wn.rolling_endpoint_slope(_series(spark, sf), "u", "y", FRAME_4H, 14400.0, tiebreak=["event_id"])
     return out.select("event_id", "u", "endpoint_slope")
 
 
