@@ -253,7 +253,7 @@ def q_src_candle_csv_glob(spark, sf):
     (Spark's own part files written there first are filtered out)."""
     c = S.daily_candles(spark, sf).select("unix", "low", "high", "open", "close", "volume", "vol_fiat")
     path = scratch_path(spark, "candle_csvs")
-    c.limit(10).write.mode("overwrite").option("header", True).csv(path)  # decoy files, not *_data.csv
+    c.write.mode("overwrite").option("header", True).csv(path)  # Spark part files: not *_data.csv
     _write_named_csvs(c.repartition(_n_files(spark), "unix"), path, "_data.csv").collect()
     return (spark.read.option("header", True).option("pathGlobFilter", "*_data.csv")
             .schema(_CANDLE_CSV_SCHEMA).csv(path))
