@@ -47,6 +47,7 @@ query("job_block_activity", _JOB1_SQL)(block_activity_job)
 SELECT t, CAST(n_txns AS BIGINT) AS n_txns, CAST(total_amount AS DOUBLE) AS total_amount,
        CAST(fee_reward AS DOUBLE) AS fee_reward FROM act""")
 def q_block_activity(spark, sf):
+    """AGG-2: per day, Σ transactions, Σ amount and Σ fee reward over its blocks."""
     return chain.block_activity(S.outputs(spark, sf), grain=S.GRAIN, subsidy=S.SUBSIDY)
 
 
@@ -54,6 +55,7 @@ def q_block_activity(spark, sf):
 SELECT event_id, {epoch('ts')} - {epoch('ts')} % 60 AS t_minute,
        {epoch('ts')} - {epoch('ts')} % 3600 AS t_hour FROM events""")
 def q_floor_time(spark, sf):
+    """PRJ-1: event times floored to the minute and to the hour."""
     e = S.table(spark, sf, "events")
     s = epoch_seconds("ts")
     return e.select("event_id", floor_time(s, 60).alias("t_minute"), floor_time(s, 3600).alias("t_hour"))
@@ -70,6 +72,7 @@ _TXPOS_SQL = """txs AS (
 @query("explode_txs", with_(OUTS, _TXPOS_SQL) + """
 SELECT block_id, time, tx_pos, txid, CAST(n_outputs AS INTEGER) AS n_outputs FROM txs""")
 def q_explode_txs(spark, sf):
+    """PRJ-2: nested blocks flattened to one row per transaction with its position."""
     return chain.explode_txs(nested_blocks(spark, sf)).select(
         "block_id", "time", "tx_pos", "txid", F.size("outs").alias("n_outputs"))
 
@@ -82,6 +85,7 @@ SELECT o.block_id, o.time, t.tx_pos, o.txid,
        CAST(t.n_outputs AS INTEGER) AS n_outputs, CAST(t.n_unique_scripts AS INTEGER) AS n_unique_scripts
 FROM outs o JOIN txs t USING (txid)""")
 def q_explode_outputs(spark, sf):
+    """PRJ-3: nested blocks flattened to one row per output, carrying its parents."""
     return chain.explode_outputs(nested_blocks(spark, sf), with_keys=False).select(
         "block_id", "time", "tx_pos", "txid", "out_pos", "amount_sat", "script", "n_outputs", "n_unique_scripts")
 
@@ -90,6 +94,7 @@ def q_explode_outputs(spark, sf):
 SELECT block_id, txid, receiver, CAST(amount AS DOUBLE) AS amount FROM outs o
 WHERE txid > (SELECT min(txid) FROM outs i WHERE i.block_id = o.block_id)""")
 def q_drop_first_tx(spark, sf):
+    """PRJ-4: outputs of every transaction except each block's first (coinbase) one."""
     kept = chain.drop_first_tx(S.outputs(spark, sf))
     return kept.select("block_id", "txid", "receiver", F.col("amount").cast("double").alias("amount"))
 
@@ -99,6 +104,7 @@ SELECT txid, CAST(sum(round(amount * 100)) AS BIGINT) AS amount_units,
        CAST(CAST(CAST(sum(round(amount * 100)) AS DECIMAL(28,0)) / 100000000 AS DECIMAL(28,8)) AS DOUBLE) AS coins
 FROM outs GROUP BY txid""")
 def q_scaled_amount(spark, sf):
+    """PRJ-5: integer base units summed per transaction, then scaled to coins."""
     from ..functions.scalars import to_coins
     units = S.outputs(spark, sf).select("txid", (F.col("amount") * 100).cast("long").alias("u"))
     per_tx = units.groupBy("txid").agg(F.sum("u").alias("amount_units"))
@@ -117,12 +123,14 @@ _BLK = with_(OUTS, FIRSTS, BLOCKS)
 
 @query("block_fee_reward", _BLK + "SELECT block_id, CAST(fee_reward AS DOUBLE) AS fee_reward FROM blocks")
 def q_block_fee_reward(spark, sf):
+    """PRJ-6: first output of each block's first transaction minus the subsidy."""
     return _blocks(spark, sf).select("block_id", F.col("fee_reward").cast("double").alias("fee_reward"))
 
 
 @query("avg_amount_per_tx", _BLK + """
 SELECT block_id, CAST(total_amount AS DOUBLE) / n_txns AS avg_amount_per_tx FROM blocks""")
 def q_avg_amount_per_tx(spark, sf):
+    """PRJ-10: block total divided by its transaction count."""
     return _blocks(spark, sf).select(
         "block_id", (F.col("total_amount").cast("double") / F.col("n_txns")).alias("avg_amount_per_tx"))
 
@@ -131,41 +139,48 @@ def q_avg_amount_per_tx(spark, sf):
 SELECT block_id, CAST(n_fanout_txs AS BIGINT) AS n_fanout_txs,
        CAST(n_high_value_outputs AS BIGINT) AS n_high_value_outputs FROM blocks""")
 def q_threshold_filters(spark, sf):
+    """FLT-4: per block, transactions with many outputs and high-value outputs."""
     return _blocks(spark, sf).select("block_id", "n_fanout_txs", "n_high_value_outputs")
 
 
 @query("block_tx_count", _BLK + "SELECT block_id, time, CAST(n_txns AS BIGINT) AS n_txns FROM blocks")
 def q_block_tx_count(spark, sf):
+    """AGG-8: transactions per block."""
     return _blocks(spark, sf).select("block_id", "time", "n_txns")
 
 
 @query("block_total_amount", _BLK + """
 SELECT block_id, CAST(total_amount AS DOUBLE) AS total_amount FROM blocks""")
 def q_block_total_amount(spark, sf):
+    """AGG-9: total output amount per block (exact sum)."""
     return _blocks(spark, sf).select("block_id", F.col("total_amount").cast("double").alias("total_amount"))
 
 
 @query("block_fanout_tx_count", _BLK + """
 SELECT block_id, CAST(n_fanout_txs AS BIGINT) AS n_fanout_txs FROM blocks""")
 def q_block_fanout_tx_count(spark, sf):
+    """AGG-10: transactions with at least the fan-out limit of outputs per block."""
     return _blocks(spark, sf).select("block_id", "n_fanout_txs")
 
 
 @query("block_high_value_outputs", _BLK + """
 SELECT block_id, CAST(n_high_value_outputs AS BIGINT) AS n_high_value_outputs FROM blocks""")
 def q_block_high_value_outputs(spark, sf):
+    """AGG-11: outputs at or above the high-value limit per block."""
     return _blocks(spark, sf).select("block_id", "n_high_value_outputs")
 
 
 @query("block_unique_receivers", with_(OUTS) + """
 SELECT block_id, time, count(DISTINCT receiver) AS n_unique_receivers FROM outs GROUP BY block_id, time""")
 def q_block_unique_receivers(spark, sf):
+    """AGG-7: distinct receivers per block (coinbase included)."""
     return chain.block_unique_receivers(S.outputs(spark, sf))
 
 
 @query("tx_fanout", with_(OUTS) + """
 SELECT txid, count(*) AS n_receivers, count(DISTINCT receiver) AS n_unique_receivers FROM outs GROUP BY txid""")
 def q_tx_fanout(spark, sf):
+    """AGG-12: outputs and distinct receivers per transaction."""
     return chain.tx_fanout(S.outputs(spark, sf))
 
 
@@ -179,6 +194,7 @@ SELECT o.block_id, o.time, CAST(count(DISTINCT o.txid) AS INTEGER) AS n_txns,
 FROM (SELECT *, count(*) OVER (PARTITION BY txid) AS n_out FROM outs) o JOIN firsts f USING (block_id)
 GROUP BY o.block_id, o.time, f.first_amount""")
 def q_block_features_nested(spark, sf):
+    """ARR-1: per-block counts and sums computed on the nested arrays of one row."""
     return chain.block_features_nested(nested_blocks(spark, sf), fanout_min=S.FANOUT_MIN,
                                        high_value_sat=S.HIGH_VALUE * 100, subsidy_sat=625)
 
@@ -194,6 +210,7 @@ def q_job_tx_listing(spark, sf):
 @query("order_by_time", _BLK + """
 SELECT block_id, time, CAST(n_txns AS BIGINT) AS n_txns FROM blocks ORDER BY time, block_id""")
 def q_order_by_time(spark, sf):
+    """SRT-1: blocks in time order (ties by block id)."""
     return _blocks(spark, sf).select("block_id", "time", "n_txns").orderBy("time", "block_id")
 
 
