@@ -239,7 +239,7 @@ SELECT o.block_id,
 FROM (SELECT block_id, CAST(l_suppkey AS VARCHAR) AS sup FROM outs) o
 LEFT JOIN scored s ON s.receiver = o.sup GROUP BY o.block_id""")
 def q_receiver_coverage_arrays(spark, sf):
-    """SET-5: |scored ∩ block receivers| / |scored| with arrays.
+    """SET-5: size of (scored ∩ block receivers) ÷ size of the scored set, with arrays.
 
     The dense receiver sets are suppliers; the scored set is suppliers with a
     balance above 5000 that receive anything. The scored set becomes one literal
