@@ -36,14 +36,25 @@ def temporal_split(df: DataFrame, time_col: str, cutoff: Column, label: str = "s
 
 
 def chronological_split(df: DataFrame, order_cols: Sequence[str], n_train: int, n_valid: int,
-                        label: str = "split") -> DataFrame:
+                        label: str = "split", embargo: int = 0) -> DataFrame:
     """SRT-4 / SET-1 / SET-2 made deterministic (quirk Q3): order by ``order_cols``
-    (unique), first ``n_train`` rows are train, the next ``n_valid`` valid, the rest
-    test. Returned as one table with a ``split`` column."""
+    (unique, time first), first ``n_train`` rows are train, the next ``n_valid`` valid, the
+    rest test. Returned as one table with a ``split`` column.
+
+    ``embargo`` (seconds, quirk Q4): training rows less than ``embargo`` before the
+    first non-training row are labelled ``embargo`` instead of train, so labels that
+    look ahead (e.g. 4 hours) cannot reach past the cut."""
     k = _key(order_cols)
     c1 = nth_key(df, order_cols, n_train, distinct=False)
     c2 = nth_key(df, order_cols, n_train + n_valid, distinct=False)
-    return df.withColumn(label, F.when(k <= c1, F.lit("train")).when(k <= c2, F.lit("valid"))
+    train = k <= c1
+    if embargo:
+        t = order_cols[0]
+        first_after = df.filter(_key(order_cols) > c1).select(F.min(t)).scalar()
+        train_kept = train & (first_after.isNull() | (F.col(t) <= first_after - F.lit(int(embargo))))
+        return df.withColumn(label, F.when(train_kept, F.lit("train")).when(train, F.lit("embargo"))
+                             .when(k <= c2, F.lit("valid")).otherwise(F.lit("test")))
+    return df.withColumn(label, F.when(train, F.lit("train")).when(k <= c2, F.lit("valid"))
                          .otherwise(F.lit("test")))
 
 

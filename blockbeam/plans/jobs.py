@@ -79,6 +79,7 @@ def block_features(outs: DataFrame, scores: DataFrame, candles: DataFrame, *, gr
     return out
 
 
-def split_features(features: DataFrame, n_train: int, n_valid: int) -> DataFrame:
-    """Train / valid / test by (blockFloorTime, blockId)."""
-    return splits.chronological_split(features, ["blockFloorTime", "blockId"], n_train, n_valid)
+def split_features(features: DataFrame, n_train: int, n_valid: int, embargo: int = 0) -> DataFrame:
+    """Train / valid / test by (blockFloorTime, blockId); ``embargo`` seconds keep
+    look-ahead labels from reaching past the cut (quirk Q4)."""
+    return splits.chronological_split(features, ["blockFloorTime", "blockId"], n_train, n_valid, embargo=embargo)

@@ -30,7 +30,7 @@ from .q_chain import ACTIVITY_COLUMNS, ACTIVITY_OFFSETS_H
 
 # The reference's time grain, hour, cuts and limits.
 DEFAULTS = dict(grain=60, hour=3600, receiver_cut_index=3999, train_v1=3800, train_v2=4000, valid=500,
-                fanout_min=10, high_value=10.0, subsidy=6.25, missing="drop")
+                fanout_min=10, high_value=10.0, subsidy=6.25, missing="drop", embargo=0)
 
 
 def outputs(spark: SparkSession, a) -> DataFrame:
@@ -92,7 +92,7 @@ def block_features(spark, a) -> dict:
                             fanout_min=a.fanout_min, high_value=a.high_value, subsidy=a.subsidy,
                             version=a.version, missing=a.missing)
     n_train = a.train_v1 if a.version == 1 else a.train_v2
-    split = J.split_features(materialise(feat, count=False)[0], n_train, a.valid)
+    split = J.split_features(materialise(feat, count=False)[0], n_train, a.valid, embargo=a.embargo)
     Wr.write_parquet(split, f"{a.out}/block_features_v{a.version}", partition_by=["split"])
     return {r.split: r["count"] for r in split.groupBy("split").count().collect()}
 

@@ -21,3 +21,13 @@ def test_nth_key_and_temporal_split(spark):
     s = Sp.temporal_split(df, "t", Sp.nth_key(df, "t", 2))
     assert s.filter("split = 'train'").count() == 3
     assert df.select(Sp.nth_key(df, "t", 99).alias("c")).first().c == 40
+
+
+def test_embargo_q4(spark):
+    df = spark.createDataFrame([(t * 60, f"b{t:03d}") for t in range(20)], "time long, id string")
+    s = Sp.chronological_split(df, ["time", "id"], 10, 5, embargo=180)
+    got = {r.id: r.split for r in s.collect()}
+    # the first non-train block is at 600 s: train rows after 600 - 180 = 420 s are embargoed
+    assert got["b007"] == "train" and got["b008"] == "embargo" and got["b009"] == "embargo"
+    assert got["b010"] == "valid" and got["b015"] == "test"
+    assert Sp.chronological_split(df, ["time", "id"], 10, 5).filter("split = 'embargo'").count() == 0
