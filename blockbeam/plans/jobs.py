@@ -32,12 +32,13 @@ FEATURES_V2_EXTRA = (
 
 
 def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index: int,
-                 missing: str = "drop") -> DataFrame:
-    """JOB-2: coinbase dropped, Σ per (bucket, receiver), close at the bucket, and a
-    train/test label cut at the (cut_index+1)-th distinct bucket."""
+                 missing: str = "drop", drop_coinbase: bool = True) -> DataFrame:
+    """JOB-2: coinbase dropped (quirk Q12, a parameter), Σ per (bucket, receiver), close
+    at the bucket, and a train/test label cut at the (cut_index+1)-th distinct bucket."""
+    kept = chain.drop_first_tx(outs) if drop_coinbase else outs
     # the activity table is the stage boundary (the reference writes it out): materialised
     # once, it feeds both the cut subquery and the price lookup
-    act = materialise(R.receiver_activity(chain.drop_first_tx(outs), grain), count=False)[0]
+    act = materialise(R.receiver_activity(kept, grain), count=False)[0]
     cutoff = splits.nth_key(act, "t", cut_index + 1)
     priced = prices.with_prices(act, candles, {"close": 0}, time_col="t", missing=missing)
     out = priced.select("t", "receiver", "n_txns", "amount", "close")
