@@ -61,11 +61,22 @@ def _splits(spark, sf, version):
     return materialise(features(spark, sf, version), count=False)[0]
 
 
-@query("ml_assembled")
+def _assembled_sql() -> str:
+    vals = ", ".join(f"coalesce({c}, 0.0)" if c.startswith("proportionOf") else f"CAST({c} AS DOUBLE)"
+                     for c in M.FEATURES_V1)
+    return (_FEAT + ", " + split_sql(S.TRAIN_BLOCKS_V1, S.VALID_BLOCKS) + f"""
+SELECT blockId, CAST(i - 1 AS INTEGER) AS feature_idx, v AS value FROM (
+  SELECT blockId, unnest(list_value({vals})) AS v, unnest(range(1, {len(M.FEATURES_V1) + 1})) AS i
+  FROM splitted WHERE split = 'train')""")
+
+
+@query("ml_assembled", _assembled_sql())
 def q_ml_assembled(spark, sf):
-    """ML-1: the 17 V1 features assembled into one vector per training block."""
+    """ML-1: the 17 V1 features of each training block assembled into one vector
+    (VectorAssembler), listed as (block, feature index, value)."""
     f = features(spark, sf, 1).filter(F.col("split") == "train")
-    return M.assembled_arrays(f, M.FEATURES_V1)
+    arr = M.assembled_arrays(f, M.FEATURES_V1)
+    return arr.select("blockId", F.posexplode("features").alias("feature_idx", "value"))
 
 
 @query("ml_rf_default")
