@@ -1,6 +1,8 @@
 """The real-input jobs, run on block files and a candle parquet written from the
 stand-in tables, agree with the registered stand-in queries."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +55,18 @@ def test_receiver_chain_and_features_match_standin(spark, inputs):
     key = lambda r: tuple((v is None, v if v is not None else 0) for v in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.select(*cols).collect()), key=key)
     assert sc["scored"] > 0
+
+
+def test_tx_listing_and_train_report(spark, inputs):
+    blocks, cpath, out = inputs
+    common = ["--blocks", blocks, "--candles", cpath, "--out", out, *STANDIN]
+    listing = LJ.run(spark, ["tx-listing", *common])
+    outs = S.outputs(spark, SF)
+    assert listing["n_txns"] == outs.select("txid").distinct().count()
+    assert listing["min_time"] == outs.agg(F.min("time")).first()[0]
+    if not os.path.exists(f"{out}/block_features_v1".removeprefix("file:")):
+        LJ.run(spark, ["receiver-raw", *common])
+        LJ.run(spark, ["receiver-scores", *common])
+    LJ.run(spark, ["block-features", *common, "--version", "1", "--train-v1", str(S.TRAIN_BLOCKS_V1)])
+    rep = LJ.run(spark, ["train-report", *common, "--version", "1"])
+    assert any(k.startswith("valid:") or k.startswith("valid_test:") for k in rep)
