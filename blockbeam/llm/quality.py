@@ -3,9 +3,12 @@
 Two multinomials over ``buckets`` hash buckets of word 1-grams and 2-grams are counted over *all*
 documents (raw) and over the documents that labels call good (trusted). A document's score is the
 mean over its n-grams of ``log p_trusted - log p_raw``, i.e. the log-likelihood ratio divided by the
-number of n-grams. A document is kept if it passes the base rules and its score reaches
-``threshold - slack / sqrt(number of n-grams)``; the slack is the spread of a mean over few n-grams,
-so that short clean texts are not judged by noise.
+number of n-grams. A document is kept if it passes the base rules and its score reaches a threshold
+that is the same for all: ``deviations`` standard deviations below the mean score of the trusted
+documents that pass the base rules (all of them, not a sample).
+
+The trusted multinomial may be fitted on a bounded sample of the labelled documents
+(``max_trusted``, by a hash of doc_id); the raw one counts every document.
 
 The counts are two arrays of ``buckets`` integers whatever the input's size; they are summed by Spark
 per slice of buckets, and only they reach the driver and the tasks.
@@ -25,17 +28,19 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANKS, Words, column, mix, prepare, slices, windows
+from .common import BLANKS, Words, column, mix, prepare, slices, stage, windows
 
 #: Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 BUCKETS, SLICES = 1 << 16, 32
-#: Nats per n-gram; what junk falls below and clean text of any language doesn't.
-THRESHOLD, SLACK = -0.35, 1.5
+#: The trusted multinomial is fitted on about this many labelled documents at most; their ids are broadcast.
+MAX_TRUSTED = 50_000
+#: How far below the trusted documents' mean score the threshold lies, in their standard deviations.
+DEVIATIONS = 7.5
 
-RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double"
+SCORED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double"
 
 
 def grams(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,14 +122,20 @@ def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:
     return np.log((trusted + 1) / (trusted + 1).sum()) - np.log((raw + 1) / (raw + 1).sum())
 
 
-def quality(docs: DataFrame, trusted: DataFrame, *, buckets: int = BUCKETS, threshold: float = THRESHOLD, slack: float = SLACK) -> DataFrame:
+def sampled(trusted: DataFrame, most: int) -> DataFrame:
+    """The distinct trusted doc_ids, or if there are more than ``most``, about that many by a hash."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    n = ids.count()
+    return ids if n <= most else ids.where(F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(1 << 31)) < int((1 << 31) * most / n))
+
+
+def quality(docs: DataFrame, trusted: DataFrame, *, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, deviations: float = DEVIATIONS) -> DataFrame:
     """Judge every row of ``docs`` (doc_id, text); ``trusted`` holds the doc_ids of trusted documents."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    good = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    # only the trusted documents' texts go to the second count, by a join that keeps no other text
-    raw, _ = gram_counts(docs.select("text", F.lit(False).alias("trusted")), buckets)
-    _, told = gram_counts(docs.join(good, "doc_id", "left_semi").select("text", F.lit(True).alias("trusted")), buckets)
+    good = sampled(trusted, max_trusted).withColumn("trusted", F.lit(True))
+    marked = docs.join(F.broadcast(good), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    raw, told = gram_counts(marked, buckets)
     table = log_ratio(raw, told)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +146,12 @@ def quality(docs: DataFrame, trusted: DataFrame, *, buckets: int = BUCKETS, thre
             g, doc = grams(words, buckets)
             n = np.maximum(np.bincount(doc, minlength=len(text)), 1)
             score = np.bincount(doc, weights=table[g], minlength=len(text)) / n
-            kept = ~out["base_failed"] & (score >= threshold - slack / np.sqrt(n))
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(x) for x in out.values()), pa.array(kept), pa.array(score)], names=[x.split()[0] for x in RESULT.split(", ")])
-
-    return docs.mapInArrow(judge, RESULT)
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), *(pa.array(x) for x in out.values()), pa.array(score)], names=[x.split()[0] for x in SCORED.split(", ")])
+
+    scored = stage(docs.mapInArrow(judge, SCORED), "quality")
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    clean = scored.where("not base_failed").join(ids, "doc_id", "left_semi")
+    s = clean.agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first()
+    # rounded, so that the order of summing can't move a document across it
+    threshold = round(s["mean"] - deviations * s["spread"], 9) if s["mean"] is not None else float("-inf")
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))
