@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, quality, sharding
+from . import language, lines, mixing, packing, quality, sharding
 from .common import read
 
 
@@ -32,8 +32,20 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing(read(spark, sf_dir, "documents"))
 
 
+def op6_bin_completion_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.packing(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that ten documents or more share."""
+    return lines.line_dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix)
+    f.__name__: f for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op6_bin_completion_pack, op7_cuckoo_line_dedup)
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op7_cuckoo_line_dedup": lines.SQL}
