@@ -147,12 +147,12 @@ def filters(common: DataFrame, shards: int) -> DataFrame:
     """(shard, filter) of the common keys (k1, k2); every shard has a row, be it empty."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        real = pdf.dropna()
+        real = pdf[pdf["real"]]
         f = Cuckoo.of(real["k1"].to_numpy(np.int64), real["k2"].to_numpy(np.int64))
         return pd.DataFrame({"shard": pdf["shard"][:1], "filter": [f.dump()]})
 
-    every = common.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("long").alias("k1"), F.lit(None).cast("long").alias("k2"))
-    return common.select(shard(shards).alias("shard"), "k1", "k2").unionByName(every).groupBy("shard").applyInPandas(build, "shard int, filter binary")
+    every = common.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(False).alias("real"))
+    return common.select(shard(shards).alias("shard"), "k1", "k2", F.lit(True).alias("real")).unionByName(every).groupBy("shard").applyInPandas(build, "shard int, filter binary")
 
 
 def updated(old: DataFrame, came: DataFrame, went: DataFrame, common: DataFrame, shards: int) -> DataFrame:
