@@ -111,3 +111,63 @@ def windows(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
         out = mix(out + h[j : j + m] + _U((j + 1) * 0x9E3779B97F4A7C15 % 2**64))
     at = np.flatnonzero(doc[:m] == doc[n - 1 :])
     return out[at], at
+
+
+def counted(rows: DataFrame, count, n: int, parts: int = 32) -> np.ndarray:
+    """The sum of arrays of ``n`` integers over all rows: ``count`` makes an array of a batch. Tasks send their
+    sums in ``parts`` slices, which are added in groups of tasks and then over the groups; only the
+    total, of fixed size, reaches the driver."""
+    import pandas as pd
+
+    width = -(-n // parts)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width * parts, np.int64)
+        for b in batches:
+            total[:n] += count(b)
+        if total.any():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(range(parts), pa.int32()), "counts": [x.tobytes() for x in np.split(total, parts)]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": pdf["slice"][:1], "counts": [sum(np.frombuffer(x, np.int64) for x in pdf["counts"]).tobytes()]})
+
+    from pyspark.sql import functions as F
+
+    kind = "slice int, counts binary"
+    some = rows.mapInArrow(sums, kind).withColumn("part", F.spark_partition_id() % 64).groupBy("slice", "part").applyInPandas(add, kind)
+    total = np.zeros((parts, width), np.int64)
+    for r in some.groupBy("slice").applyInPandas(add, kind).collect():
+        total[r["slice"]] = np.frombuffer(r["counts"], np.int64)
+    return total.reshape(-1)[:n]
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], most: int = 4 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """From batches sorted by ``keys``, tables of whole groups (about ``most`` bytes or one group), each with
+    the rows at which its groups begin."""
+
+    def starts(t: pa.Table) -> np.ndarray:
+        new = np.zeros(t.num_rows, bool)
+        new[:1] = True
+        for k in keys:
+            v = t.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.nbytes
+        if size >= most:
+            t = pa.Table.from_batches(held).combine_chunks()
+            at = starts(t)
+            if len(at) > 1:
+                yield t.slice(0, int(at[-1])), at[:-1]
+            # what stays is copied, so that the rest can go
+            rest = t.slice(int(at[-1])).take(pa.array(np.arange(t.num_rows - at[-1]))) if len(at) > 1 else t
+            held, size = rest.combine_chunks().to_batches(), 0 if len(at) == 1 else rest.nbytes
+    if held:
+        t = pa.Table.from_batches(held).combine_chunks()
+        yield t, starts(t)

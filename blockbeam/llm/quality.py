@@ -24,17 +24,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANKS, Words, column, mix, prepare, slices, stage, windows
+from .common import BLANKS, Words, column, counted, mix, prepare, slices, stage, windows
 
 #: Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-BUCKETS, SLICES = 1 << 16, 32
+BUCKETS = 1 << 16
 #: The trusted multinomial is fitted on about this many labelled documents at most; their ids are broadcast.
 MAX_TRUSTED = 50_000
 #: How far below the trusted documents' mean score the threshold lies, in their standard deviations.
@@ -88,31 +87,17 @@ def base(words: Words, texts: list[str]) -> dict[str, np.ndarray]:
 
 def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Counts per bucket over all rows, and over those whose column ``trusted`` is true."""
-    width = buckets // SLICES
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batch: pa.RecordBatch) -> np.ndarray:
         total = np.zeros((2, buckets), np.int64)
-        for b in slices(batches, "text"):
+        for b in slices([batch], "text"):
             g, doc = grams(Words(column(b, "text")), buckets)
             good = column(b, "trusted").to_numpy(zero_copy_only=False).astype(bool)
             total[0] += np.bincount(g, minlength=buckets)
             total[1] += np.bincount(g[good[doc]], minlength=buckets)
-        if total.any():
-            yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "counts": [total[:, i * width : (i + 1) * width].tobytes() for i in range(SLICES)]})
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.int64) for x in pdf["counts"])
-        return pd.DataFrame({"slice": pdf["slice"][:1], "counts": [total.tobytes()]})
-
-    kind = "slice int, counts binary"
-    # a task's counts are first summed in groups of tasks, then over the groups: no task reads all of them
-    parts = docs.mapInArrow(count, kind).withColumn("part", F.spark_partition_id() % 64)
-    some = parts.groupBy("slice", "part").applyInPandas(add, kind)
-    rows = some.groupBy("slice").applyInPandas(add, kind).collect()  # SLICES rows of fixed size
-    total = np.zeros((2, buckets), np.int64)
-    for r in rows:
-        total[:, r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["counts"], np.int64).reshape(2, width)
-    return total[0], total[1]
+        return total.ravel()
+
+    return tuple(counted(docs, count, 2 * buckets).reshape(2, buckets))
 
 
 def log_ratio(raw: np.ndarray, trusted: np.ndarray) -> np.ndarray:

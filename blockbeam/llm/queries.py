@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, lines, mixing, packing, quality, sharding
+from . import language, lines, mixing, packing, quality, sharding, shingles
 from .common import read
 
 
@@ -44,8 +44,13 @@ def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op10_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share 80 % of their five-word shingles."""
+    return shingles.jaccard_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op6_bin_completion_pack, op7_cuckoo_line_dedup)
+    f.__name__: f for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op6_bin_completion_pack, op7_cuckoo_line_dedup, op10_count_tree_jaccard)
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op7_cuckoo_line_dedup": lines.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op7_cuckoo_line_dedup": lines.SQL, "op10_count_tree_jaccard": shingles.SQL}
