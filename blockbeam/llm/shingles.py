@@ -1,21 +1,26 @@
 """N-gram Jaccard join with a count-vector R-tree.
 
 A document's set holds the hashes of its distinct shingles of five words. Documents of equal sets are
-one class. Candidate classes are found by prefixes: if the sets are sorted by one order of all
-shingles, two sets with a Jaccard similarity of t or more share a shingle among their first
-``n - ceil(t * n) + 1``. The order puts frequent shingles last, by counts over all documents in a table
-of ``SKETCH`` hashed counters, so that passages which many documents share seldom make candidates.
-Classes that share a prefix shingle, directly or through others, form a *cell*; linked classes never
-lie in different cells.
-
-In a cell each set is a point: its shingles are hashed into ``GROUPS`` groups and counted by group. The
-points are packed into an R-tree whose nodes keep the largest count of each group and the smallest
-set size below them. The sum over groups of the smaller of two counts bounds the overlap of two sets,
-and with a node's largest counts that of a set with all sets below the node; subtrees and points
-whose bound is too small for t are passed over, and the surviving pairs are verified on the sets.
-Pairs that the links found so far already join need no check, since the result is the components.
-
-A cell beyond ``CELL_WORDS`` shingles is cut into pages, and each two pages are searched as a unit.
+one class, and a class is a point: its shingles are hashed into ``GROUPS`` groups and counted by group.
+
+*Units.* If sets are sorted by one order of all shingles, two sets with a Jaccard similarity of t or
+more share a shingle among their first ``n - ceil(t * n) + 1``. The order puts frequent shingles last,
+by counts over all documents in a table of ``SKETCH`` hashed counters. The classes that share a prefix
+shingle are a unit; shingles with the same classes make one unit.
+
+*Search.* The points of a unit are packed into an R-tree whose nodes keep the largest count of each
+group and the smallest set size below them. The sum over groups of the smaller of two counts bounds
+the overlap of two sets, and with a node's largest counts that of a set with all sets below the node;
+subtrees and points whose bound is too small for t are passed over. Surviving pairs join their classes
+to a *cell*, and a pair whose classes already are in one cell needs no further look, so that a unit
+gives no more edges than it has classes. Linked classes always lie in one cell.
+
+*Verification.* Each class's text goes once to its cell, and there the same search runs with the sets at
+hand: surviving pairs are verified, but for those that the links found so far already join, since
+the result is the components.
+
+Units beyond ``UNIT`` classes and cells beyond ``CELL_WORDS`` shingles are cut into pages, and each two pages
+are searched together.
 
 Defined results: null texts and texts without words have an empty set and link with nothing. Rows with
 a null doc_id link with nothing, and their component_id is null. Repeated rows are equal texts. Rows
@@ -36,8 +41,8 @@ from .common import Words, column, counted, mix, prepare, slices, stage, whole_g
 from .components import Sets, components, star
 
 WORDS, PERCENT = 5, 80
-SKETCH, GROUPS, FAN = 1 << 18, 64, 16
-CELL_WORDS = 4_000_000
+SKETCH, GROUPS, FAN = 1 << 18, 128, 16
+UNIT, CELL_WORDS = 2048, 4_000_000
 
 _U = np.uint64
 RESULT = ["doc_id", "n_shingles", "component_id"]
@@ -95,15 +100,22 @@ def names(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+def points(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The counts by group of each set."""
+    n = len(begin) - 1
+    row = np.repeat(np.arange(n), np.diff(begin))
+    return np.bincount(row * GROUPS + (keys & _U(GROUPS - 1)).astype(np.int64), minlength=n * GROUPS).reshape(n, GROUPS).astype("<u4")
+
+
 def classes(docs: DataFrame, rank: np.ndarray, size: int = WORDS) -> DataFrame:
-    """(doc_id, n, cls) of every row."""
+    """(doc_id, n, cls, point) of every row."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             keys, begin = ordered_sets(column(b, "text"), rank, size)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(np.diff(begin)), pa.array(names(keys, begin))], names=["doc_id", "n", "cls"])
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(np.diff(begin)), pa.array(names(keys, begin)), pa.array([x.tobytes() for x in points(keys, begin)], pa.binary())], names=["doc_id", "n", "cls", "point"])
 
-    return docs.mapInArrow(name, "doc_id long, n long, cls long")
+    return docs.mapInArrow(name, "doc_id long, n long, cls long, point binary")
 
 
 def prefixes(docs: DataFrame, rank: np.ndarray, percent: int, size: int = WORDS) -> DataFrame:
@@ -123,28 +135,48 @@ def prefixes(docs: DataFrame, rank: np.ndarray, percent: int, size: int = WORDS)
     return docs.where("doc_id is not null").mapInArrow(emit, "key long, cls long")
 
 
-def candidates(posts: DataFrame) -> DataFrame:
-    """Edges (a, b) from the classes of each key to its first. The rows of a key come sorted, so a task
-    remembers no more than one class."""
+def shared(posts: DataFrame) -> DataFrame:
+    """The distinct (key, cls) of keys that two classes or more have. The rows of a key come sorted, so a task
+    remembers no more than one row."""
 
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, first = None, 0
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held_cls, told = np.zeros(0, np.int64), np.zeros(0, np.int64), False
         for b in batches:
-            key, cls = column(b, "key").to_numpy(), column(b, "cls").to_numpy()
-            if not len(key):
+            if not b.num_rows:
                 continue
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
-            new[0] = last_key is None or key[0] != last_key
-            head = np.where(new, np.arange(len(key)), -1)
-            head = np.maximum.accumulate(head)
-            front = np.where(head >= 0, cls[head], first)
-            last_key, first = key[-1], front[-1]
-            far = front != cls
-            pairs = np.unique(np.stack([cls[far], front[far]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    return posts.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(chain, "a long, b long")
+            # the last row of the batch before goes in front, as its key may go on
+            key = np.concatenate([held_key, column(b, "key").to_numpy()])
+            cls = np.concatenate([held_cls, column(b, "cls").to_numpy()])
+            one = np.ones(len(key), bool)
+            one[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+            key, cls = key[one], cls[one]
+            same = key[1:] == key[:-1]
+            out = np.zeros(len(key), bool)
+            out[1:] |= same
+            out[:-1] |= same
+            held_key, held_cls = key[-1:], cls[-1:]
+            last = bool(out[-1]) or (told and len(key) == 1)
+            if told:
+                out[0] = False
+            told = last
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(cls[out])], names=["key", "cls"])
+
+    return posts.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(several, "key long, cls long")
+
+
+def units(pairs: DataFrame) -> DataFrame:
+    """(unit, cls, m): keys that have the same classes are one unit, named by the smallest of them."""
+    lists = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("cls")).alias("s"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("t"))
+    first = lists.groupBy("m", "s", "t").agg(F.min("key").alias("key")).select("key", "m")
+    return pairs.join(first, "key").select(F.col("key").alias("unit"), "cls", "m")
+
+
+def paged(rows: DataFrame, k: str) -> DataFrame:
+    """Deal the classes of a group to ``k`` pages and copy them to each two pages (i, j) that they are part of."""
+    page = F.pmod(F.xxhash64("cls", F.lit("page")), F.col(k)).cast("int")
+    other = F.explode(F.when(F.col(k) == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col(k) - 1), lambda j: j != F.col("page"))))
+    return rows.withColumn("page", page).withColumn("other", other).withColumns({"i": F.least("page", "other"), "j": F.greatest("page", "other")}).drop("page", "other", k)
 
 
 class CountTree:
@@ -174,45 +206,59 @@ class CountTree:
         return self.order[nodes]
 
 
-def link(sets: list[np.ndarray], percent: int) -> Sets:
-    """Join all sets of a unit whose similarity reaches ``percent``."""
-    sizes = np.array([len(s) for s in sets])
-    points = np.stack([np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets]).astype(np.int32)
+def link(points: np.ndarray, sizes: np.ndarray, percent: int, sets: list[np.ndarray] | None = None) -> Sets:
+    """Join all points whose bound reaches ``percent``, or with ``sets`` all sets whose similarity does."""
     tree = CountTree(points, sizes, percent)
-    joined = Sets(len(sets))
-    for x in range(len(sets)):
+    joined = Sets(len(sizes))
+    for x in range(len(sizes)):
         near = tree.search(points[x], sizes[x])
         near = near[near > x]
         while len(near := near[joined.of[near] != joined.of[x]]):
-            y, near = near[0], near[1:]
-            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if 100 * both >= percent * (sizes[x] + sizes[y] - both):
-                joined.join(x, int(y))
+            y, near = int(near[0]), near[1:]
+            if sets is not None:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both < percent * (sizes[x] + sizes[y] - both):
+                    continue
+            joined.join(x, y)
     return joined
 
 
+def near(members: DataFrame, classed: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that join the classes of each unit whose points come near enough."""
+    rows = members.withColumn("k", F.ceil(F.col("m") / UNIT).cast("int")).drop("m").join(classed.select("cls", "n", "point"), "cls")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, at in whole_groups(batches, ["unit", "i", "j"]):
+            cls, n = t.column("cls").to_numpy(), t.column("n").to_numpy()
+            point = np.frombuffer(b"".join(t.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
+            for lo, hi in zip(at, [*at[1:], t.num_rows], strict=True):
+                joined = link(point[lo:hi], n[lo:hi], percent)
+                if (joined.of != np.arange(len(joined.of))).any():
+                    yield star(joined, cls[lo:hi])
+
+    return paged(rows, "k").repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j").mapInArrow(search, "a long, b long")
+
+
 def links(docs: DataFrame, rank: np.ndarray, cells: DataFrame, percent: int, size: int = WORDS) -> DataFrame:
     """Edges (a, b) between linked classes; ``cells`` has (rep, cls, n, cell), rep a document of the class."""
-    whole = cells.groupBy("cell").agg(F.sum("n").alias("w"))
-    pages = whole.select("cell", F.ceil(F.col("w") / CELL_WORDS).cast("int").alias("k"))
-    placed = cells.join(pages, "cell").withColumn("page", F.pmod(F.xxhash64("cls", F.lit("page")), F.col("k")).cast("int"))
-    texts = docs.join(placed.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", "cls", "cell", "page", "k")
-    other = F.explode(F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda j: j != F.col("page"))))
-    units = texts.withColumn("other", other).select("text", "cls", "cell", F.least("page", "other").alias("i"), F.greatest("page", "other").alias("j"))
+    pages = cells.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_WORDS).cast("int").alias("k"))
+    texts = docs.join(cells.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", "cls", "cell").join(pages, "cell")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in whole_groups(batches, ["cell", "i", "j"]):
             text = t.column("text").combine_chunks()
             keys, begin = ordered_sets(text if isinstance(text, pa.Array) else text.chunk(0), rank, size)
-            cls = t.column("cls").to_numpy()
+            cls, sizes, point = t.column("cls").to_numpy(), np.diff(begin), points(keys, begin).astype(np.int32)
             real = names(keys, begin) == cls  # rows that share a doc_id but not the text fall out
             for lo, hi in zip(at, [*at[1:], t.num_rows], strict=True):
                 own = lo + np.flatnonzero(real[lo:hi])
                 own = own[np.unique(cls[own], return_index=True)[1]]
                 if len(own) > 1:
-                    yield star(link([keys[begin[i] : begin[i + 1]] for i in own], percent), cls[own])
+                    joined = link(point[own], sizes[own], percent, [keys[begin[i] : begin[i + 1]] for i in own])
+                    if (joined.of != np.arange(len(joined.of))).any():
+                        yield star(joined, cls[own])
 
-    return units.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(verify, "a long, b long")
+    return paged(texts, "k").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(verify, "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
@@ -221,9 +267,11 @@ def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rank = frequencies(docs, size)
     rows = stage(classes(docs, rank, size), "shingle-classes")
-    reps = rows.where("cls != 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
-    edges = candidates(prefixes(docs, rank, percent, size)).distinct()
-    cells = components(edges, name="cells").select(F.col("node").alias("cls"), F.col("component").alias("cell"))
+    reps = rows.where("cls != 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("point").alias("point"))
+    reps = stage(reps, "shingle-reps")
+    members = units(stage(shared(prefixes(docs, rank, percent, size)), "shingle-keys"))
+    reps, classed = reps.drop("point"), reps
+    cells = components(near(members, classed, percent), name="cells").select(F.col("node").alias("cls"), F.col("component").alias("cell"))
     found = components(links(docs, rank, stage(reps.join(cells, "cls"), "shingle-cells"), percent, size), name="links")
     named = reps.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -238,7 +286,7 @@ with recursive d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
 ), s as (
   select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as g from d
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from d
 ), n as (
   select doc_id, count(*) as n from s group by doc_id
 ), p as (
