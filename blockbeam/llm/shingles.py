@@ -1,7 +1,8 @@
 """N-gram Jaccard join with a count-vector R-tree.
 
 A document's set holds the hashes of its distinct shingles of five words. Documents of equal sets are
-one class, and a class is a point: its shingles are hashed into ``GROUPS`` groups and counted by group.
+one class, and a class is a point: its shingles are hashed into ``GROUPS`` groups and counted by group
+(large sets into more, folded to the same number where two are compared).
 
 *Units.* If sets are sorted by one order of all shingles, two sets with a Jaccard similarity of t or
 more share a shingle among their first ``n - ceil(t * n) + 1``. The order puts frequent shingles last,
@@ -32,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -43,6 +45,7 @@ from .components import Sets, components, star
 WORDS, PERCENT = 5, 80
 SKETCH, GROUPS, FAN = 1 << 18, 128, 16
 UNIT, CELL_WORDS = 2048, 4_000_000
+MAX_BITS = 1 << 28
 
 _U = np.uint64
 RESULT = ["doc_id", "n_shingles", "component_id"]
@@ -100,11 +103,29 @@ def names(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def points(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """The counts by group of each set."""
-    n = len(begin) - 1
-    row = np.repeat(np.arange(n), np.diff(begin))
-    return np.bincount(row * GROUPS + (keys & _U(GROUPS - 1)).astype(np.int64), minlength=n * GROUPS).reshape(n, GROUPS).astype("<u4")
+def groups(n: int) -> int:
+    """Groups of a set of ``n``: GROUPS, and in larger sets a power of two over n / 16, so that the bound stays sharp."""
+    return max(GROUPS, 1 << max(0, int(n // 8).bit_length() - 1))
+
+
+def points(keys: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """The counts by group of each set, in the smallest kind of integer that holds them."""
+    out = []
+    for lo, hi in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        g = groups(hi - lo)
+        c = np.bincount((keys[lo:hi] & _U(g - 1)).astype(np.int64), minlength=g)
+        top = c.max(initial=0)
+        out.append(c.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4"))
+    return out
+
+
+def loaded(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // groups(n)}")
+
+
+def folded(point: np.ndarray, g: int) -> np.ndarray:
+    """The same set's counts in ``g`` groups."""
+    return point.reshape(-1, g).sum(0, dtype=np.int64)
 
 
 def classes(docs: DataFrame, rank: np.ndarray, size: int = WORDS) -> DataFrame:
@@ -206,19 +227,20 @@ class CountTree:
         return self.order[nodes]
 
 
-def link(points: np.ndarray, sizes: np.ndarray, percent: int, sets: list[np.ndarray] | None = None) -> Sets:
+def link(points: list[np.ndarray], sizes: np.ndarray, percent: int, sets: list[np.ndarray] | None = None) -> Sets:
     """Join all points whose bound reaches ``percent``, or with ``sets`` all sets whose similarity does."""
-    tree = CountTree(points, sizes, percent)
+    tree = CountTree(coarse := np.stack([folded(p, GROUPS) for p in points]), sizes, percent)
     joined = Sets(len(sizes))
     for x in range(len(sizes)):
-        near = tree.search(points[x], sizes[x])
+        near = tree.search(coarse[x], sizes[x])
         near = near[near > x]
         while len(near := near[joined.of[near] != joined.of[x]]):
             y, near = int(near[0]), near[1:]
-            if sets is not None:
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both < percent * (sizes[x] + sizes[y] - both):
-                    continue
+            need = percent * (sizes[x] + sizes[y])
+            if (g := min(len(points[x]), len(points[y]))) > GROUPS and (100 + percent) * np.minimum(folded(points[x], g), folded(points[y], g)).sum() < need:
+                continue
+            if sets is not None and (100 + percent) * len(np.intersect1d(sets[x], sets[y], assume_unique=True)) < need:
+                continue
             joined.join(x, y)
     return joined
 
@@ -230,7 +252,7 @@ def near(members: DataFrame, classed: DataFrame, percent: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in whole_groups(batches, ["unit", "i", "j"]):
             cls, n = t.column("cls").to_numpy(), t.column("n").to_numpy()
-            point = np.frombuffer(b"".join(t.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
+            point = [loaded(x, k) for x, k in zip(t.column("point").to_pylist(), n.tolist(), strict=True)]
             for lo, hi in zip(at, [*at[1:], t.num_rows], strict=True):
                 joined = link(point[lo:hi], n[lo:hi], percent)
                 if (joined.of != np.arange(len(joined.of))).any():
@@ -239,22 +261,54 @@ def near(members: DataFrame, classed: DataFrame, percent: int) -> DataFrame:
     return paged(rows, "k").repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j").mapInArrow(search, "a long, b long")
 
 
+def holding(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be among ``ids``, by a bitmap of bounded size, so that the join that
+    decides needs to shuffle few texts."""
+    bits = min(MAX_BITS, max(1 << 20, 1 << int(16 * ids.count()).bit_length()))
+    parts = 16
+
+    def place(b: pa.RecordBatch, name: str) -> np.ndarray:
+        return (mix(pc.fill_null(column(b, name), -1).to_numpy(zero_copy_only=False).astype(np.int64).view(_U)) & _U(bits - 1)).astype(np.int64)
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(bits, bool)
+        for b in batches:
+            seen[place(b, "id")] = True
+        if seen.any():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(range(parts), pa.int32()), "bits": [np.packbits(x).tobytes() for x in np.split(seen, parts)]})
+
+    def either(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": pdf["slice"][:1], "bits": [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]]).tobytes()]})
+
+    some = ids.mapInArrow(marks, "slice int, bits binary").withColumn("part", F.spark_partition_id() % 64).groupBy("slice", "part").applyInPandas(either, "slice int, bits binary")
+    found = {r["slice"]: r["bits"] for r in some.groupBy("slice").applyInPandas(either, "slice int, bits binary").collect()}
+    table = np.frombuffer(b"".join(found[i] for i in range(parts)), np.uint8) if found else np.zeros(bits // 8, np.uint8)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = place(b, "doc_id")
+            yield b.filter(pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def links(docs: DataFrame, rank: np.ndarray, cells: DataFrame, percent: int, size: int = WORDS) -> DataFrame:
     """Edges (a, b) between linked classes; ``cells`` has (rep, cls, n, cell), rep a document of the class."""
     pages = cells.groupBy("cell").agg(F.ceil(F.sum("n") / CELL_WORDS).cast("int").alias("k"))
-    texts = docs.join(cells.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", "cls", "cell").join(pages, "cell")
+    some = holding(docs, cells.select(F.col("rep").alias("id")))
+    texts = some.join(cells.withColumnRenamed("rep", "doc_id"), "doc_id").select("text", "cls", "cell").join(pages, "cell")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, at in whole_groups(batches, ["cell", "i", "j"]):
             text = t.column("text").combine_chunks()
             keys, begin = ordered_sets(text if isinstance(text, pa.Array) else text.chunk(0), rank, size)
-            cls, sizes, point = t.column("cls").to_numpy(), np.diff(begin), points(keys, begin).astype(np.int32)
+            cls, sizes, point = t.column("cls").to_numpy(), np.diff(begin), points(keys, begin)
             real = names(keys, begin) == cls  # rows that share a doc_id but not the text fall out
             for lo, hi in zip(at, [*at[1:], t.num_rows], strict=True):
                 own = lo + np.flatnonzero(real[lo:hi])
                 own = own[np.unique(cls[own], return_index=True)[1]]
                 if len(own) > 1:
-                    joined = link(point[own], sizes[own], percent, [keys[begin[i] : begin[i + 1]] for i in own])
+                    joined = link([point[i] for i in own], sizes[own], percent, [keys[begin[i] : begin[i + 1]] for i in own])
                     if (joined.of != np.arange(len(joined.of))).any():
                         yield star(joined, cls[own])
 
