@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, lines, mixing, packing, quality, sharding, shingles
+from . import language, licenses, lines, mixing, packing, quality, sharding, shingles, vectors
 from .common import read
 
 
@@ -32,6 +32,11 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing(read(spark, sf_dir, "documents"))
 
 
+def op5_cross_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.9."""
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op6_bin_completion_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     import public_tokenizers
@@ -44,13 +49,19 @@ def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents, one row per match."""
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
 def op10_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents that share 80 % of their five-word shingles."""
     return shingles.jaccard_groups(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op6_bin_completion_pack, op7_cuckoo_line_dedup, op10_count_tree_jaccard)
+    f.__name__: f
+    for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op5_cross_polytope_dedup, op6_bin_completion_pack, op7_cuckoo_line_dedup, op9_license_scan, op10_count_tree_jaccard)
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op7_cuckoo_line_dedup": lines.SQL, "op10_count_tree_jaccard": shingles.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op5_cross_polytope_dedup": vectors.SQL, "op7_cuckoo_line_dedup": lines.SQL, "op10_count_tree_jaccard": shingles.SQL}
