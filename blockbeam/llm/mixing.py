@@ -73,23 +73,28 @@ def position(begin: Column, target: Column, slope: Column) -> Column:
     return F.when(x > 0, F.lit(2.0) * x / (rest + F.sqrt(rest * rest + F.lit(4.0) * slope * x))).otherwise(F.lit(0.0))
 
 
+def order_hash() -> Column:
+    """What the documents of a source are ordered by."""
+    return F.md5(F.concat_ws("|", F.lit("mix"), F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.md5(F.col("text").cast("string")))))
+
+
 def assign(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, most: int = MOST, slopes: tuple = SLOPES) -> DataFrame:
     """Add ``size``, ``source_size``, ``target``, ``taken``, and per pass over the source the words taken and
     the training position (arrays ``takes`` and ``positions``, null where nothing is taken)."""
     spark = docs.sparkSession
     prepare(spark)
-    order = F.md5(F.concat_ws("|", F.lit("mix"), F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.md5(F.col("text")))))
-    rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"), order.alias("h")), "sizes")
+    text = F.col("text").cast("string")
+    rows = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(text).alias("size"), order_hash().alias("h"), F.crc32(text).alias("c")), "sizes")
     rows = rows.withColumn("bucket", F.substring("h", 1, DIGITS))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most, slopes)
     places = starts.alias("a").join(plan.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "bucket", "start", "source_size", "target", "slope")
-    inner = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = rows.withColumn("upto", F.sum("size").over(inner))
     j = run.alias("r").join(places.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.bucket") == F.col("p.bucket")))
-    j = j.select("r.doc_id", "r.source", "r.size", "p.source_size", "p.target", "p.slope", (F.col("p.start") + F.col("r.upto") - F.col("r.size")).alias("begin"))
+    j = j.select("r.doc_id", "r.source", "r.size", "r.h", "r.c", "p.source_size", "p.target", "p.slope", (F.col("p.start") + F.col("r.upto") - F.col("r.size")).alias("begin"))
     whole = F.floor("target").cast("long")
     takes = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: F.greatest(F.lit(0), F.least(F.col("size"), whole - F.col("begin") - k * F.col("source_size"))).cast("long"))
     j = j.withColumn("takes", takes)
@@ -104,6 +109,26 @@ def mixing(docs: DataFrame, **options) -> DataFrame:
     return rows.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last())
 
 
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: ``docs``, all columns, each row as often as it is taken, range-sorted by training position. Of
+    a document that is taken in part, the text has the words taken, with one blank between."""
+    spare = [F.col(f"`{c}`") for c in docs.columns]
+    # rows that share an order hash are told apart by a number on either side, so that none meets two others
+    twin = ["h", "c", "size"]
+    number = lambda *more: F.row_number().over(Window.partitionBy(*twin).orderBy(*(more or twin)))
+    text = F.col("_row.text").cast("string")
+    whole = docs.select(F.struct(*spare).alias("_row"), order_hash().alias("h"), F.crc32(F.col("text").cast("string")).alias("c"), n_words(F.col("text").cast("string")).alias("size"), F.col("source").cast("string").alias("_source"))
+    whole = whole.withColumn("twin", number("_source"))
+    taken = assign(docs, **options).where("taken > 0").withColumn("twin", number("source"))
+    taken = taken.select("h", "c", "size", "twin", F.explode(F.arrays_zip("takes", "positions")).alias("t")).where("t.takes > 0")
+    # neither side is small at scale, so neither is to be broadcast at any size
+    rows = whole.join(taken.hint("merge"), ["h", "c", "size", "twin"])
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"([^{BLANK_CLASS}]+)"), F.lit(1)), 1, F.col("t.takes").cast("int")), " ")
+    rows = rows.withColumn("_text", F.when(F.col("t.takes") < F.col("size"), cut).otherwise(text))
+    rows = rows.orderBy("t.positions", "h", "twin")
+    return rows.select(*(F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+
+
 SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,

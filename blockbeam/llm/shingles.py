@@ -335,6 +335,16 @@ def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS
     return out.select("r.doc_id", F.col("r.n").alias("n_shingles"), F.coalesce("c.component_id", "r.doc_id").alias("component_id"))
 
 
+def first_of_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
+    """``docs``, all columns, with one document of each group: the smallest doc_id. Rows with a null doc_id stay;
+    rows that share a doc_id go together if none of their components is theirs."""
+    groups = jaccard_groups(docs, percent=percent, size=size)
+    stay = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    gone = stay.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
+    # the ids grow with the input, so they are never broadcast
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+
+
 SQL = r"""
 with recursive d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
