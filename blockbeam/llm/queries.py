@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, lines, mixing, packing, quality, sharding, shingles, vectors
+from . import language, licenses, lines, mixing, packing, quality, sharding, shingles, suffixes, vectors
 from .common import read
 
 
@@ -49,6 +49,11 @@ def op7_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-byte strings that start in an earlier document."""
+    return suffixes.suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents, one row per match."""
     return licenses.license_scan(read(spark, sf_dir, "documents"))
@@ -61,7 +66,7 @@ def op10_count_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op5_cross_polytope_dedup, op6_bin_completion_pack, op7_cuckoo_line_dedup, op9_license_scan, op10_count_tree_jaccard)
+    for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op5_cross_polytope_dedup, op6_bin_completion_pack, op7_cuckoo_line_dedup, op8_difference_cover_dedup, op9_license_scan, op10_count_tree_jaccard)
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op5_cross_polytope_dedup": vectors.SQL, "op7_cuckoo_line_dedup": lines.SQL, "op10_count_tree_jaccard": shingles.SQL}

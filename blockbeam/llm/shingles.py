@@ -261,9 +261,9 @@ def near(members: DataFrame, classed: DataFrame, percent: int) -> DataFrame:
     return paged(rows, "k").repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j").mapInArrow(search, "a long, b long")
 
 
-def holding(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id may be among ``ids``, by a bitmap of bounded size, so that the join that
-    decides needs to shuffle few texts."""
+def holding(docs: DataFrame, ids: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be among ``ids`` (or with ``inside`` false the others, whose doc_id surely
+    isn't), by a bitmap of bounded size, so that the join that decides needs to shuffle few texts."""
     bits = min(MAX_BITS, max(1 << 20, 1 << int(16 * ids.count()).bit_length()))
     parts = 16
 
@@ -287,7 +287,7 @@ def holding(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = place(b, "doc_id")
-            yield b.filter(pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+            yield b.filter(pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == inside))
 
     return docs.mapInArrow(keep, docs.schema)
 
