@@ -47,9 +47,9 @@ LENGTH, PERIOD = 50, 31
 #: A perfect difference set: every residue of 31 is a difference of two of these.
 COVER = (0, 1, 3, 8, 12, 18)
 SAMPLE = LENGTH - PERIOD + 1
-BLOCK, BUCKET = 8 << 20, 1 << 20
+BLOCK, BUCKET = 6 << 20, 1 << 20
 #: Bits of a cover sample's name beside its bucket; a false repeat costs time, not correctness.
-SAMPLE_BITS = 40
+SAMPLE_BITS = 32
 
 _U = np.uint64
 NONE = np.iinfo(np.int64).min  # stands for a null doc_id
@@ -83,11 +83,15 @@ class Block:
         self.cover = np.concatenate(own) if own else np.zeros(0, np.int64)
 
     def name(self, at: np.ndarray, length: int) -> np.ndarray:
-        """A hash of the ``length`` bytes at each place."""
-        h = mix(self.eight[at])
-        for k in [*range(8, length - 8, 8), length - 8]:
-            h = mix(h + self.eight[at + k] * _U(0x9E3779B97F4A7C15))
-        return h
+        """A hash of the ``length`` bytes at each place, in parts that bound the memory."""
+        out = np.empty(len(at), _U)
+        for i in range(0, len(at), 1 << 18):
+            part = at[i : i + (1 << 18)]
+            h = mix(self.eight[part])
+            for k in [*range(8, length - 8, 8), length - 8]:
+                h = mix(h + self.eight[part + k] * _U(0x9E3779B97F4A7C15))
+            out[i : i + len(part)] = h
+        return out
 
     def samples(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct names of the cover samples (``bits`` bits), which of them stand in the block twice, and each sample's."""
@@ -106,9 +110,10 @@ class Block:
         some = end > begin
         np.add.at(edge, begin[some], 1)
         np.add.at(edge, end[some], -1)
-        at = np.flatnonzero(np.cumsum(edge) > 0)
+        at = np.flatnonzero(np.cumsum(edge, out=edge) > 0).astype(np.int32 if len(edge) < 1 << 31 else np.int64)
+        del edge
         names, first, back = np.unique(self.name(at, LENGTH), return_index=True, return_inverse=True)
-        return names, np.searchsorted(self.start, at[first], "right") - 1, at, back
+        return names, np.searchsorted(self.start, at[first], "right") - 1, at, back.astype(np.int32 if len(at) < 1 << 31 else np.int64)
 
 
 def per_bucket(names: np.ndarray, bits: int, of: int) -> Iterator[tuple[int, int, int]]:
