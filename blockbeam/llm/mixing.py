@@ -125,8 +125,10 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows = whole.join(taken.hint("merge"), ["h", "c", "size", "twin"])
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"([^{BLANK_CLASS}]+)"), F.lit(1)), 1, F.col("t.takes").cast("int")), " ")
     rows = rows.withColumn("_text", F.when(F.col("t.takes") < F.col("size"), cut).otherwise(text))
-    rows = rows.orderBy("t.positions", "h", "twin")
-    return rows.select(*(F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+    kept = [F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    # the sort moves each text once: only what is returned goes through it
+    rows = rows.select(F.struct(*kept).alias("_out"), F.col("t.positions").alias("_at"), "h", "twin").orderBy("_at", "h", "twin")
+    return rows.select(*(F.col(f"_out.`{c}`").alias(c) for c in docs.columns))
 
 
 SQL = r"""
