@@ -32,7 +32,7 @@ from .common import Words, column, prepare, slices, stage
 
 SEQUENCE, CLOSE = 4096, 1
 BLOCK, NODES, WIDTH, STEPS = 16_384, 20_000, 6, 200
-CACHED = 300_000  # words whose ids a worker keeps
+CACHED = 500_000  # words whose ids a worker keeps
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RESULT = PIECES + ", sequence_id long, offset long"
@@ -61,9 +61,10 @@ class Encoder:
         for i in range(0, len(pure), 1000):
             part = pure[i : i + 1000]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            cut = np.flatnonzero(self.ends[ids]) + 1
+            cut = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cut) == len(part):
-                self.known.update(zip(part, (x.tobytes() for x in np.split(ids, cut[:-1])), strict=True))
+                raw = ids.tobytes()
+                self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)), strict=True))
             else:
                 rest += part
         for i in range(0, len(rest), 1000):
