@@ -154,7 +154,8 @@ def identify(docs: DataFrame, langs: list[str], protos: np.ndarray) -> DataFrame
                     # a text of blanks alone has the profile of its blanks, but no letter
                     some = np.array([bool(t) and letters()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any() for t in texts], bool) & (length > 0)
                     cosine = np.zeros((n, len(langs)))
-                    cosine[some] = (v[some] @ unit.T) / length[some, None]
+                    # rounded, so that the order of adding can't tell
+                    cosine[some] = np.round((v[some] @ unit.T) / length[some, None], 9)
                     best[some] = cosine[some].argmax(1)
                     score[some] = np.clip(cosine[some].max(1), 0, 1)
                 yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "held_out"), pa.array(names[best], pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
@@ -181,7 +182,7 @@ def accepted(docs: DataFrame, langs: list[str], protos: np.ndarray, min_score: f
                 v = profiles(texts, np.arange(len(texts)), len(texts))
                 length = np.sqrt((v * v).sum(1))
                 some = np.array([bool(t) and letters()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any() for t in texts], bool) & (length > 0)
-                best = (v @ unit.T).max(1, initial=-np.inf) / np.where(some, length, 1)
+                best = np.round((v @ unit.T).max(1, initial=-np.inf) / np.where(some, length, 1), 9)
                 yield part.filter(pa.array(some & (best >= min_score)))
 
     return docs.mapInArrow(keep, docs.schema)
