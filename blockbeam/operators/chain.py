@@ -73,15 +73,12 @@ def drop_first_tx(outs: DataFrame, positional: bool = False) -> DataFrame:
     """PRJ-4: remove the outputs of each block's first (coinbase) transaction.
 
     ``positional``: ``tx_pos`` is a 0-based position, so a filter suffices.
-    Otherwise the first order key per block is aggregated (one row per block,
-    partial aggregation), materialised, and broadcast back after a size check.
+    Otherwise the first order key per block is aggregated (one row per block, partial
+    aggregation) and joined back on the block.
     """
     if positional:
         return outs.filter(F.col("tx_pos") > 0)
-    from ..operators.broadcast import DEFAULT_MAX_ROWS, materialise
-    first, n_blocks = materialise(outs.groupBy("block_id").agg(F.min("tx_pos").alias("_first_tx")))
-    # one row per block: broadcast when within the bound, so the outputs are not shuffled
-    first = F.broadcast(first) if n_blocks <= DEFAULT_MAX_ROWS else first
+    first = outs.groupBy("block_id").agg(F.min("tx_pos").alias("_first_tx"))
     return outs.join(first, "block_id").filter(F.col("tx_pos") > F.col("_first_tx")).drop("_first_tx")
 
 
@@ -91,11 +88,6 @@ def tx_fanout(outs: DataFrame) -> DataFrame:
                                     F.count_distinct("receiver").alias("n_unique_receivers"))
 
 
-def with_tx_fanout(outs: DataFrame) -> DataFrame:
-    """Flat output rows of the receiver job: each output with its transaction's two fan-out counts."""
-    return outs.join(tx_fanout(outs), "txid")
-
-
 def tx_summary(outs: DataFrame, high_value=HIGH_VALUE_AMOUNT) -> DataFrame:
     """Per transaction: order key, output count, total, first output, high-value outputs."""
     return outs.groupBy("block_id", "time", "txid").agg(
@@ -165,9 +157,3 @@ def block_features_nested(blocks: DataFrame, fanout_min: int = FANOUT_MIN_OUTPUT
         F.size(F.filter(all_amounts, lambda a: a >= F.lit(high_value_sat))).alias("n_high_value_outputs"),
         F.size(F.array_distinct(all_scripts)).alias("n_unique_scripts"),
     )
-
-
-def coverage_arrays(receivers: Column, scored: Column) -> Column:
-    """SET-5 array form: |scored ∩ receivers| / |scored| (NULL for an empty set, Q6)."""
-    return F.try_divide(F.size(F.array_intersect(scored, receivers)).cast("double"),
-                        F.size(scored).cast("double"))

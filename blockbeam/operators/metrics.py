@@ -5,7 +5,7 @@ aggregation; at most labels x predictions rows); everything after that works on
 that small table. Weighted figures add the per-label terms in label order so the
 result does not depend on partitioning. Definitions follow Spark's
 ``MulticlassMetrics``: precision(l) = tp / (tp + fp) (0 when nothing is predicted
-as l), recall(l) = tp / count(l), fpr(l) = fp / (total - count(l)),
+as l), recall(l) = tp / count(l), fpr(l) = fp / (total - count(l)) (NULL when every row has label l),
 F1 = 2pr / (p + r) (0 when p + r = 0); weights are count(l) / total.
 """
 
@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sinks.staging import staged
+
 
 def classification_metrics(preds: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Rows (metric, label, value); ``label`` is NULL for the overall figures."""
-    from .broadcast import materialise
     cm = preds.select(F.col(prediction).cast("double").alias("p"), F.col(label).cast("double").alias("l")) \
         .groupBy("p", "l").agg(F.count(F.lit(1)).alias("n"))
-    cm = materialise(cm, count=False)[0]  # labels x predictions rows, read by every branch below
+    cm = staged(cm, "confusion")  # labels x predictions rows, read by every branch below
     by_label = cm.groupBy("l").agg(F.sum("n").alias("cnt"), F.sum(F.when(F.col("p") == F.col("l"), F.col("n"))
                                                                    .otherwise(0)).alias("tp"))
     fp = cm.filter(F.col("p") != F.col("l")).groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("fp"))
@@ -29,7 +30,7 @@ def classification_metrics(preds: DataFrame, prediction: str = "prediction", lab
         "precision": F.when(F.col("tp") + F.col("fp") == 0, F.lit(0.0))
         .otherwise(F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")),
         "recall": F.col("tp").cast("double") / F.col("cnt").cast("double"),
-        "fpr": F.col("fp").cast("double") / (total - F.col("cnt")).cast("double"),
+        "fpr": F.try_divide(F.col("fp").cast("double"), (total - F.col("cnt")).cast("double")),
     })
     per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") == 0, F.lit(0.0)).otherwise(
         F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))))

@@ -1,10 +1,9 @@
 """Price series operators: multi-offset lookups, labels, rise flags, deltas.
 
-Lookups (JN-1 ... JN-5) are equi-joins of a time column against the candle key
-shifted by each offset. When the candle table passes the size check, every offset
-is a broadcast hash join and all of them pipeline in one stage with no shuffle of
-the (large) fact side. Otherwise the distinct lookup times are resolved first
-(one small table keyed by time) and joined back with a single shuffle join.
+Lookups (JN-1 ... JN-5) are one equi-join. Each candle is emitted once per offset at the
+time that looks it up, an aggregate by time makes one wide row of all offsets (price and
+whether a candle is there), and the facts join that table once; whether it is broadcast
+or shuffled is left to Spark, by bytes, and doesn't change the rows.
 """
 
 from __future__ import annotations
@@ -13,59 +12,58 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from .broadcast import DEFAULT_MAX_ROWS, materialise
-
 MISSING_POLICIES = ("error", "drop", "null")
 
 
-def _price_side(candles: DataFrame, key_col: str, price_col: str) -> DataFrame:
-    return candles.select(F.col(key_col).cast("long").alias("_k"), F.col(price_col).alias("_p"))
+def _wide(candles: DataFrame, offsets: Mapping[str, int], key_col: str, price_col: str) -> DataFrame:
+    """One row per lookup time: per offset the price and a presence flag."""
+    emitted = F.explode(F.array(*[F.struct((F.col(key_col).cast("long") - F.lit(int(off))).alias("t"), F.lit(i).alias("i"))
+                                  for i, off in enumerate(offsets.values())])).alias("e")
+    rows = candles.where(F.col(key_col).isNotNull()).select(F.col(price_col).alias("_p"), emitted)
+    cols = [c for i, n in enumerate(offsets) for c in (
+        F.max(F.when(F.col("e.i") == i, F.col("_p"))).alias(n),
+        F.coalesce(F.bool_or(F.col("e.i") == i), F.lit(False)).alias(f"_has_{n}"))]
+    return rows.groupBy(F.col("e.t").alias("_t")).agg(*cols)
+
+
+def _looked_up(df: DataFrame, candles: DataFrame, offsets: Mapping[str, int], time_col: str,
+               key_col: str, price_col: str) -> DataFrame:
+    wide = _wide(candles, offsets, key_col, price_col)
+    out = df.join(wide, df[time_col] == wide["_t"], "left").drop("_t")
+    return out.withColumns({f"_has_{n}": F.coalesce(F.col(f"_has_{n}"), F.lit(False)) for n in offsets})
 
 
 def with_prices(df: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *,
                 time_col: str = "t", key_col: str = "unix", price_col: str = "close",
-                missing: str = "drop", max_broadcast_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                missing: str = "error") -> DataFrame:
     """Add one column per offset: the candle ``price_col`` at ``time_col + offset``.
 
     ``candles`` must be unique on ``key_col`` (see ``sources.candles.latest_by_key``).
-    ``missing``: ``"error"`` fails the job on an absent candle (the reference's
-    behaviour), ``"drop"`` removes the row, ``"null"`` keeps it with a NULL price.
+    ``missing`` says what an absent candle does: ``"error"`` fails the job (the
+    reference's behaviour), ``"drop"`` removes the row (``missing_report`` counts what is
+    lost), ``"null"`` keeps it with a NULL price. A candle that is there with a NULL
+    price is not absent: its row stays, with a NULL price.
     """
     if missing not in MISSING_POLICIES:
         raise ValueError(f"missing must be one of {MISSING_POLICIES}")
-    side, n_side = materialise(_price_side(candles, key_col, price_col))
     names = list(offsets)
-    if max_broadcast_rows is not None and n_side <= max_broadcast_rows:
-        how = "inner" if missing == "drop" else "left"
-        out = df
-        for name in names:
-            look = F.broadcast(side.select((F.col("_k") - F.lit(int(offsets[name]))).alias(f"_k_{name}"),
-                                           F.col("_p").alias(name)))
-            out = out.join(look, out[time_col] == look[f"_k_{name}"], how).drop(f"_k_{name}")
-    else:
-        keys = df.select(F.col(time_col).alias("_t")).distinct()
-        wide = keys
-        for name in names:
-            look = side.select((F.col("_k") - F.lit(int(offsets[name]))).alias("_t"), F.col("_p").alias(name))
-            wide = wide.join(look, "_t", "left")
-        out = df.join(wide, df[time_col] == wide["_t"], "left").drop("_t")
-        if missing == "drop":
-            out = out.dropna(subset=names)
-    if missing == "error":
-        out = out.select(*[c for c in out.columns if c not in names], *[
-            F.when(F.col(n).isNull(), F.raise_error(
-                F.concat(F.lit(f"no candle for offset {n} at t="), F.col(time_col).cast("string"))))
-            .otherwise(F.col(n)).alias(n) for n in names])
-    return out
+    out = _looked_up(df, candles, offsets, time_col, key_col, price_col)
+    if missing == "drop":
+        for n in names:
+            out = out.where(F.col(f"_has_{n}"))
+    elif missing == "error":
+        out = out.withColumns({n: F.when(F.col(f"_has_{n}"), F.col(n)).otherwise(F.raise_error(
+            F.concat(F.lit(f"no candle for offset {n} at t="), F.coalesce(F.col(time_col).cast("string"), F.lit("NULL")))))
+            for n in names})
+    return out.drop(*[f"_has_{n}" for n in names])
 
 
 def missing_report(df: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *,
                    time_col: str = "t", key_col: str = "unix", price_col: str = "close") -> DataFrame:
     """JN-5: per offset, how many lookups find no candle (what "error" would hit)."""
-    looked = with_prices(df.select(time_col), candles, offsets, time_col=time_col,
-                         key_col=key_col, price_col=price_col, missing="null")
+    looked = _looked_up(df.select(time_col), candles, offsets, time_col, key_col, price_col)
     return looked.agg(F.count(F.lit(1)).alias("n_rows"),
-                      *[F.count_if(F.col(n).isNull()).alias(f"missing_{n}") for n in offsets])
+                      *[F.count_if(~F.col(f"_has_{n}")).alias(f"missing_{n}") for n in offsets])
 
 
 def price_label(later, now) -> F.Column:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.scalars import floor_time
-from .broadcast import DEFAULT_MAX_ROWS, bounded_broadcast, materialise
+from ..sinks.staging import staged
 from .prices import rise_flags, with_prices
 
 # Fixed values of the reference (parameters here):
@@ -63,24 +63,20 @@ def popular_receivers(popularity: DataFrame, min_fraction: float = POPULAR_MIN_F
     return popularity.filter(F.col("fraction") >= F.lit(min_fraction))
 
 
-def popular_activity(activity: DataFrame, popular: DataFrame,
-                     max_broadcast_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+def popular_activity(activity: DataFrame, popular: DataFrame) -> DataFrame:
     """JN-6: activity rows of popular receivers (semi join; the right side is unique)."""
-    keys, _ = bounded_broadcast(popular.select("receiver"), max_broadcast_rows)
-    return activity.join(keys, "receiver", "left_semi")
+    return activity.join(popular.select("receiver"), "receiver", "left_semi")
 
 
 def hit_rates(activity: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *,
-              now_col: str = "close", missing: str = "drop", float32: bool = False,
-              max_broadcast_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+              now_col: str = "close", missing: str = "error", float32: bool = False) -> DataFrame:
     """AGG-6 with JN-4 and PRJ-11: per receiver n, Σ amount and the share of its
     time buckets after which the price rose, one ratio per offset.
 
     ``float32=True`` reproduces the reference's single-precision ratios (quirk Q1).
     """
     later = {f"_p_{k}": v for k, v in offsets.items()}
-    looked = with_prices(activity, candles, later, time_col="t", missing=missing,
-                         max_broadcast_rows=max_broadcast_rows)
+    looked = with_prices(activity, candles, later, time_col="t", missing=missing)
     flagged = rise_flags(looked, now_col, {f"_f_{k}": f"_p_{k}" for k in offsets})
     agg = flagged.groupBy("receiver").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"),
@@ -105,23 +101,19 @@ def scores_by_threshold(scores: DataFrame, score_col: str = "r4",
 
 
 def block_coverage(outs: DataFrame, scores: DataFrame, score_col: str = "r4",
-                   thresholds: Sequence[float] = SCORE_THRESHOLDS,
-                   max_broadcast_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                   thresholds: Sequence[float] = SCORE_THRESHOLDS) -> DataFrame:
     """JN-7 + AGG-7 + AGG-13: per block, distinct receivers and, per threshold, the
     share of the receivers scoring at least that threshold that appear in the block.
 
     Distinct (block, receiver) pairs are formed first (map-side distinct), then
-    joined with the scored receivers (one row per receiver, broadcast after a size
-    check), then counted per block with one conditional count per threshold.
+    joined with the scored receivers (one row per receiver), then counted per block with one conditional count per threshold.
     Shares of an empty scored set are NULL (quirk Q6).
     """
     scored = scores.select("receiver", F.col(score_col).cast("double").alias("_score")).filter(
         F.col("_score") >= F.lit(float(min(thresholds))))
-    scored, n_scored = materialise(scored)
-    small = max_broadcast_rows is not None and n_scored <= max_broadcast_rows
-    scored_b = F.broadcast(scored) if small else scored
+    scored = staged(scored, "scored")
     pairs = outs.select("block_id", "time", "receiver").distinct()
-    joined = pairs.join(scored_b, "receiver", "left")
+    joined = pairs.join(scored, "receiver", "left")
     per_block = joined.groupBy("block_id", "time").agg(
         F.count(F.lit(1)).alias("n_unique_receivers"),
         *[F.count_if(F.col("_score") >= F.lit(float(t))).alias(f"_hit_{_pct(t)}") for t in thresholds])

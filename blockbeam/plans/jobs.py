@@ -12,8 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import floor_time
+from ..sinks.staging import staged
 from ..operators import chain, prices, receivers as R, splits
-from ..operators.broadcast import materialise
 
 # Column names of the block feature table (fixed values: the reference's names).
 FEATURES_V1 = (
@@ -32,13 +32,13 @@ FEATURES_V2_EXTRA = (
 
 
 def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index: int,
-                 missing: str = "drop", drop_coinbase: bool = True) -> DataFrame:
+                 missing: str = "error", drop_coinbase: bool = True) -> DataFrame:
     """JOB-2: coinbase dropped (quirk Q12, a parameter), Σ per (bucket, receiver), close
     at the bucket, and a train/test label cut at the (cut_index+1)-th distinct bucket."""
     kept = chain.drop_first_tx(outs) if drop_coinbase else outs
-    # the activity table is the stage boundary (the reference writes it out): materialised
+    # the activity table is the stage boundary (the reference writes it out): staged
     # once, it feeds both the cut subquery and the price lookup
-    act = materialise(R.receiver_activity(kept, grain), count=False)[0]
+    act = staged(R.receiver_activity(kept, grain), "activity")
     cutoff = splits.nth_key(act, "t", cut_index + 1)
     priced = prices.with_prices(act, candles, {"close": 0}, time_col="t", missing=missing)
     out = priced.select("t", "receiver", "n_txns", "amount", "close")
@@ -46,7 +46,7 @@ def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index:
 
 
 def receiver_scores(train_activity: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *,
-                    min_fraction: float = R.POPULAR_MIN_FRACTION, missing: str = "drop",
+                    min_fraction: float = R.POPULAR_MIN_FRACTION, missing: str = "error",
                     float32: bool = False) -> DataFrame:
     """JOB-3 core: popularity -> popular receivers -> hit rates per receiver."""
     popular = R.popular_receivers(R.receiver_popularity(train_activity), min_fraction)
@@ -56,7 +56,7 @@ def receiver_scores(train_activity: DataFrame, candles: DataFrame, offsets: Mapp
 
 def block_features(outs: DataFrame, scores: DataFrame, candles: DataFrame, *, grain: int, hour: int,
                    fanout_min: int, high_value, subsidy: float, version: int = 2,
-                   thresholds: Sequence[float] = R.SCORE_THRESHOLDS, missing: str = "drop") -> DataFrame:
+                   thresholds: Sequence[float] = R.SCORE_THRESHOLDS, missing: str = "error") -> DataFrame:
     """JOB-4 (version 1, 22 columns) / JOB-5 (version 2, 26 columns) per block."""
     blk = chain.block_summary(outs, fanout_min=fanout_min, high_value=high_value, subsidy=subsidy)
     cov = R.block_coverage(outs, scores, "r4", thresholds)

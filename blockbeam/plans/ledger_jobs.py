@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.scalars import threshold_percent
 from ..ml import forest as M
 from ..operators import chain, prices, receivers as R, splits
-from ..operators.broadcast import materialise
+from ..sinks.staging import staged
 from ..session import build_session
 from ..sinks import writers as Wr
 from ..sources import blocks as B, candles as C, text as Tx
@@ -30,13 +30,13 @@ from .q_chain import ACTIVITY_COLUMNS, ACTIVITY_OFFSETS_H
 
 # The reference's time grain, hour, cuts and limits.
 DEFAULTS = dict(grain=60, hour=3600, receiver_cut_index=3999, train_v1=3800, train_v2=4000, valid=500,
-                fanout_min=10, high_value=10.0, subsidy=6.25, missing="drop", embargo=0)
+                fanout_min=10, high_value=10.0, subsidy=6.25, missing="error", embargo=0)
 
 
 def outputs(spark: SparkSession, a) -> DataFrame:
     """Decoded blocks -> flat outputs with receiver keys, staged once."""
     blocks = B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad)
-    return materialise(chain.explode_outputs(blocks), count=False)[0]
+    return staged(chain.explode_outputs(blocks), "outputs")
 
 
 def candles(spark: SparkSession, a) -> DataFrame:
@@ -65,7 +65,7 @@ def block_activity(spark, a) -> dict:
 def receiver_raw(spark, a) -> dict:
     outs = chain.explode_outputs(B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad),
                                  drop_first_tx=True)
-    act = materialise(R.receiver_activity(outs, a.grain), count=False)[0]
+    act = staged(R.receiver_activity(outs, a.grain), "activity")
     cut = splits.nth_key(act, "t", a.receiver_cut_index + 1)
     priced = prices.with_prices(act, candles(spark, a), {"close": 0}, time_col="t", missing=a.missing)
     rows = splits.temporal_split(priced.select("t", "receiver", "n_txns", F.col("amount").cast("double"), "close"),
@@ -77,8 +77,7 @@ def receiver_raw(spark, a) -> dict:
 def receiver_scores(spark, a) -> dict:
     train = Tx.read_receiver_activity(spark, f"{a.out}/receiver_account_raw_data/split=train")
     hrs = {"r30": a.hour // 2, "r1": a.hour, "r2": 2 * a.hour, "r3": 3 * a.hour, "r4": 4 * a.hour}
-    scores = materialise(J.receiver_scores(train, candles(spark, a), hrs, missing=a.missing,
-                                           float32=a.float32))[0]
+    scores = staged(J.receiver_scores(train, candles(spark, a), hrs, missing=a.missing, float32=a.float32), "scores")
     by_th = R.scores_by_threshold(scores).withColumn("threshold_pct", threshold_percent("threshold"))
     Wr.write_tuple_text(by_th.orderBy(F.desc("r4")), f"{a.out}/scored_receivers", list(Tx.SCORE_FIELDS),
                         partition_by=["threshold_pct"])
@@ -92,7 +91,7 @@ def block_features(spark, a) -> dict:
                             fanout_min=a.fanout_min, high_value=a.high_value, subsidy=a.subsidy,
                             version=a.version, missing=a.missing)
     n_train = a.train_v1 if a.version == 1 else a.train_v2
-    split = J.split_features(materialise(feat, count=False)[0], n_train, a.valid, embargo=a.embargo)
+    split = J.split_features(staged(feat, "features"), n_train, a.valid, embargo=a.embargo)
     Wr.write_parquet(split, f"{a.out}/block_features_v{a.version}", partition_by=["split"])
     return {r.split: r["count"] for r in split.groupBy("split").count().collect()}
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_seconds, floor_time
 from ..operators import chain, prices
-from ..operators.broadcast import fits
 from . import standins as S
 from .catalog import query
 from .nested import nested_blocks
@@ -225,10 +224,7 @@ def q_first_last_record(spark, sf):
                  F.max("time").alias("max_time"), F.max_by("txid", k).alias("last_txid"))
 
 
-# ------------------------------------------------------------------ SET-5, array form
-
-_SCORED_ARRAY_MAX = 50_000
-
+# ------------------------------------------------------------------ SET-5
 
 @query("receiver_coverage_arrays", with_(OUTS) + """
 , scored AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS receiver FROM lineitem
@@ -239,22 +235,15 @@ SELECT o.block_id,
 FROM (SELECT block_id, CAST(l_suppkey AS VARCHAR) AS sup FROM outs) o
 LEFT JOIN scored s ON s.receiver = o.sup GROUP BY o.block_id""")
 def q_receiver_coverage_arrays(spark, sf):
-    """SET-5: size of (scored ∩ block receivers) ÷ size of the scored set, with arrays.
+    """SET-5: size of (scored ∩ block receivers) ÷ size of the scored set, as a join.
 
     The dense receiver sets are suppliers; the scored set is suppliers with a
-    balance above 5000 that receive anything. The scored set becomes one literal
-    array only after a size check; above the bound the join form gives the same
-    figures.
+    balance above 5000 that receive anything.
     """
+    from ..operators.receivers import block_coverage
     outs = S.outputs(spark, sf, receiver="l_suppkey")
     sup = S.table(spark, sf, "supplier").filter(F.col("s_acctbal") > 5000).select(
         F.col("s_suppkey").cast("string").alias("receiver"))
     scored = outs.select("receiver").distinct().join(sup, "receiver", "left_semi")
-    per_block = outs.groupBy("block_id").agg(F.collect_set("receiver").alias("receivers"))
-    if fits(scored, _SCORED_ARRAY_MAX):
-        members = [r[0] for r in scored.collect()]
-        arr = F.array(*[F.lit(m) for m in members]) if members else F.array().cast("array<string>")
-        return per_block.select("block_id", chain.coverage_arrays(F.col("receivers"), arr).alias("coverage"))
-    from ..operators.receivers import block_coverage
     cov = block_coverage(outs, scored.withColumn("r4", F.lit(1.0)), thresholds=(1.0,))
     return cov.select("block_id", F.col("coverage_100").alias("coverage"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import receivers as R
-from ..operators.broadcast import materialise
+from ..sinks.staging import staged
 from . import jobs as J
 from . import standins as S
 from .catalog import query
@@ -23,13 +23,13 @@ def staged_outputs(spark, sf):
     """The flat outputs staged once for the multi-pass jobs (decoded blocks would be
     staged the same way): the coinbase table, the activity, the block summary and the
     coverage pairs all read this copy."""
-    return materialise(S.outputs(spark, sf), count=False)[0]
+    return staged(S.outputs(spark, sf), "outputs")
 
 
 def raw(spark, sf):
-    """JOB-2 output: a broadcast price lookup and a label over the materialised activity."""
+    """JOB-2 output: a price lookup and a label over the staged activity."""
     return J.receiver_raw(staged_outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
-                          cut_index=S.RECEIVER_CUT_INDEX)
+                          cut_index=S.RECEIVER_CUT_INDEX, missing="drop")
 
 
 def train(spark, sf):
@@ -37,19 +37,18 @@ def train(spark, sf):
 
 
 def scores(spark, sf):
-    """JOB-3 output (one row per popular receiver), materialised once."""
-    return materialise(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS),
-                       count=False)[0]
+    """JOB-3 output (one row per popular receiver), staged once."""
+    return staged(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS, missing="drop"), "scores")
 
 
 def features(spark, sf, version):
     sc = scores(spark, sf)
     feat = J.block_features(staged_outputs(spark, sf), sc, S.daily_candles(spark, sf), grain=S.GRAIN, hour=S.HOUR,
                             fanout_min=S.FANOUT_MIN, high_value=S.HIGH_VALUE, subsidy=S.SUBSIDY,
-                            version=version)
+                            version=version, missing="drop")
     n_train = S.TRAIN_BLOCKS_V1 if version == 1 else S.TRAIN_BLOCKS_V2
-    # one row per block; materialised so the split's two cut subqueries read it once
-    return J.split_features(materialise(feat, count=False)[0], n_train, S.VALID_BLOCKS)
+    # one row per block; staged so the split's two cut subqueries read it once
+    return J.split_features(staged(feat, "features"), n_train, S.VALID_BLOCKS)
 
 
 @query("receiver_activity", with_(OUTS) + f"""
@@ -69,10 +68,10 @@ def q_job_receiver_raw(spark, sf):
 
 
 @query("rekey_columns", _RAW + """
-SELECT t, receiver, n_txns, CAST(amount AS DOUBLE) AS amount, close FROM rawp WHERE split = 'test'""")
+SELECT t, receiver, n_txns, CAST(amount AS DOUBLE) AS amount, close FROM rawp""")
 def q_rekey_columns(spark, sf):
-    """PRJ-13: the test rows re-keyed to the text layout (t, receiver, n, amount, close)."""
-    r = raw(spark, sf).filter(F.col("split") == "test")
+    """PRJ-13: all rows re-keyed to the text layout (t, receiver, n, amount, close)."""
+    r = raw(spark, sf)
     return r.select("t", "receiver", "n_txns", F.col("amount").cast("double").alias("amount"), "close")
 
 

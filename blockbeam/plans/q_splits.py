@@ -76,10 +76,10 @@ def q_three_way_split(spark, sf):
                                   F.max("blockFloorTime").alias("last_time"))
 
 
-@query("distinct_timestamps", with_(OUTS, CANDLES, RAW) + "SELECT DISTINCT t FROM train")
+@query("distinct_timestamps", with_(OUTS, CANDLES, RAW) + "SELECT DISTINCT t FROM rawp")
 def q_distinct_timestamps(spark, sf):
-    """SET-3: distinct time buckets of the training activity."""
-    return raw(spark, sf).filter(F.col("split") == "train").select("t").distinct()
+    """SET-3: distinct time buckets of all activity."""
+    return raw(spark, sf).select("t").distinct()
 
 
 _Y1998 = 883612800  # 1998-01-01 00:00:00 UTC

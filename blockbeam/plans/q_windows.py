@@ -105,7 +105,7 @@ def q_block_lag_deltas(spark, sf):
 , s2 AS (SELECT event_id, u, u - min(u) OVER () AS xu, yc FROM s),
 w AS (SELECT event_id, u, count(*) OVER r AS n, sum(xu) OVER r AS sx, sum(yc) OVER r AS sy,
              sum(CAST(xu AS HUGEINT) * yc) OVER r AS sxy, sum(CAST(xu AS HUGEINT) * xu) OVER r AS sxx
-      FROM s2 WINDOW r AS (ORDER BY u ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+      FROM s2 WINDOW r AS (ORDER BY u, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
 SELECT event_id, u, CASE WHEN n = 5 AND (5 * sxx - sx * sx) <> 0 THEN
   CAST(CAST(5 * sxy - sx * sy AS VARCHAR) AS DOUBLE) / CAST(CAST(5 * sxx - sx * sx AS VARCHAR) AS DOUBLE)
   * 1000000 / 100 END AS slope_rows FROM w""")
@@ -114,5 +114,5 @@ def q_rolling_slope_rows(spark, sf):
     s = _series(spark, sf)
     start = s.select(F.min("u")).scalar()
     s = s.withColumn("xu", F.col("u") - start)
-    out = Wn.rolling_slope_rows(s, ["u"], "xu", "yc", 5)
+    out = Wn.rolling_slope_rows(s, ["u", "event_id"], "xu", "yc", 5)
     return out.select("event_id", "u", (F.col("slope_rows") * 1000000 / 100).alias("slope_rows"))

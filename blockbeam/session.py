@@ -46,13 +46,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names it (a shared file system path); only when it is unset, as in
-    local tests, a fresh scratch folder is created here.
+    local sessions, is a fresh scratch folder made here. Off a local master an unset
+    folder is an error: a machine-local one would be invisible to the executors. A folder
+    set by ``setCheckpointDir`` is kept.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    made = spark.sparkContext.getCheckpointDir()
+    if made is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if made is not None:
+        spark.conf.set("spark.checkpoint.dir", made)
+        return made
     local = tempfile.mkdtemp(prefix="blockbeam-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -62,10 +70,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def apply_core_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable core settings to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static confs on a session someone else built
-            pass
+        spark.conf.set(k, v)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 # stand-in time units; amounts in the files are cents, read back as coins of 1e8 units
 STANDIN = ["--grain", "86400", "--hour", "172800", "--receiver-cut-index", str(S.RECEIVER_CUT_INDEX),
            "--train-v2", str(S.TRAIN_BLOCKS_V2), "--valid", str(S.VALID_BLOCKS), "--fanout-min", str(S.FANOUT_MIN),
-           "--high-value", str(S.HIGH_VALUE * 100 / 1e8)]
+           "--high-value", str(S.HIGH_VALUE * 100 / 1e8), "--missing", "drop"]
 
 
 @pytest.fixture(scope="module")

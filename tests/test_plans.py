@@ -18,8 +18,6 @@ def plan(df) -> str:
 def test_flagship_plan(spark):
     p = plan(E.queries()["job_block_activity"](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    # every price offset is a broadcast hash join against the materialised candles
-    assert p.count("BroadcastHashJoin") >= 5
     assert "SortAggregate" not in p  # integer order keys keep the aggregates hash-based
     # column pruning reaches the scans: lineitem reads five of its columns, orders three
     li = [line for line in p.splitlines() if line.startswith("ReadSchema") and "l_orderkey" in line][0]

@@ -15,18 +15,32 @@ def facts(spark):
     return spark.createDataFrame([(0,), (60,), (120,)], "t long")
 
 
-@pytest.mark.parametrize("max_rows", [None, 10])  # shuffle path and broadcast path
-def test_missing_policies(spark, gap_prices, facts, max_rows):
+def test_missing_policies(spark, gap_prices, facts):
     offs = {"p0": 0, "p60": 60}
-    drop = P.with_prices(facts, gap_prices, offs, missing="drop", max_broadcast_rows=max_rows)
+    drop = P.with_prices(facts, gap_prices, offs, missing="drop")
     assert sorted(tuple(r) for r in drop.collect()) == [(0, 0.0, 60.0), (60, 60.0, 120.0)]
-    null = P.with_prices(facts, gap_prices, offs, missing="null", max_broadcast_rows=max_rows)
+    null = P.with_prices(facts, gap_prices, offs, missing="null")
     assert sorted(tuple(r) for r in null.collect()) == [(0, 0.0, 60.0), (60, 60.0, 120.0), (120, 120.0, None)]
-    err = P.with_prices(facts, gap_prices, offs, missing="error", max_broadcast_rows=max_rows)
+    err = P.with_prices(facts, gap_prices, offs, missing="error")
     with pytest.raises(Exception, match="no candle"):
         err.collect()
 
 
+def test_a_candle_with_a_null_price_is_not_absent(spark):
+    candles = spark.createDataFrame([(0, 1.0), (60, None)], "unix long, close double")
+    facts = spark.createDataFrame([(0,), (60,), (120,)], "t long")
+    drop = P.with_prices(facts, candles, {"p0": 0}, missing="drop").collect()
+    assert sorted(map(tuple, drop)) == [(0, 1.0), (60, None)]
+    ok = P.with_prices(facts.where("t < 100"), candles, {"p0": 0}).collect()
+    assert sorted(map(tuple, ok)) == [(0, 1.0), (60, None)]
+    assert P.missing_report(facts, candles, {"p0": 0}).first().missing_p0 == 1
+
+
+def test_one_join_on_the_fact_side(spark, gap_prices, facts):
+    plan = P.with_prices(facts, gap_prices, {"a": 0, "b": 60, "c": 120}, missing="null")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
 def test_missing_report(spark, gap_prices, facts):
     r = P.missing_report(facts, gap_prices, {"p0": 0, "p60": 60, "p120": 120}).first()
     assert (r.n_rows, r.missing_p0, r.missing_p60, r.missing_p120) == (3, 0, 1, 1)  # 180 is absent
