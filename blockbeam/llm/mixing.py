@@ -119,6 +119,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     text = F.col("_row.text").cast("string")
     whole = docs.select(F.struct(*spare).alias("_row"), order_hash().alias("h"), F.crc32(F.col("text").cast("string")).alias("c"), n_words(F.col("text").cast("string")).alias("size"), F.col("source").cast("string").alias("_source"))
     whole = whole.withColumn("twin", number("_source"))
+    # the join then keeps the texts where the numbering has put them, by a part of its keys
+    docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     taken = assign(docs, **options).where("taken > 0").withColumn("twin", number("source"))
     taken = taken.select("h", "c", "size", "twin", F.explode(F.arrays_zip("takes", "positions")).alias("t")).where("t.takes > 0")
     # neither side is small at scale, so neither is to be broadcast at any size
