@@ -58,7 +58,7 @@ def block_activity(spark, a) -> dict:
     priced = prices.with_prices(act, candles(spark, a), offs, time_col="t", missing=a.missing)
     names = dict(zip(["t", "n_txns", "total_amount", "fee_reward", *offs], ACTIVITY_COLUMNS))
     table = priced.select(*[F.col(k).alias(v) for k, v in names.items()])
-    Wr.write_sorted_single_csv(table, f"{a.out}/block_activity", ["block_timestamp"])
+    Wr.write_sorted_csv(table, f"{a.out}/block_activity", ["block_timestamp"], single_file=a.single_file)
     return {"rows": spark.read.option("header", True).csv(f"{a.out}/block_activity").count()}
 
 
@@ -128,6 +128,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--version", type=int, default=2, choices=[1, 2])
     p.add_argument("--float32", action="store_true", help="single-precision hit rates (quirk Q1)")
+    p.add_argument("--single-file", dest="single_file", action="store_true", help="block-activity as one CSV (small reports)")
     p.add_argument("--time-folds", dest="time_folds", action="store_true")
     for k, v in DEFAULTS.items():
         p.add_argument(f"--{k.replace('_', '-')}", dest=k, type=type(v), default=v)

@@ -1,10 +1,11 @@
 """Nested block rows built from the stand-in tables.
 
-Real nested rows come from the block-file source (``sources.blocks``). For the
-stand-ins, outputs are folded back into their transaction and block: per order
-(at most seven lineitems) and then per block. Real blocks are bounded by the
-protocol's size limit; the stand-in blocks are (day, status) groups of orders.
-Amounts are integer base units (cents) and scripts are receiver strings.
+Real nested rows come from the block-file source (``sources.blocks``) and are bounded by
+the protocol's size limit. The nested stand-in block is bounded likewise: it holds the
+orders of ``ORDERS_PER_BLOCK`` consecutive order keys (at most that many transactions of
+at most seven outputs), so the number of blocks grows with the data and a row does not.
+Its time is the earliest order date, its id and nonce are its height. Amounts are integer
+base units (cents) and scripts are receiver strings.
 """
 
 from __future__ import annotations
@@ -13,17 +14,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import standins as S
 
+ORDERS_PER_BLOCK = 64
+
+
+def fold_outputs(outs: DataFrame) -> DataFrame:
+    """Flat outputs -> one row per block with its transactions and their outputs as arrays,
+    in position order; the blocks of ``outs`` must be of bounded size."""
+    cents = (F.col("amount") * 100).cast("long").alias("amount_sat")
+    txs = outs.groupBy("block_id", "txid").agg(
+        F.min("time").alias("time"),
+        F.array_sort(F.collect_list(F.struct(F.col("out_pos").alias("k"), cents, F.col("receiver").alias("script")))).alias("_outs"))
+    bare = F.transform("_outs", lambda o: F.struct(o["amount_sat"].alias("amount_sat"), o["script"].alias("script")))
+    blocks = txs.groupBy("block_id").agg(
+        F.min("time").alias("time"),
+        F.array_sort(F.collect_list(F.struct("txid", bare.alias("outs")))).alias("txs"))
+    return blocks.select("block_id", "time", "txs")
+
 
 def nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outs = S.outputs(spark, sf_dir).withColumn(
-        "amount_sat", (F.col("amount") * 100).cast("long"))
-    txs = outs.groupBy("block_id", "time", "txid").agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("out_pos").alias("k"), "amount_sat", F.col("receiver").alias("script")))).alias("_outs"))
-    txs = txs.select("block_id", "time", F.struct(
-        F.col("txid").alias("k"), "txid",
-        F.transform("_outs", lambda o: F.struct(o["amount_sat"].alias("amount_sat"),
-                                                 o["script"].alias("script"))).alias("outs")).alias("tx"))
-    blocks = txs.groupBy("block_id", "time").agg(F.array_sort(F.collect_list("tx")).alias("_txs"))
-    return blocks.select("block_id", "time", F.transform(
-        "_txs", lambda t: F.struct(t["txid"].alias("txid"), t["outs"].alias("outs"))).alias("txs"))
+    """The nested stand-in: block_id (the height as text), time, txs, nonce (the height)."""
+    height = F.floor(F.col("txid") / F.lit(ORDERS_PER_BLOCK)).cast("long")
+    outs = S.outputs(spark, sf_dir).withColumn("block_id", height.cast("string"))
+    return fold_outputs(outs).withColumn("nonce", F.col("block_id").cast("long"))

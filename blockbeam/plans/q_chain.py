@@ -10,7 +10,7 @@ from ..operators import chain, prices
 from . import standins as S
 from .catalog import query
 from .nested import nested_blocks
-from .sqlviews import ACTIVITY, BLOCKS, CANDLES, FIRSTS, OUTS, epoch, hours, with_
+from .sqlviews import ACTIVITY, BLOCKS, CANDLES, FIRSTS, NESTED_OUTS, OUTS, epoch, hours, with_
 
 # Column names of the block-activity table (fixed values: the reference's CSV header).
 ACTIVITY_COLUMNS = ("block_timestamp", "num_txns_in_block", "total_btc_in_block", "total_fee_reward",
@@ -68,7 +68,7 @@ _TXPOS_SQL = """txs AS (
   FROM outs GROUP BY block_id, time, txid)"""
 
 
-@query("explode_txs", with_(OUTS, _TXPOS_SQL) + """
+@query("explode_txs", with_(NESTED_OUTS, _TXPOS_SQL) + """
 SELECT block_id, time, tx_pos, txid, CAST(n_outputs AS INTEGER) AS n_outputs FROM txs""")
 def q_explode_txs(spark, sf):
     """PRJ-2: nested blocks flattened to one row per transaction with its position."""
@@ -76,7 +76,7 @@ def q_explode_txs(spark, sf):
         "block_id", "time", "tx_pos", "txid", F.size("outs").alias("n_outputs"))
 
 
-@query("explode_outputs", with_(OUTS, _TXPOS_SQL) + """
+@query("explode_outputs", with_(NESTED_OUTS, _TXPOS_SQL) + """
 SELECT o.block_id, o.time, t.tx_pos, o.txid,
        CAST(row_number() OVER (PARTITION BY o.txid ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1
             AS INTEGER) AS out_pos,
@@ -183,7 +183,7 @@ def q_tx_fanout(spark, sf):
     return chain.tx_fanout(S.outputs(spark, sf))
 
 
-@query("block_features_nested", with_(OUTS, FIRSTS) + f"""
+@query("block_features_nested", with_(NESTED_OUTS, FIRSTS) + f"""
 SELECT o.block_id, o.time, CAST(count(DISTINCT o.txid) AS INTEGER) AS n_txns,
        CAST(sum(round(o.amount * 100)) AS BIGINT) AS total_sat,
        CAST(round(f.first_amount * 100) AS BIGINT) - 625 AS fee_reward_sat,
@@ -200,7 +200,7 @@ def q_block_features_nested(spark, sf):
 
 # ------------------------------------------------------------------ listing, order, bounds
 
-@query("job_tx_listing", with_(OUTS) + "SELECT DISTINCT time, txid FROM outs")
+@query("job_tx_listing", with_(NESTED_OUTS) + "SELECT DISTINCT time, txid FROM outs")
 def q_job_tx_listing(spark, sf):
     """JOB-7: (time, txid) per transaction from the nested rows."""
     return chain.list_transactions(nested_blocks(spark, sf))

@@ -10,33 +10,37 @@ from pyspark.sql import functions as F
 from ..functions.scalars import epoch_seconds
 from ..sinks import writers as Wr
 from ..sinks.scratch import scratch_path
+from ..sinks.staging import staged
 from ..sources import blocks as B, candles as C, text as Tx
 from . import standins as S
 from .catalog import query
 from .nested import nested_blocks
 from .q_chain import block_activity_job
 from .q_receivers import features, raw, scores
-from .sqlviews import (BLOCKS, CANDLES, FEATURES, FIRSTS, HITS, OUTS, POP, RAW, epoch, split_sql,
+from .sqlviews import (BLOCKS, CANDLES, FEATURES, FIRSTS, HITS, NESTED_OUTS, OUTS, POP, RAW, epoch, split_sql,
                        with_)
 from .q_chain import _JOB1_SQL
 
 _FEAT = with_(OUTS, CANDLES, RAW, POP, HITS, FIRSTS, BLOCKS, FEATURES)
 
 
-def _n_files(spark) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+#: Blocks of a written block file, candles of a written CSV: files of bounded size, more of them for more data.
+_FILE_BLOCKS, _FILE_CANDLES = 2048, 100_000
 
 
-def _block_dir(spark, sf):
-    """Stand-in blocks written as framed block files (status letter in the nonce)."""
-    nb = nested_blocks(spark, sf)
-    nb = nb.select("time", F.ascii(F.substring_index("block_id", "-", -1)).cast("long").alias("nonce"),
-                   F.transform("txs", lambda t: F.struct(t["txid"].alias("txid"), F.transform(
+def _n_files(spark, rows: int, per_file: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), -(-rows // per_file))
+
+
+def block_dir(spark, blocks):
+    """Nested blocks (time, nonce, txs) written as framed block files."""
+    nb = staged(blocks, "nested")
+    nb = nb.select("time", "nonce", F.transform("txs", lambda t: F.struct(t["txid"].alias("txid"), F.transform(
                        t["outs"], lambda o: F.struct(o["amount_sat"].alias("amount_sat"),
                                                      F.lower(F.hex(o["script"])).alias("script"))).alias("outs")))
                    .alias("txs"))
     path = scratch_path(spark, "blocks")
-    B.write_block_files(nb, path, _n_files(spark)).collect()  # one summary row per file
+    B.write_block_files(nb, path, _n_files(spark, nb.count(), _FILE_BLOCKS)).agg(F.count(F.lit(1))).collect()
     return path
 
 
@@ -47,7 +51,7 @@ def _varint_len(c: str) -> str:
 # Expected payload sizes from the wire format: header 80, tx count, and per
 # transaction version 4 + one placeholder input (1 + 32 + 4 + 1 + 4) + output count
 # + outputs (8 + script length + script) + lock time 4; scripts are the receiver's bytes.
-_FRAMES_SQL = with_(OUTS) + f"""
+_FRAMES_SQL = with_(NESTED_OUTS) + f"""
 , tx AS (SELECT block_id, txid, count(*) AS n_out,
                 sum(8 + {_varint_len('length(receiver)')} + length(receiver)) AS out_bytes
          FROM outs GROUP BY block_id, txid),
@@ -61,31 +65,30 @@ SELECT count(*) AS n_frames, CAST(sum(size) AS BIGINT) AS payload_bytes,
 @query("src_block_frames", _FRAMES_SQL)
 def q_src_block_frames(spark, sf):
     """SRC-1: the frames of the written block files (one per block), summarised."""
-    f = B.read_block_frames(spark, _block_dir(spark, sf), glob="*.dat")
+    f = B.read_block_frames(spark, block_dir(spark, nested_blocks(spark, sf)), glob="*.dat")
     return f.agg(F.count(F.lit(1)).alias("n_frames"), F.sum("size").alias("payload_bytes"),
                  F.min("size").alias("min_size"), F.max("size").alias("max_size"))
 
 
-@query("src_block_rows", with_(OUTS) + """
+@query("src_block_rows", with_(NESTED_OUTS) + """
 SELECT block_id, time, CAST(count(DISTINCT txid) AS INTEGER) AS n_txns, CAST(count(*) AS BIGINT) AS n_outputs,
        CAST(sum(round(amount * 100)) AS BIGINT) AS total_sat FROM outs GROUP BY block_id, time""")
 def q_src_block_rows(spark, sf):
     """SRC-1 + SRC-2: decoded nested rows, summarised per block."""
-    b = B.read_block_files(spark, _block_dir(spark, sf), glob="*.dat")
+    b = B.read_block_files(spark, block_dir(spark, nested_blocks(spark, sf)), glob="*.dat")
     amounts = F.flatten(F.transform("txs", lambda t: F.transform(t["outs"], lambda o: o["amount_sat"])))
-    return b.select(F.concat(F.col("time").cast("string"), F.lit("-"), F.char(F.col("nonce"))).alias("block_id"),
-                    "time", F.size("txs").alias("n_txns"), F.size(amounts).cast("long").alias("n_outputs"),
+    return b.select(F.col("nonce").cast("string").alias("block_id"), "time", F.size("txs").alias("n_txns"), F.size(amounts).cast("long").alias("n_outputs"),
                     F.aggregate(amounts, F.lit(0).cast("long"), lambda a, x: a + x).alias("total_sat"))
 
 
 _RAWSEL = "t, receiver, CAST(n_txns AS INTEGER) AS n_txns, CAST(amount AS DOUBLE) AS amount, close"
 
 
-@query("src_receiver_csv", with_(OUTS, CANDLES, RAW) + f"SELECT {_RAWSEL} FROM rawp WHERE split = 'train'")
+@query("src_receiver_csv", with_(OUTS, CANDLES, RAW) + f"SELECT {_RAWSEL} FROM rawp")
 def q_src_receiver_csv(spark, sf):
-    """SRC-5: training receiver activity written as CSV text and read back by schema."""
-    path = scratch_path(spark, "train_receiver")
-    r = raw(spark, sf).filter(F.col("split") == "train")
+    """SRC-5: receiver activity (train and test) written as CSV text and read back by schema."""
+    path = scratch_path(spark, "receiver")
+    r = raw(spark, sf)
     Wr.write_csv(r.select("t", "receiver", "n_txns", F.col("amount").cast("double"), "close"), path)
     return Tx.read_receiver_activity(spark, path)
 
@@ -122,11 +125,10 @@ def q_src_score_tuples(spark, sf):
     return Tx.read_score_tuples(spark, _scores_dir(spark, sf)).select("threshold_pct", "receiver").distinct()
 
 
-@query("snk_scores_partitioned", _SCORED_SQL + "SELECT threshold_pct, receiver FROM scored WHERE threshold_pct = 65")
+@query("snk_scores_partitioned", _SCORED_SQL + "SELECT threshold_pct, receiver FROM scored")
 def q_snk_scores_partitioned(spark, sf):
-    """SNK-4: one folder per threshold; reading one threshold prunes the others."""
-    back = Tx.read_score_tuples(spark, _scores_dir(spark, sf))
-    return back.filter(F.col("threshold_pct") == 65).select("threshold_pct", "receiver")
+    """SNK-4: one folder per threshold, all five read back."""
+    return Tx.read_score_tuples(spark, _scores_dir(spark, sf)).select("threshold_pct", "receiver")
 
 
 @query("snk_text_roundtrip", with_(OUTS) + "SELECT DISTINCT time, txid FROM outs")
@@ -146,9 +148,9 @@ _ACT_COLS = ("block_timestamp long, num_txns_in_block long, total_btc_in_block d
 
 @query("snk_activity_csv_roundtrip", _JOB1_SQL)
 def q_snk_activity_csv_roundtrip(spark, sf):
-    """SNK-3: the block-activity table as one sorted CSV with a header, read back."""
+    """SNK-3: the block-activity table as sorted CSV with headers, read back."""
     path = scratch_path(spark, "block_activity_csv")
-    Wr.write_sorted_single_csv(block_activity_job(spark, sf), path, ["block_timestamp"])
+    Wr.write_sorted_csv(block_activity_job(spark, sf), path, ["block_timestamp"])
     return spark.read.option("header", True).schema(_ACT_COLS).csv(path)
 
 
@@ -226,23 +228,27 @@ _CANDLE_CSV_SCHEMA = "unix long, low double, high double, open double, close dou
 
 
 def _write_named_csvs(df, path, suffix):
-    """Executors write one pandas CSV per partition named ``iter<k><suffix>``."""
+    """Executors write one pandas CSV per partition named ``iter<k><suffix>``, batch by batch."""
     base = path.rstrip("/")
     cols = list(df.columns)
 
     def write(batches):
         import pyarrow.fs as pafs
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid = ctx.partitionId()
         fs, root = (pafs.FileSystem.from_uri(base) if "://" in base
                     else (pafs.LocalFileSystem(), base.removeprefix("file:")))
         fs.create_dir(root, recursive=True)
-        frames = [b.to_pandas() for b in batches]
-        import pandas as pd
-        pdf = pd.concat(frames) if frames else pd.DataFrame(columns=cols)
-        with fs.open_output_stream(f"{root}/candles_iter{pid}{suffix}") as out:
-            out.write(pdf.to_csv(index=False).encode())
-        yield pa.RecordBatch.from_pylist([{"n": len(pdf)}])
+        final, tmp = f"{root}/candles_iter{pid}{suffix}", f"{root}/.candles_iter{pid}{suffix}.{ctx.attemptNumber()}"
+        n = 0
+        with fs.open_output_stream(tmp) as out:
+            out.write((",".join(cols) + "\n").encode())
+            for b in batches:
+                out.write(b.to_pandas().to_csv(index=False, header=False).encode())
+                n += b.num_rows
+        fs.move(tmp, final)  # a failed attempt leaves no part-written file of that name
+        yield pa.RecordBatch.from_pylist([{"n": n}])
 
     return df.mapInArrow(write, "n long")
 
@@ -254,7 +260,7 @@ def q_src_candle_csv_glob(spark, sf):
     c = S.daily_candles(spark, sf).select("unix", "low", "high", "open", "close", "volume", "vol_fiat")
     path = scratch_path(spark, "candle_csvs")
     c.write.mode("overwrite").option("header", True).csv(path)  # Spark part files: not *_data.csv
-    _write_named_csvs(c.repartition(_n_files(spark), "unix"), path, "_data.csv").collect()
+    _write_named_csvs(c.repartition(_n_files(spark, c.count(), _FILE_CANDLES), "unix"), path, "_data.csv").agg(F.sum("n")).collect()
     return (spark.read.option("header", True).option("pathGlobFilter", "*_data.csv")
             .schema(_CANDLE_CSV_SCHEMA).csv(path))
 

@@ -6,6 +6,7 @@ pre-registered test tables; ``with_(...)`` joins the ones a query needs.
 
 from __future__ import annotations
 
+from .nested import ORDERS_PER_BLOCK
 from .standins import FANOUT_MIN, GRAIN, HIGH_VALUE, HOUR, SUBSIDY
 
 EPOCH = "(epoch_us({c}) // 1000000)"
@@ -23,6 +24,12 @@ OUTS = f"""outs AS (
          CAST(l_partkey AS VARCHAR) AS receiver
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+# the nested stand-in's blocks (plans.nested): runs of order keys, timed by their earliest order
+NESTED_OUTS = OUTS.replace("outs AS (", "flat AS (", 1) + f""",
+outs AS (
+  SELECT * EXCLUDE (block_id, time), CAST(txid // {ORDERS_PER_BLOCK} AS VARCHAR) AS block_id,
+         min(time) OVER (PARTITION BY txid // {ORDERS_PER_BLOCK}) AS time FROM flat)"""
+
 CANDLES = f"""candles AS (
   SELECT unix, low, high, open, close, volume, make_timestamp(unix * 1000000) AS date,
          volume * close AS vol_fiat

@@ -30,11 +30,12 @@ def write_csv(df: DataFrame, path: str, header: bool = False, partition_by: Sequ
     w.csv(path)
 
 
-def write_sorted_single_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """SNK-3: one sorted CSV file with a header. The sort is distributed; only the
-    final (already ordered) write runs in one task, so use it for report-sized
-    tables such as one row per minute."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str], single_file: bool = False) -> None:
+    """SNK-3: sorted CSV with headers: a range-partitioned sort whose part files, in name
+    order, hold the rows in order. ``single_file`` is for small reports only: one task then
+    sorts and writes all rows."""
+    out = df.coalesce(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False) -> None:

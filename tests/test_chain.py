@@ -44,3 +44,14 @@ def test_tx_fanout(spark):
     outs = CH.explode_outputs(_blocks(spark))
     f = {r.txid: (r.n_receivers, r.n_unique_receivers) for r in CH.tx_fanout(outs).collect()}
     assert f["cb1"] == (2, 2) and f["t1"][0] == 11
+
+
+def test_nested_rows_do_not_grow_with_the_data(spark):
+    from blockbeam.plans.nested import ORDERS_PER_BLOCK, nested_blocks
+    blocks = {}
+    for sf in ("0.001", "0.01"):
+        b = nested_blocks(spark, f"/root/testdata/sf{sf}").select(F.size("txs").alias("n"))
+        r = b.agg(F.count(F.lit(1)).alias("blocks"), F.max("n").alias("largest")).first()
+        assert r.largest <= ORDERS_PER_BLOCK
+        blocks[sf] = r.blocks
+    assert blocks["0.01"] > 5 * blocks["0.001"]

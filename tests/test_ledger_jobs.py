@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from blockbeam.plans import ledger_jobs as LJ, standins as S
 from blockbeam.plans.q_chain import block_activity_job
 from blockbeam.plans.q_receivers import features
-from blockbeam.plans.q_sources import _block_dir
+from blockbeam.plans.nested import fold_outputs
+from blockbeam.plans.q_sources import block_dir
 
 SF = "/root/testdata/sf0.001"
 # stand-in time units; amounts in the files are cents, read back as coins of 1e8 units
@@ -21,7 +22,9 @@ STANDIN = ["--grain", "86400", "--hour", "172800", "--receiver-cut-index", str(S
 @pytest.fixture(scope="module")
 def inputs(spark):
     from blockbeam.sinks.scratch import scratch_path
-    blocks = _block_dir(spark, SF)
+    # the flat stand-in's (day, status) blocks, small at this scale; the status letter is the nonce
+    nested = fold_outputs(S.outputs(spark, SF))
+    blocks = block_dir(spark, nested.withColumn("nonce", F.ascii(F.substring_index("block_id", "-", -1)).cast("long")))
     cpath = scratch_path(spark, "candles.parquet")
     S.daily_candles(spark, SF).write.parquet(cpath)
     return blocks, cpath, scratch_path(spark, "ledger_out")

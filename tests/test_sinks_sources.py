@@ -38,13 +38,15 @@ def test_receiver_csv_round_trip(spark, tmp_out):
 def test_single_sorted_csv_and_overwrite(spark, tmp_out):
     df = spark.createDataFrame([(t, t * 2.0) for t in (300, 100, 200)], "t long, v double")
     path = tmp_out("sorted")
-    Wr.write_sorted_single_csv(df.repartition(3), path, ["t"])
+    Wr.write_sorted_csv(df.repartition(3), path, ["t"], single_file=True)
     files = glob.glob(os.path.join(path.removeprefix("file:"), "*.csv"))
     assert len(files) == 1
     lines = open(files[0]).read().split()
     assert lines[0] == "t,v" and [x.split(",")[0] for x in lines[1:]] == ["100", "200", "300"]
-    Wr.write_sorted_single_csv(df, path, ["t"])  # overwrite, not append
+    Wr.write_sorted_csv(df, path, ["t"])  # overwrite, not append
     assert spark.read.option("header", True).csv(path).count() == 3
+    parts = sorted(glob.glob(os.path.join(path.removeprefix("file:"), "*.csv")))
+    assert [x.split(",")[0] for p in parts for x in open(p).read().split()[1:]] == ["100", "200", "300"]
 
 
 def test_parquet_partitioned_and_dual(spark, tmp_out):
