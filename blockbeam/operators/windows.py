@@ -12,8 +12,9 @@
   no task holds more than its share of rows however dense a time span is, and
   the cost is linear in the rows (a sliding RANGE frame would re-aggregate the
   whole frame each time its lower end moves).
-* row-framed windows (WIN-4, WIN-5, WIN-7): equi-joins / aggregations on the row
-  index (each row is fanned out to at most ``k`` neighbours).
+* row-framed windows (WIN-4, WIN-5, WIN-7): ordinary windows inside each range
+  partition; only the last ``k`` rows of a partition are sent on, to the first rows of
+  the partitions after it (a table of at most ``k`` x ``k`` rows per partition).
 
 Regression slopes use exact integer sums (x and y scaled to integers, DECIMAL(38,0)
 accumulation) and one final double division, so they do not depend on how rows
@@ -42,30 +43,46 @@ def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
     ``spark.checkpoint.dir``) so partition ids and record numbers are fixed before
     they are combined, and a lost executor recomputes nothing upstream.
     """
+    return _numbered(df, order_cols, name, num_partitions).drop("_pid", "_local", "_off", "_cnt")
+
+
+def _numbered(df: DataFrame, order_cols: Sequence[str], name: str, num_partitions: int | None = None) -> DataFrame:
+    """``row_index`` with each row's range partition, place and partition size (_pid, _local, _cnt)."""
     n = num_partitions or _n_parts(df.sparkSession)
     parted = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
     parted = parted.checkpoint(eager=True)
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select("_pid", F.coalesce(
+    offsets = counts.select("_pid", "_cnt", F.coalesce(
         F.sum("_cnt").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     # one row per partition: always small enough to broadcast
     out = parted.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, F.col("_local") + F.col("_off")).drop("_pid", "_local", "_off")
+    return out.withColumn(name, F.col("_local") + F.col("_off"))
+
+
+def _sent_on(idx: DataFrame, ks: Sequence[int], cols: Sequence[str]) -> DataFrame:
+    """(_to, _k, cols): the rows that the ends of range partitions send ``k`` positions on, past
+    the end of their own partition. At most ``max(ks)`` rows of a partition send anything, so the
+    table grows with the number of partitions and not with the rows."""
+    step = F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k")
+    ends = idx.filter(F.col("_local") + max(ks) >= F.col("_cnt")).select("_idx", "_local", "_cnt", *cols, step)
+    return ends.filter(F.col("_local") + F.col("_k") >= F.col("_cnt")).select(
+        (F.col("_idx") + F.col("_k")).alias("_to"), "_k", *cols)
 
 
 def lags(df: DataFrame, order_cols: Sequence[str], cols: Sequence[str], ks: Sequence[int]) -> DataFrame:
-    """WIN-4: ``lag(c, k)`` for each column and k. On the row index, every row sends
-    its values to the rows ``k`` positions later (a fan-out of ``len(ks)``), one
-    aggregation per receiving row collects them, and one join brings them back."""
-    idx = row_index(df, order_cols, "_idx")
+    """WIN-4: ``lag(c, k)`` for each column and k: a window inside each range partition; the first
+    ``k`` rows of a partition get theirs from the ends of the partitions before it."""
     ks = list(ks)
-    sends = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("_idx") + F.lit(k)).alias("to")) for k in ks]))
-    sent = idx.select(sends.alias("_s"), *cols).select(F.col("_s.to").alias("_idx"), F.col("_s.k").alias("_k"), *cols)
-    got = sent.groupBy("_idx").agg(*[F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"{c}_lag{k}")
-                                     for k in ks for c in cols])
-    return idx.join(got, "_idx", "left").drop("_idx")
+    idx = _numbered(df, order_cols, "_idx")
+    own = W.partitionBy("_pid").orderBy("_local")
+    inner = idx.withColumns({f"{c}_lag{k}": F.lag(c, k).over(own) for k in ks for c in cols})
+    got = _sent_on(idx, ks, cols).groupBy("_to").agg(
+        *[F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"_got_{c}_{k}") for k in ks for c in cols])
+    out = inner.join(F.broadcast(got), F.col("_idx") == F.col("_to"), "left")
+    return out.select(*df.columns, *[F.when(F.col("_local") < k, F.col(f"_got_{c}_{k}")).otherwise(
+        F.col(f"{c}_lag{k}")).alias(f"{c}_lag{k}") for k in ks for c in cols])
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sums: Sequence[str], lasts: Sequence[str] = (),
@@ -149,7 +166,13 @@ def rolling_slope_reversed(df: DataFrame, u: str, y_int: str, frame: int, tiebre
     y = F.col(y_int).cast(DEC)
     out = frame_sums(df, u, frame, {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x},
                      tiebreak=tiebreak)
-    out = out.withColumn("_slope", _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
+    # positions count from the frame's own row on (the slope is the same): the products below
+    # then depend on the frame's length alone, and not on how many rows come before it
+    n, sx, sy = F.col("_n"), F.col("_sx"), F.col("_sy")
+    own_sx = (sx - n * x).cast(DEC)
+    own_sxy = (F.col("_sxy") - x * sy).cast(DEC)
+    own_sxx = (F.col("_sxx") - x * sx - x * own_sx).cast(DEC)
+    out = out.withColumn("_slope", _slope(n, own_sx, sy, own_sxy, own_sxx))
     return out.drop("_i", "_n", "_sx", "_sy", "_sxy", "_sxx")
 
 
@@ -171,15 +194,19 @@ def rolling_slope_rows(df: DataFrame, order_cols: Sequence[str], x_int: str, y_i
                        name: str = "slope_rows") -> DataFrame:
     """WIN-7: slope of y on x over the last ``rows`` rows (NULL until that many exist).
 
-    Each row is sent to the ``rows`` window ends it belongs to (bounded fan-out),
-    the five sums are aggregated per window end, then joined back on the index.
+    The five sums are windows inside each range partition; the ends of the partitions
+    before add what they hold of the first ``rows - 1`` frames.
     """
-    idx = row_index(df, order_cols, "_idx")
-    fan = idx.select(F.explode(F.sequence(F.col("_idx"), F.col("_idx") + F.lit(rows - 1))).alias("_end"),
-                     F.col(x_int).cast(DEC).alias("_xx"), F.col(y_int).cast(DEC).alias("_yy"))
-    sums = fan.groupBy("_end").agg(F.count(F.lit(1)).alias("_n"), F.sum("_xx").alias("_sx"),
-                                   F.sum("_yy").alias("_sy"), F.sum(F.col("_xx") * F.col("_yy")).alias("_sxy"),
-                                   F.sum(F.col("_xx") * F.col("_xx")).alias("_sxx"))
-    out = idx.join(sums, idx["_idx"] == sums["_end"], "left")
-    slope = F.when(F.col("_n") == rows, _slope(F.col("_n"), F.col("_sx"), F.col("_sy"), F.col("_sxy"), F.col("_sxx")))
-    return out.withColumn(name, slope).drop("_idx", "_end", "_n", "_sx", "_sy", "_sxy", "_sxx")
+    x, y = F.col(x_int).cast(DEC), F.col(y_int).cast(DEC)
+    terms = {"_n": F.lit(1).cast(DEC), "_sx": x, "_sy": y, "_sxy": (x * y).cast(DEC), "_sxx": (x * x).cast(DEC)}
+    idx = _numbered(df, order_cols, "_idx").withColumns({f"_v{t}": e for t, e in terms.items()})
+    own = W.partitionBy("_pid").orderBy("_local").rowsBetween(1 - rows, W.currentRow)
+    inner = idx.withColumns({f"_w{t}": F.sum(f"_v{t}").over(own) for t in terms})
+    got = _sent_on(idx, range(1, rows), [f"_v{t}" for t in terms]).groupBy("_to").agg(
+        *[F.sum(f"_v{t}").alias(f"_g{t}") for t in terms]) if rows > 1 else None
+    if got is not None:
+        inner = inner.join(F.broadcast(got), F.col("_idx") == F.col("_to"), "left")
+    total = {t: (F.col(f"_w{t}") + F.coalesce(F.col(f"_g{t}"), F.lit(0).cast(DEC)) if got is not None
+                 else F.col(f"_w{t}")).cast(DEC) for t in terms}
+    slope = F.when(total["_n"] == rows, _slope(*total.values()))
+    return inner.select(*df.columns, slope.alias(name))

@@ -83,6 +83,26 @@ def test_row_index_lags_and_rows_slope(spark):
             assert abs(sl[u] - want) < 1e-9 * max(1.0, abs(want))
 
 
+def test_row_frames_across_short_partitions(spark):
+    # 11 rows in up to 9 range partitions: frames reach over several partitions
+    df = spark.createDataFrame([(i, i * i % 13) for i in range(11)], "u long, yc long")
+    yc = [i * i % 13 for i in range(11)]
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = {r.u: r for r in Wn.lags(df, ["u"], ["yc"], [1, 4]).collect()}
+        sl = {r.u: r.slope for r in Wn.rolling_slope_rows(df, ["u"], "u", "yc", 5, "slope").collect()}
+        one = Wn.rolling_slope_rows(df, ["u"], "u", "yc", 1, "slope").collect()
+        empty = Wn.lags(df.limit(0), ["u"], ["yc"], [1]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for i in range(11):
+        assert got[i].yc_lag1 == (yc[i - 1] if i >= 1 else None)
+        assert got[i].yc_lag4 == (yc[i - 4] if i >= 4 else None)
+        want = np.polyfit(range(5), yc[i - 4:i + 1], 1)[0] if i >= 4 else None
+        assert (sl[i] is None) if want is None else abs(sl[i] - want) < 1e-9
+    assert [r.slope for r in one] == [None] * 11 and empty == []
+
+
 def test_ordinal(spark):
     df = spark.createDataFrame([(t,) for t in (5, 3, 3, 9, 1)], "t long")
     assert [(r.t, r.ordinal) for r in Sp.ordinal(df, "t").orderBy("t").collect()] == [(1, 0), (3, 1), (5, 2), (9, 3)]
