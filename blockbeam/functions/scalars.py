@@ -75,26 +75,17 @@ def to_coins(amount_sat, scale: int = 8) -> Column:
 
 # ---------------------------------------------------------------- receivers (STR-1)
 
-def _hash160_hex(hex_str: str | None) -> str | None:
-    if hex_str is None:
-        return None
-    try:
-        raw = bytes.fromhex(hex_str)
-    except ValueError:
-        return None
-    sha = hashlib.sha256(raw).digest()
+def _hash160_hex(hex_str: str) -> str:
+    sha = hashlib.sha256(bytes.fromhex(hex_str)).digest()  # text that is no hex fails the job
     return hashlib.new("ripemd160", sha).hexdigest()
 
 
 @F.pandas_udf(T.StringType())
 def hash160_hex(s: pd.Series) -> pd.Series:
-    """RIPEMD160(SHA256(bytes)) of a hex string, as lowercase hex. Only non-NULL
-    entries (the scripts that reach the hash branch) are hashed."""
-    out = pd.Series([None] * len(s), index=s.index, dtype=object)
-    mask = s.notna()
-    if mask.any():
-        out[mask] = s[mask].map(_hash160_hex)
-    return out
+    """RIPEMD160(SHA256(bytes)) of a hex string, as lowercase hex. Every row passes here, but
+    only non-NULL entries (the scripts that reach the hash branch) are hashed, once for each
+    distinct one of a batch."""
+    return s.map({x: _hash160_hex(x) for x in s.dropna().unique()}).astype(object).where(s.notna(), None)
 
 
 def receiver_key(script, strict: bool = False) -> Column:

@@ -33,7 +33,6 @@ GRID_DEPTHS = (4, 10, 20)
 FOLDS = 5
 PARALLELISM = 4
 
-# one tuning run per (session, input plan, grid): the grid table and best setting share it
 
 
 def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -89,15 +88,25 @@ def assembled_arrays(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return assemble(df, features).select("blockId", vector_to_array("features").alias("features"))
 
 
-def train_report(splits: DataFrame, features: Sequence[str], **params) -> DataFrame:
-    """JOB-8: fit on train, score valid, test and valid+test, metrics per scored set."""
+SCORED_SETS = {"valid": "split = 'valid'", "test": "split = 'test'", "valid_test": "split <> 'train'"}
+
+
+def train_report(splits: DataFrame, features: Sequence[str], sets: Sequence[str] = tuple(SCORED_SETS),
+                 with_importances: bool = False, **params) -> DataFrame:
+    """JOB-8: fit on train, score the named sets; rows (scored_set, metric, label, value, feature).
+    ``with_importances`` adds a row per feature with the metric ``importance``."""
     train = splits.filter(F.col("split") == "train")
     model = train_forest(train, features, **params)
     out = None
-    for name, cond in (("valid", F.col("split") == "valid"), ("test", F.col("split") == "test"),
-                       ("valid_test", F.col("split") != "train")):
-        m = classification_metrics(score(model, splits.filter(cond), features)).withColumn("scored_set", F.lit(name))
+    for name in sets:
+        m = classification_metrics(score(model, splits.filter(SCORED_SETS[name]), features)).select(
+            F.lit(name).alias("scored_set"), "metric", "label", "value", F.lit(None).cast("string").alias("feature"))
         out = m if out is None else out.unionByName(m)
+    if with_importances:
+        imp = importances(splits.sparkSession, model, features)
+        out = out.unionByName(imp.select(
+            F.lit("train").alias("scored_set"), F.lit("importance").alias("metric"),
+            F.lit(None).cast("double").alias("label"), F.col("importance").alias("value"), "feature"))
     return out
 
 

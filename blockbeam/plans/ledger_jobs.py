@@ -100,9 +100,10 @@ def train_report(spark, a) -> dict:
     sp = spark.read.parquet(f"{a.out}/block_features_v{a.version}")
     params = M.TUNED if a.version == 2 else {"seed": 1000}
     feats = M.FEATURES_V2 if a.version == 2 else M.FEATURES_V1
-    rep = M.train_report(sp, feats, **params)
+    sets = tuple(M.SCORED_SETS) if a.version == 2 else ("valid", "test")
+    rep = staged(M.train_report(sp, feats, sets, with_importances=a.version == 2, **params), "report")
     Wr.write_csv(rep, f"{a.out}/metrics_v{a.version}", header=True)
-    return {f"{r.scored_set}:{r.metric}:{r.label}": r.value for r in rep.collect()}
+    return {f"{r.scored_set}:{r.metric}:{r.feature or r.label}": r.value for r in rep.collect()}
 
 
 def tune(spark, a) -> dict:

@@ -104,8 +104,7 @@ def q_ml_predictions(spark, sf):
     """ML-4: the tuned forest's predictions on valid, test and valid+test."""
     sp, model = _tuned(spark, sf)
     out = None
-    for name, cond in (("valid", F.col("split") == "valid"), ("test", F.col("split") == "test"),
-                       ("valid_test", F.col("split") != "train")):
+    for name, cond in M.SCORED_SETS.items():
         s = M.score(model, sp.filter(cond), M.FEATURES_V2).withColumn("scored_set", F.lit(name))
         out = s if out is None else out.unionByName(s)
     return out
@@ -159,10 +158,10 @@ def q_best_params(spark, sf):
 @query("job_train_report_v1")
 def q_job_train_report_v1(spark, sf):
     """JOB-8 (V1): default forest on the 17 V1 features; metrics on valid and test."""
-    return M.train_report(_splits(spark, sf, 1), M.FEATURES_V1, seed=1000)
+    return M.train_report(_splits(spark, sf, 1), M.FEATURES_V1, sets=("valid", "test"), seed=1000)
 
 
 @query("job_train_report_v2")
 def q_job_train_report_v2(spark, sf):
-    """JOB-8 (V2): tuned forest on the 19 V2 features; metrics on valid, test, valid+test."""
-    return M.train_report(_splits(spark, sf, 2), M.FEATURES_V2, **M.TUNED)
+    """JOB-8 (V2): tuned forest on the 19 V2 features; metrics on valid, test, valid+test, and the importances."""
+    return M.train_report(_splits(spark, sf, 2), M.FEATURES_V2, with_importances=True, **M.TUNED)

@@ -5,8 +5,10 @@ A block file is a sequence of frames ``u32 magic | u32 size | payload[size]``
 transaction count and the transactions. Files are read with Spark's
 ``binaryFile`` source (one row per file, one file per task at most), and a
 ``mapInArrow`` generator walks the frames and emits one nested row per block, so
-a task holds one file's bytes and one decoded block at a time. After decoding,
-rows are ordinary DataFrame rows: repartition, stage as parquet, or explode.
+a task holds one file's bytes and the decoded blocks of about ``BATCH_BYTES`` of it. After
+decoding, rows are ordinary DataFrame rows: repartition, stage as parquet, or explode.
+With ``on_bad="skip"`` reading goes on at the next magic, and ``read_block_frames``
+reports each span that was skipped as a row with ``magic_ok`` false.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from ..functions.scalars import BLOCK_MAGIC
 FRAME_SCHEMA = "file string, frame_idx int, offset long, size long, magic_ok boolean"
 BLOCK_SCHEMA = ("file string, frame_idx int, block_id string, time long, nonce long, "
                 "txs array<struct<txid: string, outs: array<struct<amount_sat: bigint, script: string>>>>")
-_ROWS_PER_BATCH = 256
+#: Payload bytes whose decoded rows make one Arrow batch (one block at least).
+BATCH_BYTES = 4 << 20
 _OUT_T = pa.struct([("amount_sat", pa.int64()), ("script", pa.string())])
 _TX_T = pa.struct([("txid", pa.string()), ("outs", pa.list_(_OUT_T))])
 FRAME_ARROW = pa.schema([("file", pa.string()), ("frame_idx", pa.int32()), ("offset", pa.int64()),
@@ -59,25 +62,24 @@ def _dsha(b: bytes) -> bytes:
     return hashlib.sha256(hashlib.sha256(b).digest()).digest()
 
 
-def iter_frames(content: bytes, magic: int = BLOCK_MAGIC, on_bad: str = "error") -> Iterator[tuple[int, int, int]]:
-    """Yield ``(frame_idx, offset, size)``. A zero-padded tail ends the file; a wrong
-    magic or a truncated frame raises (``on_bad="error"``) or ends the file
-    (``"skip"``)."""
+def iter_frames(content: bytes, magic: int = BLOCK_MAGIC, on_bad: str = "error") -> Iterator[tuple[int, int, int, bool]]:
+    """Yield ``(frame_idx, offset, size, ok)``. A zero-padded tail ends the file; a wrong
+    magic or a truncated frame raises (``on_bad="error"``) or is skipped up to the next
+    magic (``"skip"``), and the skipped span is yielded with ``ok`` false."""
     i, n, idx = 0, len(content), 0
+    mark = magic.to_bytes(4, "little")
     while i < n:
         head = content[i:i + 8]
         if head.strip(b"\x00") == b"" and content[i:].strip(b"\x00") == b"":
             return
-        if len(head) < 8 or int.from_bytes(head[:4], "little") != magic:
-            if on_bad == "skip":
-                return
-            raise BadFrame(f"bad magic or short header at offset {i}")
         size = int.from_bytes(head[4:8], "little")
-        if i + 8 + size > n:
-            if on_bad == "skip":
-                return
-            raise BadFrame(f"truncated frame at offset {i}")
-        yield idx, i, size
+        ok = len(head) == 8 and head[:4] == mark and i + 8 + size <= n
+        if not ok:
+            if on_bad != "skip":
+                raise BadFrame(f"bad magic, short header or truncated frame at offset {i}")
+            after = content.find(mark, i + 1)
+            size = (after if after >= 0 else n) - i - 8
+        yield idx, i, size, ok
         i += 8 + size
         idx += 1
 
@@ -146,13 +148,13 @@ def _binary_files(spark: SparkSession, path: str, glob: str | None) -> DataFrame
 
 def read_block_frames(spark: SparkSession, path: str, magic: int = BLOCK_MAGIC, on_bad: str = "error",
                       glob: str | None = None) -> DataFrame:
-    """SRC-1: one row per frame (file, index, offset, payload size)."""
+    """SRC-1: one row per frame (file, index, offset, payload size, whether it is a whole frame)."""
     def frames(batches):
         for b in batches:
             rows = []
             for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                rows += [{"file": p, "frame_idx": k, "offset": off, "size": size, "magic_ok": True}
-                         for k, off, size in iter_frames(content, magic, on_bad)]
+                rows += [{"file": p, "frame_idx": k, "offset": off, "size": size, "magic_ok": ok}
+                         for k, off, size, ok in iter_frames(content, magic, on_bad)]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=FRAME_ARROW)
     return _binary_files(spark, path, glob).mapInArrow(frames, FRAME_SCHEMA)
@@ -166,13 +168,15 @@ def read_block_files(spark: SparkSession, path: str, magic: int = BLOCK_MAGIC, o
             paths, contents = b.column("path"), b.column("content")
             for j in range(b.num_rows):
                 p, content = paths[j].as_py(), contents[j].as_py()
-                rows = []
-                for k, off, size in iter_frames(content, magic, on_bad):
-                    d = decode_block(content[off + 8:off + 8 + size])
-                    rows.append({"file": p, "frame_idx": k, **d})
-                    if len(rows) >= _ROWS_PER_BATCH:
+                rows, held = [], 0
+                for k, off, size, ok in iter_frames(content, magic, on_bad):
+                    if not ok:
+                        continue
+                    rows.append({"file": p, "frame_idx": k, **decode_block(content[off + 8:off + 8 + size])})
+                    held += size
+                    if held >= BATCH_BYTES:
                         yield pa.RecordBatch.from_pylist(rows, schema=BLOCK_ARROW)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=BLOCK_ARROW)
     return _binary_files(spark, path, glob).mapInArrow(blocks, BLOCK_SCHEMA)

@@ -33,6 +33,10 @@ def test_report_and_importances(spark):
     rep = M.train_report(df, M.FEATURES_V2, numTrees=5, maxDepth=3, seed=1)
     sets = {r.scored_set for r in rep.select("scored_set").distinct().collect()}
     assert sets == {"valid", "test", "valid_test"}
+    both = M.train_report(df, M.FEATURES_V2, ("valid", "test"), with_importances=True, numTrees=5, maxDepth=3, seed=1)
+    per = {r.scored_set: r["count"] for r in both.groupBy("scored_set").count().collect()}
+    assert per == {"valid": 13, "test": 13, "train": len(M.FEATURES_V2)}
+    assert abs(both.filter("metric = 'importance'").agg({"value": "sum"}).first()[0] - 1.0) < 1e-9
     acc = rep.filter("metric = 'accuracy' AND scored_set = 'valid'").first().value
     assert 0.0 <= acc <= 1.0
     model = M.train_forest(df.filter("split = 'train'"), M.FEATURES_V2, numTrees=5, maxDepth=3, seed=1)
