@@ -31,7 +31,7 @@ TUNED = dict(impurity="gini", maxDepth=10, numTrees=500, featureSubsetStrategy="
 GRID_TREES = (100, 200, 500)
 GRID_DEPTHS = (4, 10, 20)
 FOLDS = 5
-PARALLELISM = 4
+PARALLELISM = len(GRID_TREES) * len(GRID_DEPTHS)  # a fold fits all its settings at once
 
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..ml import forest as M
 from ..sinks.staging import staged
 from ..operators.metrics import classification_metrics
-from . import standins as S
+from . import jobs as J, standins as S
 from .catalog import query
 from .q_receivers import features
 from .sqlviews import BLOCKS, CANDLES, FEATURES, FIRSTS, HITS, OUTS, POP, RAW, split_sql, with_
@@ -20,8 +20,13 @@ _FEAT = with_(OUTS, CANDLES, RAW, POP, HITS, FIRSTS, BLOCKS, FEATURES)
 # predict a rise when the price rose over the last hour.
 _RULE_SQL = "CASE WHEN changeInBtcPriceBtwCurrAnd1HrAgo > 0 THEN 1.0 ELSE 0.0 END"
 
-_METRICS_SQL = _FEAT + ", " + split_sql(S.TRAIN_BLOCKS_V2, S.VALID_BLOCKS) + f"""
-, preds AS (SELECT {_RULE_SQL} AS p, CAST(label AS DOUBLE) AS l FROM splitted WHERE split <> 'train'),
+_SPLITTED = _FEAT + ", " + split_sql(S.TRAIN_BLOCKS_V2, S.VALID_BLOCKS)
+
+_RULE_PREDS = f"""
+, preds AS (SELECT {_RULE_SQL} AS p, CAST(label AS DOUBLE) AS l FROM splitted WHERE split <> 'train')"""
+
+# metrics of the predictions p and labels l in ``preds``
+_METRICS_SQL = """,
 cm AS (SELECT p, l, count(*) AS n FROM preds GROUP BY p, l),
 tot AS (SELECT sum(n) AS total FROM cm),
 per AS (
@@ -47,7 +52,7 @@ LEFT JOIN (
     FROM m2 UNPIVOT (v FOR k IN (precision, recall, fpr, f1))) GROUP BY k) w ON w.k = names.k"""
 
 
-@query("classification_metrics", _METRICS_SQL)
+@query("classification_metrics", _SPLITTED + _RULE_PREDS + _METRICS_SQL)
 def q_classification_metrics(spark, sf):
     """AGG-15: metrics of the last-hour-rise rule on the valid + test blocks."""
     f = features(spark, sf, 2).filter(F.col("split") != "train")
@@ -123,6 +128,58 @@ def q_ml_importances(spark, sf):
     return M.importances(spark, model, M.FEATURES_V2)
 
 
+# A forest of one tree of one split on four 0/1 flags, without sampling, is deterministic and
+# small enough for SQL: the flag whose split leaves the least gini impurity, the first on a tie.
+STUMP = dict(impurity="gini", numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=1000)
+_FLAGS = {f"rise{k}": c for k, c in enumerate(J.FEATURES_V2_EXTRA)}
+
+_STUMP_SQL = _SPLITTED + f"""
+, flagged AS (SELECT blockId, split, label, {", ".join(f"CASE WHEN {c} > 0 THEN 1 ELSE 0 END AS {n}" for n, c in _FLAGS.items())}
+              FROM splitted),
+sides AS (
+  SELECT name, count(*) FILTER (WHERE flag = 0 AND label = 0) AS l0, count(*) FILTER (WHERE flag = 0 AND label = 1) AS l1,
+         count(*) FILTER (WHERE flag = 1 AND label = 0) AS r0, count(*) FILTER (WHERE flag = 1 AND label = 1) AS r1
+  FROM (SELECT * FROM flagged WHERE split = 'train') UNPIVOT (flag FOR name IN ({", ".join(_FLAGS)})) GROUP BY name),
+best AS (
+  SELECT name, l1 > l0 AS low, r1 > r0 AS high FROM sides WHERE l0 + l1 > 0 AND r0 + r1 > 0
+  ORDER BY CAST(l0 * l0 + l1 * l1 AS DOUBLE) / (l0 + l1) + CAST(r0 * r0 + r1 * r1 AS DOUBLE) / (r0 + r1) DESC, name LIMIT 1),
+root AS (SELECT sum(label) * 2 > count(*) AS most FROM flagged WHERE split = 'train'),
+scored AS (
+  SELECT blockId, split, CAST(label AS DOUBLE) AS label, CAST(CASE
+         {" ".join(f"WHEN (SELECT name FROM best) = '{n}' THEN CASE WHEN {n} = 1 THEN (SELECT high FROM best) ELSE (SELECT low FROM best) END" for n in _FLAGS)}
+         ELSE (SELECT most FROM root) END AS DOUBLE) AS prediction FROM flagged)"""
+
+
+def _stump(spark, sf):
+    sp = _splits(spark, sf, 2).select("blockId", "blockFloorTime", "split", "label", *[
+        F.when(F.col(c) > 0, 1.0).otherwise(0.0).alias(n) for n, c in _FLAGS.items()])
+    return sp, M.train_forest(sp.filter(F.col("split") == "train"), list(_FLAGS), **STUMP)
+
+
+@query("ml_stump_predictions", _STUMP_SQL + "SELECT blockId, label, prediction FROM scored")
+def q_ml_stump_predictions(spark, sf):
+    """ML-2...ML-4 on the one-split forest: fitted on train, every block scored."""
+    sp, model = _stump(spark, sf)
+    return M.score(model, sp, list(_FLAGS)).select("blockId", "label", "prediction")
+
+
+@query("ml_stump_metrics", _STUMP_SQL + """
+, preds AS (SELECT prediction AS p, label AS l FROM scored WHERE split <> 'train')""" + _METRICS_SQL)
+def q_ml_stump_metrics(spark, sf):
+    """ML-5 on the one-split forest: metrics on valid + test."""
+    sp, model = _stump(spark, sf)
+    return classification_metrics(M.score(model, sp.filter(F.col("split") != "train"), list(_FLAGS)))
+
+
+@query("ml_stump_importances", _STUMP_SQL + f"""
+SELECT f.name AS feature, CASE WHEN f.name = b.name AND b.low <> b.high THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+FROM (VALUES {", ".join(f"('{n}')" for n in _FLAGS)}) f(name) LEFT JOIN best b ON true""")
+def q_ml_stump_importances(spark, sf):
+    """ML-6 on the one-split forest; a split whose sides predict the same class is pruned."""
+    _, model = _stump(spark, sf)
+    return M.importances(spark, model, list(_FLAGS))
+
+
 @query("ml_cv_grid")
 def q_ml_cv_grid(spark, sf):
     """ML-7: 3 x 3 grid, 5-fold cross validation; mean accuracy per setting plus the

@@ -62,6 +62,22 @@ def q_receiver_key_hash(spark, sf):
                     X.script_branch("script").alias("branch"))
 
 
+@query("receiver_key_branches", with_(_SCRIPTS_SQL.replace("'0014' || lpad(lower(hex(l_orderkey)), 38, '0') || '01'",
+                                                          "'21' || lpad(lower(hex(l_partkey)), 66, '0') || 'ac'")) + """
+SELECT CASE l_linenumber % 3 WHEN 1 THEN 'p2pkh' WHEN 2 THEN 'p2sh' ELSE 'p2pk' END AS branch, count(*) AS n,
+       count(DISTINCT script) AS n_keys, 40::BIGINT AS min_chars, 40::BIGINT AS max_chars, 0::BIGINT AS n_unchanged
+FROM scripts GROUP BY 1""")
+def q_receiver_key_branches(spark, sf):
+    """STR-1 per branch, the hash branch included: every script gets a key of 20 bytes, and
+    different scripts get different keys."""
+    s = _scripts(spark, sf, with_hash_branch=True)
+    keyed = s.select("script", X.receiver_key("script").alias("key"), X.script_branch("script").alias("branch"))
+    return keyed.groupBy("branch").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("n_keys"),
+        F.min(F.length("key")).cast("long").alias("min_chars"), F.max(F.length("key")).cast("long").alias("max_chars"),
+        F.count_if(F.col("key") == F.col("script")).alias("n_unchanged"))
+
+
 @query("hex_ids", """
 SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR)) AS txid,
        length(sha256(CAST(o_orderkey AS VARCHAR))) // 2 AS n_bytes FROM orders""")

@@ -58,3 +58,13 @@ def test_symbol_and_csv_line(spark):
     df = spark.createDataFrame([("BTC/USD", 5, 1.5)], "s string, n int, x double")
     r = df.select(X.symbol_normalise("s"), X.csv_line("s", "n", "x")).first()
     assert r[0] == "BTC-USD" and r[1] == "BTC/USD,5,1.5"
+
+
+def test_hash160_of_public_vectors(spark):
+    # Public keys of the generator point, compressed and not, and their hash160.
+    x = "79be667ef9dcbbac55a06295ce870b07029bfcdb2dce28d959f2815b16f81798"
+    y = "483ada7726a3c4655da4fbfc0e1108a8fd17b448a68554199c47d08ffb10d4b8"
+    want = {"02" + x: "751e76e8199196d454941c45d1b3a323f1433bd6", "04" + x + y: "91b24bf9f5288532960ac687abb035127b1d28a5"}
+    df = spark.createDataFrame([(k,) for k in [*want, *want, None]], "k string")
+    got = [(r.k, r.h) for r in df.select("k", X.hash160_hex("k").alias("h")).collect()]
+    assert got == [(k, want.get(k)) for k in [*want, *want, None]]
