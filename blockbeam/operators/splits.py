@@ -17,17 +17,21 @@ def _key(cols: Sequence[str]) -> Column:
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
-def nth_key(df: DataFrame, cols: Sequence[str] | str, n: int, distinct: bool = True) -> Column:
+def nth_key(df: DataFrame, cols: Sequence[str] | str, n: int, distinct: bool = True,
+            fewer: str = "error") -> Column:
     """SRT-5: the n-th smallest (1-based) value of ``cols`` as a scalar column.
 
-    With fewer than n values the largest one is returned (everything falls on
-    the lower side of the cut).
+    With fewer than n values the query fails (``fewer="error"``), or the largest one is returned
+    and everything falls on the lower side of the cut (``"last"``).
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     keys = df.select(_key(cols).alias("_k"))
     if distinct:
         keys = keys.distinct()
-    return keys.orderBy("_k").limit(n).agg(F.max("_k")).scalar()
+    last = F.max("_k")
+    if fewer == "error":
+        last = F.when(F.count(F.lit(1)) < n, F.raise_error(F.lit(f"fewer than {n} values to cut at"))).otherwise(last)
+    return keys.orderBy("_k").limit(n).agg(last).scalar()
 
 
 def temporal_split(df: DataFrame, time_col: str, cutoff: Column, label: str = "split") -> DataFrame:
@@ -45,8 +49,8 @@ def chronological_split(df: DataFrame, order_cols: Sequence[str], n_train: int,
     first non-training row are labelled ``embargo`` instead of train, so labels that
     look ahead (e.g. 4 hours) cannot reach past the cut."""
     k = _key(order_cols)
-    c1 = nth_key(df, order_cols, n_train, distinct=False)
-    c2 = nth_key(df, order_cols, n_train + n_valid, distinct=False)
+    c1 = nth_key(df, order_cols, n_train, distinct=False, fewer="last")
+    c2 = nth_key(df, order_cols, n_train + n_valid, distinct=False, fewer="last")
     train = k <= c1
     if embargo:
         t = order_cols[0]

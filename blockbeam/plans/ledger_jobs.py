@@ -4,7 +4,8 @@
 
 Jobs: ``tx-listing`` (JOB-7), ``block-activity`` (JOB-1), ``receiver-raw`` (JOB-2),
 ``receiver-scores`` (JOB-3), ``block-features`` (JOB-4/5), ``train-report`` (JOB-8),
-``tune`` (ML-7). Each reads the previous job's output folder, so they chain like the
+``tune`` (ML-7), ``candle-compaction`` (JOB-6) and ``rolling-slope`` (WIN-1 on the activity
+CSV). Each reads the previous job's output folder, so they chain like the
 reference's programs, and every constant of the reference is an option with the
 reference's value as its default. Outputs go under ``--out`` (a shared folder on a
 cluster); a lost executor is covered by Spark's retries and the checkpoints under
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scalars import threshold_percent
 from ..ml import forest as M
-from ..operators import chain, prices, receivers as R, splits
+from ..operators import chain, prices, receivers as R, splits, windows as Wn
 from ..sinks.staging import staged
 from ..session import build_session
 from ..sinks import writers as Wr
@@ -30,7 +31,7 @@ from .q_chain import ACTIVITY_COLUMNS, ACTIVITY_OFFSETS_H
 
 # The reference's time grain, hour, cuts and limits.
 DEFAULTS = dict(grain=60, hour=3600, receiver_cut_index=3999, train_v1=3800, train_v2=4000, valid=500,
-                fanout_min=10, high_value=10.0, subsidy=6.25, missing="error", embargo=0)
+                fanout_min=10, high_value=10.0, subsidy=6.25, missing="error", fewer="error", embargo=0)
 
 
 def outputs(spark: SparkSession, a) -> DataFrame:
@@ -66,7 +67,7 @@ def receiver_raw(spark, a) -> dict:
     outs = chain.explode_outputs(B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad),
                                  drop_first_tx=True)
     act = staged(R.receiver_activity(outs, a.grain), "activity")
-    cut = splits.nth_key(act, "t", a.receiver_cut_index + 1)
+    cut = splits.nth_key(act, "t", a.receiver_cut_index + 1, fewer=a.fewer)
     priced = prices.with_prices(act, candles(spark, a), {"close": 0}, time_col="t", missing=a.missing)
     rows = splits.temporal_split(priced.select("t", "receiver", "n_txns", F.col("amount").cast("double"), "close"),
                                  "t", cut)
@@ -114,9 +115,34 @@ def tune(spark, a) -> dict:
     return {"valid_accuracy": acc, "best": best}
 
 
+def candle_compaction(spark, a) -> dict:
+    """Candle JSON payloads (one a line) and per-window CSVs -> one de-duplicated candle table, as CSV and parquet."""
+    frames = []
+    if a.payloads:
+        frames.append(C.derive_candle_columns(C.parse_candle_payload(spark.read.text(a.payloads), "value")))
+    if a.candle_csvs:
+        raw = C.read_candle_csvs(spark, a.candle_csvs).select(*C.PAYLOAD_COLUMNS)
+        frames.append(C.derive_candle_columns(raw))
+    if not frames:
+        raise ValueError("candle-compaction needs --payloads or --candle-csvs")
+    merged = staged(C.union_dedupe(frames), "candles")
+    Wr.write_dual(merged, f"{a.out}/candles_csv", f"{a.out}/candles")
+    return {"rows": merged.count()}
+
+
+def rolling_slope(spark, a) -> dict:
+    """Slope of the activity count over the four hours ahead of each row, walked latest-first; rows of one
+    time are ordered by their count."""
+    act = Tx.read_activity_csv(spark, a.activity).withColumn("u", F.unix_micros(F.col("ts").cast("timestamp")))
+    out = staged(Wn.rolling_slope_reversed(act, "u", "n", 4 * a.hour * 1_000_000, tiebreak=["n"])
+                 .select("ts", "n", F.col("_slope").alias("slope")), "slopes")
+    Wr.write_sorted_csv(out, f"{a.out}/rolling_slope", ["ts", "n"], single_file=a.single_file)
+    return {"rows": out.count()}
+
+
 JOBS = {"tx-listing": tx_listing, "block-activity": block_activity, "receiver-raw": receiver_raw,
         "receiver-scores": receiver_scores, "block-features": block_features, "train-report": train_report,
-        "tune": tune}
+        "tune": tune, "candle-compaction": candle_compaction, "rolling-slope": rolling_slope}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -126,6 +152,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--glob", default="*.dat")
     p.add_argument("--on-bad", dest="on_bad", default="error", choices=["error", "skip"])
     p.add_argument("--candles", help="candle parquet (unix, low, high, open, close, volume, date, vol_fiat)")
+    p.add_argument("--payloads", help="candle JSON payloads, one a line (candle-compaction)")
+    p.add_argument("--candle-csvs", dest="candle_csvs", help="folder of *_data.csv candle files (candle-compaction)")
+    p.add_argument("--activity", help="activity CSV with a header (rolling-slope)")
     p.add_argument("--out", required=True)
     p.add_argument("--version", type=int, default=2, choices=[1, 2])
     p.add_argument("--float32", action="store_true", help="single-precision hit rates (quirk Q1)")

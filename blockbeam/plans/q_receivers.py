@@ -29,7 +29,7 @@ def staged_outputs(spark, sf):
 def raw(spark, sf):
     """JOB-2 output: a price lookup and a label over the staged activity."""
     return J.receiver_raw(staged_outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
-                          cut_index=S.RECEIVER_CUT_INDEX, missing="drop")
+                          cut_index=S.RECEIVER_CUT_INDEX, missing="drop", fewer="last")
 
 
 def train(spark, sf):
@@ -203,20 +203,19 @@ SELECT (SELECT count(DISTINCT block_id) FROM outs) AS n_blocks, (SELECT count(*)
 def q_dataset_counts(spark, sf):
     """AGG-14: the global counts the reference prints, one aggregate per table."""
     from ..operators.chain import drop_first_tx
-    outs = S.outputs(spark, sf)
-    tr = train(spark, sf)
-    split = features(spark, sf, 2)
+    outs = staged_outputs(spark, sf)
 
-    def scalar(df, agg):
-        return df.select(agg).scalar()
+    def counts(df, **aggs):  # one row, one aggregate; its fields are scalars of that one subquery
+        return df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()])).scalar()
 
-    n_raw = scalar(R.receiver_activity(drop_first_tx(outs), S.GRAIN), F.count(F.lit(1)))
+    act = counts(R.receiver_activity(drop_first_tx(outs), S.GRAIN), n_receiver_rows=F.count(F.lit(1)))
+    tr = counts(train(spark, sf), n_train_buckets=F.count_distinct("t"), n_train_receivers=F.count_distinct("receiver"))
+    split = counts(features(spark, sf, 2), **{f"n_{v}_blocks": F.count_if(F.col("split") == v)
+                                              for v in ("train", "valid", "test")})
     o = outs.agg(F.count_distinct("block_id").alias("n_blocks"), F.count(F.lit(1)).alias("n_outputs"))
-    return o.select(
-        "n_blocks", "n_outputs", n_raw.alias("n_receiver_rows"),
-        scalar(tr, F.count_distinct("t")).alias("n_train_buckets"),
-        scalar(tr, F.count_distinct("receiver")).alias("n_train_receivers"),
-        *[scalar(split, F.count_if(F.col("split") == v)).alias(f"n_{v}_blocks") for v in ("train", "valid", "test")])
+    return o.select("n_blocks", "n_outputs", act["n_receiver_rows"].alias("n_receiver_rows"),
+                    *[tr[n].alias(n) for n in ("n_train_buckets", "n_train_receivers")],
+                    *[split[n].alias(n) for n in ("n_train_blocks", "n_valid_blocks", "n_test_blocks")])
 
 
 @query("report_rows", with_(OUTS, CANDLES, RAW, POP) + """

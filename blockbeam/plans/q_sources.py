@@ -218,7 +218,10 @@ def q_job_candle_compaction(spark, sf):
     path = scratch_path(spark, "payloads_shared")
     _payloads(spark, sf, True).select("payload").write.mode("overwrite").text(path)
     rows = C.parse_candle_payload(spark.read.text(path), "value")
-    merged = C.derive_candle_columns(C.union_dedupe([rows]))
+    # a second table that overlaps the payloads: the candles of the later half
+    known = S.daily_candles(spark, sf).select(*C.PAYLOAD_COLUMNS)
+    later = known.filter(F.col("unix") >= known.select(F.avg("unix")).scalar())
+    merged = C.derive_candle_columns(C.union_dedupe([rows, later]))
     csv_path, pq_path = scratch_path(spark, "candles_csv"), scratch_path(spark, "candles_pq")
     Wr.write_dual(merged, csv_path, pq_path)
     return spark.read.parquet(pq_path)
@@ -253,16 +256,16 @@ def _write_named_csvs(df, path, suffix):
     return df.mapInArrow(write, "n long")
 
 
-@query("src_candle_csv_glob", with_(CANDLES) + "SELECT unix, low, high, open, close, volume, vol_fiat FROM candles")
+@query("src_candle_csv_glob", with_(CANDLES) + """
+SELECT unix, low, high, open, close, volume, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, vol_fiat FROM candles""")
 def q_src_candle_csv_glob(spark, sf):
     """SRC-9: many CSVs in one folder; only names ending with ``_data.csv`` are read
     (Spark's own part files written there first are filtered out)."""
-    c = S.daily_candles(spark, sf).select("unix", "low", "high", "open", "close", "volume", "vol_fiat")
+    c = S.daily_candles(spark, sf).select(*C.CANDLE_COLUMNS).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
     path = scratch_path(spark, "candle_csvs")
     c.write.mode("overwrite").option("header", True).csv(path)  # Spark part files: not *_data.csv
     _write_named_csvs(c.repartition(_n_files(spark, c.count(), _FILE_CANDLES), "unix"), path, "_data.csv").agg(F.sum("n")).collect()
-    return (spark.read.option("header", True).option("pathGlobFilter", "*_data.csv")
-            .schema(_CANDLE_CSV_SCHEMA).csv(path))
+    return C.read_candle_csvs(spark, path)
 
 
 @query("src_activity_csv", f"""

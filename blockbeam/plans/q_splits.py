@@ -24,7 +24,7 @@ SELECT o_orderkey, t, CASE WHEN t <= (SELECT c FROM cut) THEN 'train' ELSE 'test
 def q_temporal_filter_split(spark, sf):
     """FLT-1: orders on or before the 1000th distinct day are train, later ones test."""
     od = S.table(spark, sf, "orders").select("o_orderkey", epoch_seconds("o_orderdate").alias("t"))
-    return splits.temporal_split(od, "t", splits.nth_key(od, "t", S.RECEIVER_CUT_INDEX + 1))
+    return splits.temporal_split(od, "t", splits.nth_key(od, "t", S.RECEIVER_CUT_INDEX + 1, fewer="last"))
 
 
 @query("nth_timestamp", with_(OUTS, CANDLES, RAW) + "SELECT cutoff FROM cut")
@@ -33,8 +33,8 @@ def q_nth_timestamp(spark, sf):
     from ..operators.chain import drop_first_tx
     from ..operators.receivers import receiver_activity
     act = receiver_activity(drop_first_tx(S.outputs(spark, sf)), S.GRAIN)
-    return act.select("t").distinct().orderBy("t").limit(S.RECEIVER_CUT_INDEX + 1).agg(
-        F.max("t").alias("cutoff"))
+    cut = splits.nth_key(act, "t", S.RECEIVER_CUT_INDEX + 1, fewer="last")
+    return act.agg(F.max("t").alias("_t")).select(cut.alias("cutoff"))
 
 
 @query("timestamp_ordinal", with_(_ORDER_DAYS) + """

@@ -1,3 +1,5 @@
+import pytest
+
 from pyspark.sql import functions as F
 
 from blockbeam.operators import splits as Sp
@@ -20,7 +22,9 @@ def test_nth_key_and_temporal_split(spark):
     assert cut == 20
     s = Sp.temporal_split(df, "t", Sp.nth_key(df, "t", 2))
     assert s.filter("split = 'train'").count() == 3
-    assert df.select(Sp.nth_key(df, "t", 99).alias("c")).first().c == 40
+    assert df.select(Sp.nth_key(df, "t", 99, fewer="last").alias("c")).first().c == 40
+    with pytest.raises(Exception, match="fewer than 99"):
+        df.select(Sp.nth_key(df, "t", 99).alias("c")).collect()
 
 
 def test_embargo_q4(spark):
