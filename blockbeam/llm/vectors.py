@@ -4,8 +4,10 @@ A vector is padded to a power of two and rotated fast and pseudo-randomly: three
 flips, each followed by a Hadamard transform. One hash is the signed axis nearest to the rotated
 vector; a bucket of a table joins ``k`` hashes. The multiprobe puts each vector into the bucket of its
 nearest axes and into that in which the least certain hash takes its second nearest axis. ``k`` grows
-with the logarithm of the number of vectors, so that unrelated vectors seldom share a bucket, and the
-number of tables with ``k``, so that vectors above the similarity nearly always share one.
+with the logarithm of the number of vectors, so that unrelated vectors seldom share a bucket. The number of
+tables follows from the chance that two vectors at the asked cosine share a bucket of one table, so that
+they share one of all with a chance of ``RECALL`` or more, whatever ``k`` is. If that takes more than
+``MOST`` tables, ``k`` is smaller and the buckets are larger, down to one bucket of all vectors.
 
 Vectors that share a bucket are candidates; their cosines are computed in double precision from the
 stored components, so no link is wrong. A pair is counted in the first bucket that it shares, found
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +37,10 @@ from .common import column, prepare, stage, whole_groups
 from .components import Sets, components, star
 
 COSINE, PAGE = 0.9, 1024
-#: Tables for each hash of a bucket, buckets of a vector in a table, and the seed of the rotations.
+#: Tables for each hash of a bucket at least, buckets of a vector in a table, and the seed of the rotations.
 TABLES, PROBES, SEED = 5, 2, 1_811
+#: Chance that two vectors at the asked cosine share a bucket, tables at most, and draws that measure a table's chance.
+RECALL, MOST, DRAWS = 0.99, 256, 1 << 14
 
 RESULT = ["vec_id", "n_links", "component_id", "kept"]
 
@@ -54,6 +59,8 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 def codes(x: np.ndarray, k: int, tables: int) -> np.ndarray:
     """Buckets (rows x tables x PROBES) of unit vectors."""
     n, d = x.shape
+    if not k:
+        return np.zeros((n, tables, PROBES), np.int64)
     size = 1 << max(0, (d - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, size - d)))
     random = np.random.Generator(np.random.Philox(SEED))
@@ -79,11 +86,58 @@ def codes(x: np.ndarray, k: int, tables: int) -> np.ndarray:
     return out
 
 
-def parameters(n: int, d: int) -> tuple[int, int]:
+@lru_cache
+def axes(size: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nearest and second axis (two vectors x DRAWS) and their distance, of pairs at ``cosine`` after random rotations."""
+    random = np.random.Generator(np.random.Philox(SEED))
+    best, second, loss = np.zeros((2, DRAWS), np.int64), np.zeros((2, DRAWS), np.int64), np.zeros((2, DRAWS))
+    for at in range(0, DRAWS, 1024):
+        x, z = random.normal(size=(2, 1024, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        z -= (z * x).sum(1, keepdims=True) * x
+        z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-300)
+        for v, y in enumerate((x, x if size == 1 else cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * z)):
+            own, rows = slice(at, at + 1024), np.arange(1024)
+            strength = np.abs(y)
+            one = strength.argmax(1)
+            top = strength[rows, one]
+            strength[rows, one] = -1
+            two = strength.argmax(1)
+            best[v, own], second[v, own] = 2 * one + (y[rows, one] < 0), 2 * two + (y[rows, two] < 0)
+            loss[v, own] = top - strength[rows, two]
+    return best, second, loss
+
+
+def shared(k: int, size: int, cosine: float) -> float:
+    """The chance that two vectors at ``cosine`` share a bucket of one table, by buckets of ``k`` of the drawn hashes."""
+    best, second, loss = axes(size, cosine)
+    random = np.random.Generator(np.random.Philox(SEED + 1))
+    hits = total = 0
+    for _ in range(32):
+        pick = random.permutation(DRAWS)[: DRAWS // k * k].reshape(-1, k)
+        doubt = loss[:, pick].argmin(2)[:, :, None] == np.arange(k)
+        first = best[:, pick]
+        codes = np.stack([first, np.where(doubt, second[:, pick], first)])  # probe, vector, bucket, hash
+        met = np.zeros(len(pick), bool)
+        for p in range(PROBES):
+            for q in range(PROBES):
+                met |= (codes[p, 0] == codes[q, 1]).all(1)
+        hits, total = hits + int(met.sum()), total + len(met)
+    return hits / total
+
+
+def parameters(n: int, d: int, cosine: float = COSINE) -> tuple[int, int]:
     """Hashes of a bucket and tables for ``n`` vectors of ``d`` components."""
-    size = 2 << max(0, (d - 1).bit_length())
+    half = 1 << max(0, (d - 1).bit_length())
+    size = 2 * half
     k = max(1, min(math.ceil(math.log(max(n, 2)) / math.log(size)), int(62 / math.log2(size))))
-    return k, TABLES * k
+    while k:
+        p = 0.95 * shared(k, half, cosine)  # less what the draws may be off
+        tables = math.ceil(math.log(1 - RECALL) / math.log(1 - p)) if p else MOST + 1
+        if tables <= MOST:
+            return k, max(tables, TABLES * k)
+        k -= 1
+    return 0, 1
 
 
 def cleaned(vectors: DataFrame) -> DataFrame:
@@ -195,7 +249,7 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     reps = stage(real.groupBy("cls", "d", "raw").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")), "vector-classes")
     linked = None
     for r in reps.groupBy("d").count().orderBy("d").collect():  # one row for each length of vectors
-        k, tables = parameters(r["count"], r["d"])
+        k, tables = parameters(r["count"], r["d"], cosine)
         part = stage(coded(reps.where(F.col("d") == r["d"]), r["d"], k, tables, numbers), "vector-codes")
         out = found(part, r["d"], tables, cosine, numbers)
         linked = out if linked is None else linked.unionByName(out)

@@ -398,6 +398,33 @@ def test_vectors_recall(spark):
     assert (got <= want).all() and got.sum() >= 0.97 * want.sum()
 
 
+@pytest.mark.parametrize("n, k", [(10**6, 3), (10**8, 4), (10**10, 5), (10**12, 6)])
+def test_vectors_recall_at_large_tables(n, k):
+    rnd = np.random.default_rng(5)
+    x, z = rnd.normal(size=(2, 600, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    hashes, tables = vectors.parameters(n, 64)
+    a, b = vectors.codes(x, hashes, tables), vectors.codes(y, hashes, tables)
+    assert hashes == k and (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3)).mean() >= 0.975
+
+
+@pytest.mark.parametrize("hashes", [0, 4, 5])
+def test_vectors_recall_with_forced_hashes(spark, monkeypatch, hashes):
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(150, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rnd.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.905 * x + np.sqrt(1 - 0.905**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    of = {0: (0, 1), 4: vectors.parameters(10**8, 64), 5: vectors.parameters(10**10, 64)}[hashes]
+    monkeypatch.setattr(vectors, "parameters", lambda *_: of)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))], "vec_id long, embedding array<double>")
+    got = sum(r.n_links for r in vectors.near_duplicates(df).collect())
+    assert of[0] == hashes and 0.97 * 300 <= got <= 300
+
+
 def test_vector_pages(spark, monkeypatch):
     rnd = np.random.default_rng(4)
     x = rnd.normal(size=(1, 16)) + rnd.normal(size=(60, 16)) * 0.02
