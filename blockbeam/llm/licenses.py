@@ -6,10 +6,14 @@ of ``GRAM + WINDOW - 1`` words of a template holds one. An inverted index maps a
 templates and places; it is as large as the templates, which are checked to be at most
 ``MAX_WORDS`` words, and goes to every task. All grams of every text are looked up in it. Hits of
 one template on nearby diagonals (place in the text less place in the template) are one candidate, and
-a banded alignment (local: match 1, mismatch and gap -1) within ``BAND`` words of its diagonals gives
-the words matched and the span of the text.
-
-Templates shorter than a gram are taken whole. Defined results: null and empty texts match nothing;
+banded alignments (local: match 1, mismatch and gap -1) within ``BAND`` words of its diagonals give
+the words matched and the spans of the text: the best that covers enough, then the best beside it, and so on.
+
+A template of up to ``SHORT`` words, or one that can be covered enough by shorter runs than hold a fingerprint,
+isn't looked up by fingerprints. An alignment spans less than two words of the text for each word of
+its template, so it lies in a window of the text that holds enough of the template's words; these windows
+are found by counting, and aligned on all diagonals, so no match is lost. A longer template is
+found unless words put in between leave no run of ``GRAM + WINDOW - 1`` of its words. Defined results: null and empty texts match nothing;
 null doc_ids are reported as null; repeated rows repeat their matches; a template that stands several
 times in a text is reported for each. Of two overlapping matches of one template the better is
 reported, the first on a tie. Extra columns are ignored.
@@ -18,7 +22,10 @@ reported, the first on a tie. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Words, column, prepare, slices, windows
 
-GRAM, WINDOW, BAND, PERCENT = 3, 2, 8, 80
+GRAM, WINDOW, BAND, PERCENT, SHORT = 3, 2, 8, 80, 16
 MAX_WORDS = 1_000_000
 
 # Public license notices, by SPDX-like names.
@@ -66,20 +73,25 @@ def winnowed(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 class Index:
-    """Fingerprints of templates, sorted, with template and place of each; one part per gram size."""
+    """Fingerprints of templates, sorted, with template and place of each; one part per gram size. Templates that
+    fingerprints could miss are listed in ``counted``."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM):
+    def __init__(self, templates: dict[str, str], gram: int = GRAM, percent: int = PERCENT):
         self.names = sorted(templates)
         self.words = [words_of(templates[n]) for n in self.names]
         if sum(map(len, self.words)) > MAX_WORDS:
             raise ValueError(f"templates of more than {MAX_WORDS} words; scan them in parts")
         self.parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         found: dict[int, list[tuple[int, int, int]]] = {}
+        self.need = [max(1, -(-percent * len(w) // 100)) for w in self.words]
+        self.counted: list[int] = []
         for i, w in enumerate(self.words):
-            if w:
-                n = min(gram, len(w))
-                g = _grams(w, n)
-                found.setdefault(n, []).extend((int(g[p]), i, int(p)) for p in winnowed(g))
+            # the words that need not match cut the others into runs
+            if len(w) <= max(SHORT, gram) or self.need[i] <= (gram + WINDOW - 2) * (len(w) - self.need[i] + 1):
+                self.counted += [i] if w else []
+            else:
+                g = _grams(w, gram)
+                found.setdefault(gram, []).extend((int(g[p]), i, int(p)) for p in winnowed(g))
         for n, rows in found.items():
             rows.sort()
             self.parts[n] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
@@ -99,6 +111,30 @@ class Index:
             out.append((doc, template[k], where - words.start[doc] - place[k]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
+    def windows(self, words: Words) -> list[tuple[int, int, int, int]]:
+        """(text, template, begin, end) of the places in texts that hold enough words of a ``counted`` template."""
+        out = []
+        size = len(words.code)
+        for i in self.counted:
+            width = min(2 * len(self.words[i]), size)
+            held = np.zeros(size - width + 1, np.int32)  # in the window that begins here
+            for w, many in Counter(self.words[i]).items():
+                code = pc.index(words.distinct, pa.scalar(w, words.distinct.type)).as_py()
+                if code >= 0:
+                    upto = np.concatenate([[0], np.cumsum(words.code == code, dtype=np.int32)])
+                    held += np.minimum(upto[width:] - upto[: size - width + 1], many)
+            full = np.flatnonzero(held >= self.need[i]) if width else np.zeros(0, np.int64)
+            edge = np.zeros(size + 1, np.int64)
+            np.add.at(edge, full, 1)
+            np.add.at(edge, full + width, -1)
+            inside = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+            if len(inside):
+                cut = np.flatnonzero((np.diff(inside) > 1) | (np.diff(words.doc[inside]) > 0)) + 1
+                for run in np.split(inside, cut):
+                    d = int(words.doc[run[0]])
+                    out.append((d, i, int(run[0] - words.start[d]), int(run[-1] + 1 - words.start[d])))
+        return out
+
 
 def candidates(doc: np.ndarray, template: np.ndarray, diagonal: np.ndarray, band: int = BAND) -> list[tuple[int, int, int, int]]:
     """(text, template, least and greatest diagonal) of hits whose diagonals follow within ``band``."""
@@ -113,31 +149,54 @@ def candidates(doc: np.ndarray, template: np.ndarray, diagonal: np.ndarray, band
     return list(zip(doc[at].tolist(), template[at].tolist(), diagonal[at].tolist(), diagonal[last].tolist(), strict=True))
 
 
-def align(text: list[str], template: list[str], low: int, high: int, band: int = BAND) -> tuple[int, int, int]:
-    """Words matched, and begin and end in the text, of the best local alignment on diagonals low - band to high + band."""
-    best = (0, 0, 0, 0)  # score, matched, begin, end
-    above: dict[int, tuple[int, int, int]] = {}
-    for i, w in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + low - band), min(len(text), i + high + band + 1)):
-            s, m, b = max(above.get(j - 1, (0, 0, j)), (0, 0, j), key=lambda c: (c[0], c[1]))
-            cell = (s + 1, m + 1, b) if text[j] == w else (s - 1, m, b)
-            for other in (above.get(j), row.get(j - 1)):
-                if other and other[0] - 1 > cell[0]:
+def ends(text: list[str], template: list[str], need: int, begin: int, end: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
+    """For each end in the text from ``begin`` to ``end`` the best local alignment there with ``need`` words matched or more,
+    on diagonals ``low`` to ``high``: less its score, less its words matched, begin and end."""
+    out = []
+    before: dict[int, tuple[int, int, int]] = {}
+    for j in range(begin, end):
+        w, now = text[j], {}
+        best = None
+        for i in range(max(0, j - high), min(len(template), j - low + 1)):
+            s, m, b = max(before.get(i - 1, (0, 0, j)), (0, 0, j), key=lambda c: (c[0], c[1]))
+            cell = (s + 1, m + 1, b) if template[i] == w else (s - 1, m, b)
+            for other in (before.get(i), now.get(i - 1)):
+                if other and (other[0] - 1, other[1]) > cell[:2]:
                     cell = (other[0] - 1, *other[1:])
             if cell[0] > 0:
-                row[j] = cell
-                if (cell[0], cell[1]) > best[:2]:
-                    best = (cell[0], cell[1], cell[2], j + 1)
-        above = row
-    return best[1:]
+                now[i] = cell
+                if cell[1] >= need and (best is None or cell[:2] > best[:2]):
+                    best = cell
+        if best:
+            out.append((-best[0], -best[1], best[2], j + 1))
+        before = now
+    return out
+
+
+def align(text: list[str], template: list[str], need: int, begin: int, end: int, low: int, high: int) -> list[tuple[int, int, int]]:
+    """Words matched, and begin and end in the text, of the local alignments with ``need`` words matched or more that
+    lie in the text from ``begin`` to ``end``: the best, then the best of those beside it, and so on."""
+    heap = ends(text, template, need, begin, end, low, high)
+    heapify(heap)
+    taken: list[tuple[int, int, int]] = []  # begin, end, matched
+    while heap:
+        _, m, b, e = heappop(heap)
+        k = bisect_left(taken, (b,))
+        if (k and taken[k - 1][1] > b) or (k < len(taken) and taken[k][0] < e):
+            continue
+        taken.insert(k, (b, e, -m))
+        # what began before or in this one may begin behind it as well; no alignment is twice as long as its template
+        stop = min(end, e + 2 * len(template), taken[k + 1][0] if k + 1 < len(taken) else end)
+        for cell in ends(text, template, need, e, stop, low, high):
+            heappush(heap, cell)
+    return [(m, b, e) for b, e, m in taken]
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, *, percent: int = PERCENT) -> DataFrame:
     """Matches of templates in every row of ``docs`` (doc_id, text) that cover ``percent`` of a template or more: words
     matched, coverage, and the span in words and in characters."""
     prepare(docs.sparkSession)
-    index = Index(TEMPLATES if templates is None else templates)
+    index = Index(TEMPLATES if templates is None else templates, percent=percent)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -147,15 +206,18 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, *, pe
             held: dict[int, list[str]] = {}
             spans: dict[int, list[tuple[int, int]]] = {}
             seen: dict[tuple[int, int], list[tuple]] = {}
-            for d, t, low, high in candidates(*index.hits(words)):
+            places = [(d, t, 0, None, low - BAND, high + BAND) for d, t, low, high in candidates(*index.hits(words))]
+            places += [(d, t, begin, end, begin - len(index.words[t]), end) for d, t, begin, end in index.windows(words)]
+            for d, t, begin, end, low, high in sorted(places, key=lambda p: p[:2]):
                 if d not in held:
                     held.clear()
                     raw = text[d].as_py()
                     found = [(m.group().lower(), m.span()) for m in _WORD.finditer(raw)]
                     held[d], spans[d] = [w for w, _ in found], [s for _, s in found]
-                matched, begin, end = align(held[d], index.words[t], low, high)
-                if 100 * matched >= percent * len(index.words[t]):
-                    seen.setdefault((d, t), []).append((-matched, begin, end))
+                own = index.words[t]
+                first, last = max(begin, low), min(len(held[d]) if end is None else end, high + len(own))
+                for matched, at, to in align(held[d], own, index.need[t], first, last, low, high):
+                    seen.setdefault((d, t), []).append((-matched, at, to))
             for (d, t), hits in sorted(seen.items()):
                 taken: list[tuple[int, int]] = []
                 for m, begin, end in sorted(hits):
