@@ -38,6 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import Words, column, counted, mix, prepare, slices, stage, whole_groups, windows
 from .components import Sets, components, star
@@ -315,8 +316,9 @@ def links(docs: DataFrame, rank: np.ndarray, cells: DataFrame, percent: int, siz
     return paged(texts, "k").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(verify, "a long, b long")
 
 
-def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text) its set's size and its component's smallest doc_id."""
+def grouped(docs: DataFrame, percent: int, size: int) -> tuple[np.ndarray, DataFrame, DataFrame]:
+    """The order of shingles, (doc_id, n, cls) of every row, and per class (cls, component_id, front): its component's
+    smallest doc_id and, of the classes which that doc_id has there, the smallest."""
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rank = frequencies(docs, size)
@@ -328,21 +330,46 @@ def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS
     cells = components(near(members, classed, percent), name="cells").select(F.col("node").alias("cls"), F.col("component").alias("cell"))
     found = components(links(docs, rank, stage(reps.join(cells, "cls"), "shingle-cells"), percent, size), name="links")
     named = reps.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of = named.join(smallest, "component").select("cls", "component_id")
+    smallest = named.groupBy("component").agg(F.min(F.struct("rep", "cls")).alias("s")).select("component", F.col("s.rep").alias("component_id"), F.col("s.cls").alias("front"))
+    return rank, rows, named.join(smallest, "component").select("cls", "component_id", "front")
+
+
+def jaccard_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text) its set's size and its component's smallest doc_id."""
+    _, rows, of = grouped(docs, percent, size)
     real = F.col("r.cls").eqNullSafe(F.col("c.cls")) & F.col("r.doc_id").isNotNull()
     out = rows.alias("r").join(of.alias("c"), real, "left")
     return out.select("r.doc_id", F.col("r.n").alias("n_shingles"), F.coalesce("c.component_id", "r.doc_id").alias("component_id"))
 
 
 def first_of_groups(docs: DataFrame, *, percent: int = PERCENT, size: int = WORDS) -> DataFrame:
-    """``docs``, all columns, with one document of each group: the smallest doc_id. Rows with a null doc_id stay;
-    rows that share a doc_id go together if none of their components is theirs."""
-    groups = jaccard_groups(docs, percent=percent, size=size)
-    stay = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    gone = stay.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
+    """``docs``, all columns, with one row of each group: that of the smallest doc_id. Rows with a null doc_id or
+    without words stay. Rows that share a doc_id are decided one by one, each in the group of its own text; if
+    the smallest doc_id has several rows in a group, the smallest class stays, and of its rows the first as JSON."""
+    rank, rows, of = grouped(docs, percent, size)
+    of = stage(of, "shingle-groups")
+    placed = rows.where("doc_id is not null").select("doc_id", "cls").join(of, "cls", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    ids = stage(placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.min("component_id").alias("component_id")).where("k > 1 or doc_id <> component_id"), "shingle-ids")
     # the ids grow with the input, so they are never broadcast
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = ids.select(F.col("doc_id").alias("_gone"))
+    out = docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    repeated = ids.where("k > 1").select("doc_id")
+    if repeated.isEmpty():
+        return out
+    # a row whose doc_id others have too needs its class
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(names(*ordered_sets(column(b, "text"), rank, size))), column(b, "_row")], names=["doc_id", "cls", "_row"])
+
+    kind = StructType([StructField("doc_id", LongType()), StructField("cls", LongType()), packed.schema["_row"]])
+    some = holding(packed, repeated.select(F.col("doc_id").alias("id"))).mapInArrow(name, kind).join(repeated.hint("merge"), "doc_id", "left_semi")
+    some = stage(some, "shingle-repeated")
+    fronts = of.where("cls = front").select(F.col("component_id").alias("doc_id"), "cls")
+    first = some.where("cls <> 0").join(fronts.hint("merge"), ["doc_id", "cls"], "left_semi").groupBy("doc_id", "cls").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    more = some.where("cls = 0").select("_row").union(first.select("_row"))
+    return out.union(more.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))
 
 
 SQL = r"""
