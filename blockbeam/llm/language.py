@@ -32,6 +32,8 @@ from .common import column, prepare, slices
 DIM, SEED, MAX_LANGUAGES = 1024, 20_240_607, 2000
 BLOCK = 4096  # 3-grams whose vectors are held at once
 UNKNOWN = "und"
+#: Letters and blanks of a text that is long enough to tell its language, and the share of a letter that counts as learned.
+SHORT, RARE = 100, 1e-5
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -170,8 +172,28 @@ def language_id(docs: DataFrame) -> DataFrame:
     return identify(docs, *prototypes(train))
 
 
-def accepted(docs: DataFrame, langs: list[str], protos: np.ndarray, min_score: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a known language with a cosine of ``min_score`` or more."""
+def alphabet(train: DataFrame) -> np.ndarray:
+    """The code points of the letters that make up ``RARE`` of all letters of the labelled texts or more."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0x110000, np.int64)
+        for b in slices(batches, "text", 1 << 20):
+            n = np.bincount(codes(column(b, "text").to_pylist())[0])
+            total[: len(n)] += n
+        total[0] = 0
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["letter", "n"])
+
+    # a row for each letter of Unicode at most
+    rows = train.where("text is not null and lang is not null").select("text").mapInArrow(count, "letter int, n long").groupBy("letter").agg(F.sum("n").alias("n")).collect()
+    least = RARE * sum(r["n"] for r in rows)
+    return np.array(sorted(r["letter"] for r in rows if r["n"] >= least), np.uint32)
+
+
+def accepted(docs: DataFrame, langs: list[str], protos: np.ndarray, min_score: float, *, short_score: float | None = None, known: np.ndarray | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a known language with a cosine of ``min_score`` or more. With
+    ``known`` letters, a text of less than ``SHORT`` letters and blanks, too few to tell, needs only ``short_score``
+    if half of its letters or more are known."""
     unit = protos / np.linalg.norm(protos, axis=1, keepdims=True) if len(protos) else protos
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +205,10 @@ def accepted(docs: DataFrame, langs: list[str], protos: np.ndarray, min_score: f
                 length = np.sqrt((v * v).sum(1))
                 some = np.array([bool(t) and letters()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)].any() for t in texts], bool) & (length > 0)
                 best = np.round((v @ unit.T).max(1, initial=-np.inf) / np.where(some, length, 1), 9)
-                yield part.filter(pa.array(some & (best >= min_score)))
+                stay = some & (best >= min_score)
+                for i in np.flatnonzero(some & ~stay & (best >= short_score)) if known is not None else ():
+                    own = codes([texts[i]])[0]
+                    stay[i] = len(own) < SHORT and 2 * np.isin(own[own > 0], known).sum() >= (own > 0).sum()
+                yield part.filter(pa.array(stay))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -9,6 +9,7 @@ say.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,13 +19,22 @@ from blockbeam.llm.common import prepare, read, stage
 
 #: A cosine that unrelated vectors of this length reach by chance (one standard deviation).
 CHANCE = 1 / math.sqrt(language.DIM)
+#: How often a text that resembles no language may pass.
+PASSING = 1e-4
+
+
+def floor(languages: int) -> float:
+    """A cosine that the largest of so many chance cosines reaches in a share of at most ``PASSING`` texts."""
+    return NormalDist().inv_cdf(1 - PASSING / max(languages, 1)) * CHANCE
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject texts without a letter and those that resemble no language more than chance would."""
+    """Reject texts without a letter and those that resemble no language more than chance would. A few words can't
+    reach that surely: of short texts in learned letters, those below one chance deviation go."""
     prepare(spark)
     train = docs.where(~language.held_out("doc_id")).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return language.accepted(docs, *language.prototypes(train), min_score=CHANCE)
+    langs, protos = language.prototypes(train)
+    return language.accepted(docs, langs, protos, min_score=floor(len(langs)), short_score=CHANCE, known=language.alphabet(train))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
