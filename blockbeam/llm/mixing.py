@@ -113,23 +113,25 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: ``docs``, all columns, each row as often as it is taken, range-sorted by training position. Of
     a document that is taken in part, the text has the words taken, with one blank between."""
     spare = [F.col(f"`{c}`") for c in docs.columns]
-    # rows that share an order hash are told apart by a number on either side, so that none meets two others
-    twin = ["h", "c", "size"]
-    number = lambda *more: F.row_number().over(Window.partitionBy(*twin).orderBy(*(more or twin)))
+    # rows that share an order hash and a source are told apart by a number on either side, so that none meets two others
+    twin = ["h", "c", "size", "_named", "_source"]
+    number = F.row_number().over(Window.partitionBy(*twin).orderBy(*twin))
+    source = lambda c: {"_named": c.isNotNull(), "_source": F.coalesce(c, F.lit(""))}
     text = F.col("_row.text").cast("string")
-    whole = docs.select(F.struct(*spare).alias("_row"), order_hash().alias("h"), F.crc32(F.col("text").cast("string")).alias("c"), n_words(F.col("text").cast("string")).alias("size"), F.col("source").cast("string").alias("_source"))
-    whole = whole.withColumn("twin", number("_source"))
+    whole = docs.select(F.struct(*spare).alias("_row"), order_hash().alias("h"), F.crc32(F.col("text").cast("string")).alias("c"), n_words(F.col("text").cast("string")).alias("size"), *(x.alias(k) for k, x in source(F.col("source").cast("string")).items()))
+    whole = whole.withColumn("twin", number)
     # the join then keeps the texts where the numbering has put them, by a part of its keys
     docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    taken = assign(docs, **options).where("taken > 0").withColumn("twin", number("source"))
-    taken = taken.select("h", "c", "size", "twin", F.explode(F.arrays_zip("takes", "positions")).alias("t")).where("t.takes > 0")
+    # numbered before any row is left out, so that both sides number the same rows
+    taken = assign(docs, **options).withColumns(source(F.col("source"))).withColumn("twin", number).where("taken > 0")
+    taken = taken.select(*twin, "twin", F.explode(F.arrays_zip("takes", "positions")).alias("t")).where("t.takes > 0")
     # neither side is small at scale, so neither is to be broadcast at any size
-    rows = whole.join(taken.hint("merge"), ["h", "c", "size", "twin"])
+    rows = whole.join(taken.hint("merge"), [*twin, "twin"])
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"([^{BLANK_CLASS}]+)"), F.lit(1)), 1, F.col("t.takes").cast("int")), " ")
     rows = rows.withColumn("_text", F.when(F.col("t.takes") < F.col("size"), cut).otherwise(text))
     kept = [F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("_text").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     # the sort moves each text once: only what is returned goes through it
-    rows = rows.select(F.struct(*kept).alias("_out"), F.col("t.positions").alias("_at"), "h", "twin").orderBy("_at", "h", "twin")
+    rows = rows.select(F.struct(*kept).alias("_out"), F.col("t.positions").alias("_at"), "h", "_named", "_source", "twin").orderBy("_at", "h", "_named", "_source", "twin")
     return rows.select(*(F.col(f"_out.`{c}`").alias(c) for c in docs.columns))
 
 
