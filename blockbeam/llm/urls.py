@@ -7,7 +7,8 @@ is written into the plan.
 Features: lengths of URL, host, path and query, depth (slashes of the path), share of digits, entropy of the URL's bytes,
 parameter count, dots and hyphens of the host, and statistics of four endings: the host's last label, its last
 two labels, the file extension and the path's first segment. A statistic is the log-odds of block among the labelled
-URLs with the same value, and the log of their count. Values are hashed into ``BUCKETS`` buckets, so these tables, which
+URLs with the same value, and the log of their count, both rounded coarsely: finer ones would tell apart a value's folds, and so
+what is left out of them. Values are hashed into ``BUCKETS`` buckets, so these tables, which
 count *all* labelled URLs, have a fixed size and are broadcast.
 
 Training: labelled URLs are a table of (url, block). The trees (``pyspark.ml`` GBTClassifier) are fitted on at most
@@ -53,7 +54,8 @@ MAX_LABELLED = 20_000
 FOLDS = 5
 #: Weight of the overall share of block in an ending's log-odds.
 PRIOR = 4.0
-TREES, DEPTH, STEP = 30, 4, 0.2
+#: Fixed sizes of the model; a leaf needs LEAF rows.
+TREES, DEPTH, STEP, LEAF = 30, 4, 0.2, 10
 
 ENDINGS = ("label", "site", "extension", "section")
 LEXICAL = ("url_length", "host_length", "path_length", "query_length", "depth", "digit_ratio", "entropy", "parameters", "dots", "hyphens")
@@ -135,9 +137,9 @@ class UrlFilter:
             rows = rows.join(F.broadcast(table), F.col(f"{e}_bucket") == F.col(f"{e}_key"), "left")
             block, n = (F.coalesce(F.aggregate(f"{e}_{c}", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)) for c in ("blocks", "rows"))
             if fold is not None:
-                block, n = (x - F.coalesce(F.element_at(f"{e}_{c}", fold + 1), F.lit(0)) for x, c in ((block, "blocks"), (n, "rows")))
+                block, n = ((x - F.coalesce(F.element_at(f"{e}_{c}", fold + 1), F.lit(0))) * (FOLDS / (FOLDS - 1)) for x, c in ((block, "blocks"), (n, "rows")))
             odds = F.log((block + PRIOR * share) / (n - block + PRIOR * (1 - share)))
-            rows = rows.withColumns({f"{e}_odds": odds, f"{e}_count": F.log1p(n)}).drop(f"{e}_key", f"{e}_blocks", f"{e}_rows")
+            rows = rows.withColumns({f"{e}_odds": F.round(odds * 4) / 4, f"{e}_count": F.round(F.log2(n + 1))}).drop(f"{e}_key", f"{e}_blocks", f"{e}_rows")
         return rows
 
     @classmethod
@@ -158,7 +160,7 @@ class UrlFilter:
             some = rows.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 31)) < int((1 << 31) * max_labelled / total["n"]))
         told = cls.with_statistics(some, counts, share, F.col("fold")).select("url", F.col("block").cast("double").alias("label"), *FEATURES)
         train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(told).coalesce(1).sortWithinPartitions("url", "label").select("features", "label")
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=11, cacheNodeIds=False)
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, minInstancesPerNode=LEAF, seed=11, cacheNodeIds=False)
         return cls(share, counts, trees.fit(train))
 
     def judged(self, urls: DataFrame) -> DataFrame:

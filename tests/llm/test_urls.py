@@ -99,12 +99,12 @@ def test_held_out_accuracy_and_reruns(spark):
     labelled = spark.createDataFrame(train, "url string, block boolean")
     test = U.split_url(spark.createDataFrame([(i, u) for i, u, _ in held], KIND))
     first = {r.page_id: r.block for r in U.UrlFilter.fit(labelled.repartition(4)).judged(test).collect()}
-    assert sum(first[i] == s for i, _, s in held) >= 970
+    assert sum(first[i] == s for i, _, s in held) >= 990
     again = {r.page_id: r.block for r in U.UrlFilter.fit(labelled.repartition(7)).judged(test).collect()}
     assert again == first
     # a bounded sample of the labelled URLs is enough
-    some = {r.page_id: r.block for r in U.UrlFilter.fit(labelled, max_labelled=1500).judged(test).collect()}
-    assert sum(some[i] == s for i, _, s in held) >= 950
+    some = {r.page_id: r.block for r in U.UrlFilter.fit(labelled, max_labelled=600).judged(test).collect()}
+    assert sum(some[i] == s for i, _, s in held) >= 980
 
 
 def test_rules_of_pages_can_be_learned(spark):
