@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, language, licenses, lines, mixing, packing, quality, sharding, shingles, suffixes, urls, vectors
+from . import conversations, language, licenses, lines, mixing, packing, quality, sharding, shingles, suffixes, urls, vectors, whitening
 from .common import read
 
 
@@ -69,6 +69,11 @@ def op11_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(read(spark, sf_dir, "pages"))
 
 
+def op12_polynomial_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on up to 16 whitened components of their distinct vectors."""
+    return whitening.whitened_rows(read(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fault counts, cheapest edits and repaired digest of every conversation after the stated damage."""
     return conversations.damage_repair(read(spark, sf_dir, "conversations"))
@@ -76,7 +81,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op5_cross_polytope_dedup, op6_bin_completion_pack, op7_cuckoo_line_dedup, op8_difference_cover_dedup, op9_license_scan, op10_count_tree_jaccard, op11_url_boosted_trees, op13_conversation_repair)
+    for f in (op1_quality_llr, op2_language_hd, op3_hash_tree, op4_curriculum_mix, op5_cross_polytope_dedup, op6_bin_completion_pack, op7_cuckoo_line_dedup, op8_difference_cover_dedup, op9_license_scan, op10_count_tree_jaccard, op11_url_boosted_trees, op12_polynomial_whitening, op13_conversation_repair)
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_curriculum_mix": mixing.SQL, "op5_cross_polytope_dedup": vectors.SQL, "op7_cuckoo_line_dedup": lines.SQL, "op10_count_tree_jaccard": shingles.SQL}
