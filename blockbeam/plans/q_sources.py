@@ -12,7 +12,9 @@ from ..sinks import writers as Wr
 from ..sinks.scratch import scratch_path
 from ..sinks.staging import staged
 from ..sources import blocks as B, candles as C, text as Tx
+from ..sources.files import opened, qualified
 from . import standins as S
+from .blockfiles import write_block_files
 from .catalog import query
 from .nested import nested_blocks
 from .q_chain import block_activity_job
@@ -40,7 +42,7 @@ def block_dir(spark, blocks):
                                                      F.lower(F.hex(o["script"])).alias("script"))).alias("outs")))
                    .alias("txs"))
     path = scratch_path(spark, "blocks")
-    B.write_block_files(nb, path, _n_files(spark, nb.count(), _FILE_BLOCKS)).agg(F.count(F.lit(1))).collect()
+    write_block_files(nb, path, _n_files(spark, nb.count(), _FILE_BLOCKS)).agg(F.count(F.lit(1))).collect()
     return path
 
 
@@ -232,16 +234,14 @@ _CANDLE_CSV_SCHEMA = "unix long, low double, high double, open double, close dou
 
 def _write_named_csvs(df, path, suffix):
     """Executors write one pandas CSV per partition named ``iter<k><suffix>``, batch by batch."""
-    base = path.rstrip("/")
+    base = qualified(df.sparkSession, path).rstrip("/")
     cols = list(df.columns)
 
     def write(batches):
-        import pyarrow.fs as pafs
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId()
-        fs, root = (pafs.FileSystem.from_uri(base) if "://" in base
-                    else (pafs.LocalFileSystem(), base.removeprefix("file:")))
+        fs, root = opened(base)
         fs.create_dir(root, recursive=True)
         final, tmp = f"{root}/candles_iter{pid}{suffix}", f"{root}/.candles_iter{pid}{suffix}.{ctx.attemptNumber()}"
         n = 0
