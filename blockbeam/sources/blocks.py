@@ -283,7 +283,8 @@ def partitions(files: Sequence[tuple[str, int]], range_bytes: int) -> list[Range
 
 
 class BlockFiles(DataSource):
-    """Options: path (a qualified address), glob, what (frames or blocks), magic, on_bad, range_bytes."""
+    """Options: path (a qualified address), glob, what (frames or blocks), magic, on_bad, range_bytes, least_tasks
+    (ranges are shorter, down to ``CHUNK``, if there would be fewer)."""
 
     @classmethod
     def name(cls) -> str:
@@ -302,9 +303,12 @@ class BlockReader(DataSourceReader):
         self.path, self.glob, self.what = low["path"], low.get("glob"), low.get("what", "blocks")
         self.magic, self.on_bad = int(low.get("magic", BLOCK_MAGIC)), low.get("on_bad", "error")
         self.range_bytes = int(low.get("range_bytes", 128 << 20))
+        self.least_tasks = int(low.get("least_tasks", 1))
 
     def partitions(self) -> Sequence[InputPartition]:
-        return partitions(matching(self.path, self.glob), self.range_bytes)
+        files = matching(self.path, self.glob)
+        share = sum(length for _, length in files) // self.least_tasks
+        return partitions(files, min(self.range_bytes, max(share, CHUNK)))
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         for r in partition.ranges:
@@ -354,6 +358,8 @@ def _read(spark: SparkSession, path: str, what: str, magic: int, on_bad: str, gl
     if range_bytes is None:
         conf = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
         range_bytes = conf.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        # like Spark's own readers: small inputs are cut so that every core has a part
+        r = r.option("least_tasks", spark.sparkContext.defaultParallelism)
     return r.option("range_bytes", range_bytes).load(qualified(spark, path))
 
 
