@@ -119,3 +119,50 @@ def test_fixture_ties_follow_the_reversed_walk(spark):
     for y, w in windows.items():
         want = np.polyfit(np.arange(len(w)), w, 1)[0] if len(w) > 1 else None
         assert (got[y] is None) if want is None else abs(got[y] - want) < 1e-12, (y, got[y], want)
+
+
+def test_hot_timestamp_is_cut_into_tiles(spark):
+    """A third of the rows at one time, repeated rows among them, and rows without a time: frames as by brute force, and no
+    tile holds the hot time alone."""
+    rng = np.random.default_rng(8)
+    rows = [(int(t), int(k % 50), int(v)) for k, (t, v) in enumerate(zip(np.cumsum(rng.integers(1, 3000, 400)) * US, rng.integers(0, 99, 400)))]
+    hot = rows[150][0]
+    rows += [(hot, k // 2, k % 7) for k in range(200)]
+    df = spark.createDataFrame([*rows, (None, 1, 5)], "u long, tb long, yc long")
+    frame = 5000 * US
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        total = {}
+        for r in Wn.rolling_sum_forward(df, "u", "yc", frame, tiebreak=["tb"]).collect():
+            total.setdefault((r.u, r.tb), []).append(r.rolling_sum)
+        slopes = Wn.rolling_slope_reversed(df, "u", "yc", frame, tiebreak=["tb"]).collect()
+        part = df.filter("u is not null").withColumn("_id", F.monotonically_increasing_id())
+        tiles = Wn.Tiles(part, "u", frame, ["tb", "_id"], 24)
+        found = tiles.add(part.withColumn("_k", F.col("u")), "_k", 1, "tile").groupBy("tile").count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(r["count"] for r in found) <= 100 and len(found) >= 12
+    assert total.pop((None, 1)) == [None] and len(slopes) == 601
+    ordered = sorted(rows)
+    for (u, tb), got in total.items():
+        same = [k for k, r in enumerate(ordered) if r[:2] == (u, tb)]
+        tails = {sum(r[2] for r in ordered[k:] if r[0] < u + frame) for k in same}
+        if len(same) == 1:
+            assert got == list(tails)
+        else:  # of equal rows either may come first
+            assert len(got) == len(same) and max(got) - min(got) <= sum(ordered[k][2] for k in same)
+
+
+def test_rows_are_exchanged_once(spark):
+    """The rows go through one range exchange; the other exchanges carry the frames that cross a tile's end."""
+    import contextlib
+    import io
+
+    _, df = _series(spark, 2000)
+    local, far = Wn._frames(df, "u", 3600 * US, {"y": F.col("yc")})
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        local.explain()
+    assert "Exchange" not in buf.getvalue()
+    crossing, all_rows = far.count(), 2000
+    assert local.count() + crossing == all_rows and crossing < 0.4 * all_rows
