@@ -52,9 +52,11 @@ def with_prices(df: DataFrame, candles: DataFrame, offsets: Mapping[str, int], *
         for n in names:
             out = out.where(F.col(f"_has_{n}"))
     elif missing == "error":
-        out = out.withColumns({n: F.when(F.col(f"_has_{n}"), F.col(n)).otherwise(F.raise_error(
-            F.concat(F.lit(f"no candle for offset {n} at t="), F.coalesce(F.col(time_col).cast("string"), F.lit("NULL")))))
-            for n in names})
+        # a filter, which stays whatever columns a query reads: an assertion in a price column would be pruned with it
+        at = F.coalesce(F.col(time_col).cast("string"), F.lit("NULL"))
+        for n in names:
+            there = F.assert_true(F.col(f"_has_{n}"), F.concat(F.lit(f"no candle for offset {n} at t="), at))
+            out = out.where(there.isNull())
     return out.drop(*[f"_has_{n}" for n in names])
 
 

@@ -100,29 +100,53 @@ def scores_by_threshold(scores: DataFrame, score_col: str = "r4",
     return scores.select(F.explode(passed).alias("threshold"), *scores.columns)
 
 
+#: Bits of the scored receivers' bitmap for each of them, and the most buckets of ``BUCKET_BITS`` it may have (8 MB, broadcast).
+BITS_EACH, BUCKET_BITS, MOST_BUCKETS = 16, 32768, 2048
+
+
+def maybe_member(df: DataFrame, col: str, members: DataFrame, n_members: int) -> DataFrame:
+    """The rows of ``df`` whose ``col`` may be in the column of the same name of ``members``: a bitmap of the members' hashes, in
+    buckets that are broadcast, lets every member pass and about one in ``BITS_EACH`` others (more of them if the
+    bitmap had to be smaller than that)."""
+    buckets = min(MOST_BUCKETS, max(1, -(-n_members * BITS_EACH // BUCKET_BITS)))
+    bit = lambda c: F.pmod(F.xxhash64(F.lit("member"), c), F.lit(buckets * BUCKET_BITS))
+    own = bit(F.col(col))
+    bitmap = members.select(bit(F.col(col)).alias("_bit")).groupBy(F.floor(F.col("_bit") / BUCKET_BITS).cast("int").alias("_bucket")).agg(
+        F.bitmap_construct_agg((F.col("_bit") % BUCKET_BITS)).alias("_bitmap"))
+    at = (own % BUCKET_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = df.join(F.broadcast(bitmap), F.floor(own / BUCKET_BITS).cast("int") == F.col("_bucket"))
+    return kept.filter(F.getbit(byte, at % 8) == 1).select(df.columns)
+
+
 def block_coverage(outs: DataFrame, scores: DataFrame, score_col: str = "r4",
                    thresholds: Sequence[float] = SCORE_THRESHOLDS) -> DataFrame:
     """JN-7 + AGG-7 + AGG-13: per block, distinct receivers and, per threshold, the
     share of the receivers scoring at least that threshold that appear in the block.
 
-    Distinct (block, receiver) pairs are formed first (map-side distinct), then
-    joined with the scored receivers (one row per receiver), then counted per block with one conditional count per threshold.
+    Two ways meet at the block. Distinct receivers are counted per block from all pairs. The hits come from the few
+    pairs whose receiver may be a scored one: a bitmap of the scored receivers drops the others in the scan, before
+    anything is shuffled, and a join with the scored receivers (one row each) decides.
     Shares of an empty scored set are NULL (quirk Q6).
     """
     scored = scores.select("receiver", F.col(score_col).cast("double").alias("_score")).filter(
         F.col("_score") >= F.lit(float(min(thresholds))))
     scored = staged(scored, "scored")
-    pairs = outs.select("block_id", "time", "receiver").distinct()
-    joined = pairs.join(scored, "receiver", "left")
-    per_block = joined.groupBy("block_id", "time").agg(
-        F.count(F.lit(1)).alias("n_unique_receivers"),
+    sizes = scored.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_score") >= F.lit(float(t))).alias(f"n_{_pct(t)}")
+                                                       for t in thresholds]).first()
+    pairs = outs.select("block_id", "time", "receiver")
+    unique = pairs.distinct().groupBy("block_id", "time").agg(F.count(F.lit(1)).alias("n_unique_receivers"))
+    hits = maybe_member(pairs, "receiver", scored, sizes["n"]).distinct().join(scored, "receiver")
+    hits = hits.groupBy(F.col("block_id").alias("_b"), F.col("time").alias("_t")).agg(
         *[F.count_if(F.col("_score") >= F.lit(float(t))).alias(f"_hit_{_pct(t)}") for t in thresholds])
-    sizes = {t: scored.filter(F.col("_score") >= F.lit(float(t))).select(F.count(F.lit(1))).scalar()
-             for t in thresholds}
-    return per_block.select(
-        "block_id", "time", "n_unique_receivers",
-        *[F.try_divide(F.col(f"_hit_{_pct(t)}").cast("double"), sizes[t].cast("double")).alias(f"coverage_{_pct(t)}")
-          for t in thresholds])
+    both = unique.join(hits, F.col("block_id").eqNullSafe(F.col("_b")) & F.col("time").eqNullSafe(F.col("_t")), "left")
+
+    def share(p: int) -> F.Column:
+        size = sizes[f"n_{p}"]
+        hit = F.coalesce(F.col(f"_hit_{p}"), F.lit(0)).cast("double")
+        return (hit / F.lit(float(size)) if size else F.lit(None).cast("double")).alias(f"coverage_{p}")
+
+    return both.select("block_id", "time", "n_unique_receivers", *[share(_pct(t)) for t in thresholds])
 
 
 def _pct(t: float) -> int:

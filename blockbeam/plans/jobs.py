@@ -11,26 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.columns import BLOCK_COLUMNS as FEATURES_V1, PRICE_CHANGES as FEATURES_V2_EXTRA
 from ..functions.scalars import floor_time
 from ..sinks.staging import staged
 from ..operators import chain, prices, receivers as R, splits
 
-# Column names of the block feature table (fixed values: the reference's names).
-FEATURES_V1 = (
-    "blockId", "blockFloorTime", "numUniqueReceivers", "numTxnsInBlock", "blockFeeReward",
-    "totalBtcAmountReceivedInBlock", "proportionOfReceiversWith65AccInBlock",
-    "proportionOfReceiversWith70AccInBlock", "proportionOfReceiversWith75AccInBlock",
-    "proportionOfReceiversWith80AccInBlock", "proportionOfReceiversWith90AccInBlock",
-    "currBitcoinPrice", "bitcoinPrice1HrAgo", "bitcoinPrice2HrAgo", "bitcoinPrice3HrAgo",
-    "bitcoinPrice4HrAgo", "avgAmtOfBtcPerTxn", "numTxnsWithMoreThan10Outputs", "numHighValueTxnsInBlock",
-    "bitcoinPrice4HrLater", "label", "priceDiffBtw4HrLaterAndCurrPrice",
-)
-FEATURES_V2_EXTRA = (
-    "changeInBtcPriceBtwCurrAnd1HrAgo", "changeInBtcPriceBtw1And2HrAgo",
-    "changeInBtcPriceBtw2And3HrAgo", "changeInBtcPriceBtw3And4HrAgo",
-)
-
-
 def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index: int,
                  missing: str = "error", drop_coinbase: bool = True, fewer: str = "error") -> DataFrame:
     """JOB-2: coinbase dropped (quirk Q12, a parameter), Σ per (bucket, receiver), close

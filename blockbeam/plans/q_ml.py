@@ -4,6 +4,8 @@ chronological split; the model queries are rows-only checks plus unit tests."""
 
 from __future__ import annotations
 
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ..ml import forest as M
@@ -88,13 +90,13 @@ def q_ml_assembled(spark, sf):
 def q_ml_rf_default(spark, sf):
     """ML-2: default forest on the V1 training blocks, scored on the validation blocks."""
     sp = _splits(spark, sf, 1)
-    model = M.train_forest(sp.filter(F.col("split") == "train"), M.FEATURES_V1, seed=1000)
+    model = M.stored_forest(sp.filter(F.col("split") == "train"), M.FEATURES_V1, seed=1000)
     return M.score(model, sp.filter(F.col("split") == "valid"), M.FEATURES_V1)
 
 
 def _tuned(spark, sf):
     sp = _splits(spark, sf, 2)
-    return sp, M.train_forest(sp.filter(F.col("split") == "train"), M.FEATURES_V2, **M.TUNED)
+    return sp, M.stored_forest(sp.filter(F.col("split") == "train"), M.FEATURES_V2, **M.TUNED)
 
 
 @query("ml_rf_tuned")
@@ -153,7 +155,7 @@ scored AS (
 def _stump(spark, sf):
     sp = _splits(spark, sf, 2).select("blockId", "blockFloorTime", "split", "label", *[
         F.when(F.col(c) > 0, 1.0).otherwise(0.0).alias(n) for n, c in _FLAGS.items()])
-    return sp, M.train_forest(sp.filter(F.col("split") == "train"), list(_FLAGS), **STUMP)
+    return sp, M.stored_forest(sp.filter(F.col("split") == "train"), list(_FLAGS), **STUMP)
 
 
 @query("ml_stump_predictions", _STUMP_SQL + "SELECT blockId, label, prediction FROM scored")
@@ -188,6 +190,59 @@ def q_ml_cv_grid(spark, sf):
     return table.withColumn("valid_accuracy", F.lit(acc))
 
 
+# Cross validation that SQL can follow: one-split trees on the four flags, with a grid of the rows that a side of
+# a split needs, over five slices of time with an embargo of four hours (the label's look-ahead) around the held-out one.
+CV_LEAST, CV_EMBARGO = (1, 300, 600, 1_000_000), 4 * S.HOUR
+
+_CV_SQL = _STUMP_SQL.split("sides AS (")[0].rstrip().rstrip(",") + f""",
+timed AS (SELECT f.*, s.blockFloorTime AS t FROM flagged f JOIN splitted s USING (blockId)),
+slices AS (SELECT *, CAST(((row_number() OVER (ORDER BY t, blockId) - 1) * 5) // count(*) OVER () AS INTEGER) AS fold
+           FROM timed WHERE split = 'train'),
+spans AS (SELECT fold, min(t) AS a, max(t) AS b FROM slices GROUP BY fold),
+fits AS (
+  SELECT h.fold AS k, s.blockId, s.label, {", ".join(_FLAGS)} FROM slices s JOIN spans h
+    ON s.fold <> h.fold AND (s.t <= h.a - {CV_EMBARGO} OR s.t >= h.b + {CV_EMBARGO})
+  UNION ALL SELECT -1, blockId, label, {", ".join(_FLAGS)} FROM slices),
+sides AS (
+  SELECT k, name, count(*) FILTER (WHERE flag = 0 AND label = 0) AS l0, count(*) FILTER (WHERE flag = 0 AND label = 1) AS l1,
+         count(*) FILTER (WHERE flag = 1 AND label = 0) AS r0, count(*) FILTER (WHERE flag = 1 AND label = 1) AS r1
+  FROM fits UNPIVOT (flag FOR name IN ({", ".join(_FLAGS)})) GROUP BY k, name),
+least(m) AS (VALUES {", ".join(f"({m})" for m in CV_LEAST)}),
+best AS (
+  SELECT k, m, arg_min(s, (-score, name)) AS s FROM (
+    SELECT s.k, l.m, s, name, CAST(l0 * l0 + l1 * l1 AS DOUBLE) / (l0 + l1) + CAST(r0 * r0 + r1 * r1 AS DOUBLE) / (r0 + r1) AS score
+    FROM sides s, least l WHERE l0 + l1 >= l.m AND r0 + r1 >= l.m) GROUP BY k, m),
+roots AS (SELECT k, sum(label) * 2 > count(*) AS most FROM fits GROUP BY k),
+asked AS (SELECT fold AS k, label, {", ".join(_FLAGS)} FROM slices
+          UNION ALL SELECT -1, label, {", ".join(_FLAGS)} FROM timed WHERE split = 'valid'),
+told AS (
+  SELECT a.k, l.m, a.label, CAST(CASE
+         {" ".join(f"WHEN b.s.name = '{n}' THEN CASE WHEN a.{n} = 1 THEN b.s.r1 > b.s.r0 ELSE b.s.l1 > b.s.l0 END" for n in _FLAGS)}
+         ELSE r.most END AS INTEGER) AS p
+  FROM asked a CROSS JOIN least l JOIN roots r ON r.k = a.k LEFT JOIN best b ON b.k = a.k AND b.m = l.m),
+folds AS (SELECT k, m, CAST(count(*) FILTER (WHERE p = label) AS DOUBLE) / count(*) AS accuracy FROM told GROUP BY k, m),
+means AS (SELECT m, round(sum(accuracy) / 5, 12) AS avg_accuracy FROM folds WHERE k >= 0 GROUP BY m),
+chosen AS (SELECT m FROM means ORDER BY avg_accuracy DESC, m LIMIT 1)
+SELECT CAST(m AS INTEGER) AS min_rows, avg_accuracy, m = (SELECT m FROM chosen) AS best,
+       (SELECT round(accuracy, 12) FROM folds WHERE k = -1 AND m = (SELECT m FROM chosen)) AS valid_accuracy FROM means"""
+
+
+@query("ml_cv_stump_grid", _CV_SQL)
+def q_ml_cv_stump_grid(spark, sf):
+    """ML-7 on one-split trees: a grid of least rows a side, mean accuracies over five time folds with an embargo, and the
+    validation accuracy of the tree refitted with the best setting."""
+    flags = list(_FLAGS)
+    sp = _splits(spark, sf, 2).select("blockId", "blockFloorTime", "split", "label", *[
+        F.when(F.col(c) > 0, 1.0).otherwise(0.0).alias(n) for n, c in _FLAGS.items()])
+    rf = RandomForestClassifier(labelCol="label", featuresCol="features", cacheNodeIds=True, **STUMP)
+    grid = ParamGridBuilder().addGrid(rf.minInstancesPerNode, list(CV_LEAST)).build()
+    _, metrics, acc = M.tune(rf, grid, staged(sp, "flags"), flags, time_folds=True, embargo=CV_EMBARGO)
+    metrics = [round(m, 12) for m in metrics]
+    best = max(range(len(grid)), key=lambda i: (metrics[i], -i))
+    rows = [(m, v, i == best, round(acc, 12)) for i, (m, v) in enumerate(zip(CV_LEAST, metrics))]
+    return spark.createDataFrame(rows, "min_rows int, avg_accuracy double, best boolean, valid_accuracy double")
+
+
 _GRID_SQL = """
 SELECT t AS num_trees, d AS max_depth, round(avg(accuracy), 12) AS avg_accuracy FROM (
   SELECT t, d, o_orderkey % 5 AS fold,

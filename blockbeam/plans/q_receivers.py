@@ -26,24 +26,28 @@ def staged_outputs(spark, sf):
     return staged(S.outputs(spark, sf), "outputs")
 
 
-def raw(spark, sf):
+def raw(spark, sf, outs=None):
     """JOB-2 output: a price lookup and a label over the staged activity."""
-    return J.receiver_raw(staged_outputs(spark, sf), S.daily_candles(spark, sf), grain=S.GRAIN,
+    outs = staged_outputs(spark, sf) if outs is None else outs
+    return J.receiver_raw(outs, S.daily_candles(spark, sf), grain=S.GRAIN,
                           cut_index=S.RECEIVER_CUT_INDEX, missing="drop", fewer="last")
 
 
-def train(spark, sf):
-    return raw(spark, sf).filter(F.col("split") == "train").drop("split")
+def train(spark, sf, outs=None):
+    return raw(spark, sf, outs).filter(F.col("split") == "train").drop("split")
 
 
-def scores(spark, sf):
+def scores(spark, sf, outs=None):
     """JOB-3 output (one row per popular receiver), staged once."""
-    return staged(J.receiver_scores(train(spark, sf), S.daily_candles(spark, sf), RECV_OFFSETS, missing="drop"), "scores")
+    act = train(spark, sf, outs)
+    return staged(J.receiver_scores(act, S.daily_candles(spark, sf), RECV_OFFSETS, missing="drop"), "scores")
 
 
-def features(spark, sf, version):
-    sc = scores(spark, sf)
-    feat = J.block_features(staged_outputs(spark, sf), sc, S.daily_candles(spark, sf), grain=S.GRAIN, hour=S.HOUR,
+def features(spark, sf, version, outs=None):
+    """The block features; the outputs are staged once for the scores and the features."""
+    outs = staged_outputs(spark, sf) if outs is None else outs
+    sc = scores(spark, sf, outs)
+    feat = J.block_features(outs, sc, S.daily_candles(spark, sf), grain=S.GRAIN, hour=S.HOUR,
                             fanout_min=S.FANOUT_MIN, high_value=S.HIGH_VALUE, subsidy=S.SUBSIDY,
                             version=version, missing="drop")
     n_train = S.TRAIN_BLOCKS_V1 if version == 1 else S.TRAIN_BLOCKS_V2
@@ -51,6 +55,12 @@ def features(spark, sf, version):
     return J.split_features(staged(feat, "features"), n_train, S.VALID_BLOCKS)
 
 
+def coverage(spark, sf, **kw):
+    """JN-7 over one staged copy of the outputs."""
+    outs = staged_outputs(spark, sf)
+    return R.block_coverage(outs, scores(spark, sf, outs), **kw)
+
+
 @query("receiver_activity", with_(OUTS) + f"""
 SELECT time - time % {S.GRAIN} AS t, receiver, count(*) AS n_txns, CAST(sum(amount) AS DOUBLE) AS amount
 FROM outs GROUP BY 1, 2""")
@@ -162,7 +172,7 @@ SELECT blockId AS block_id, numUniqueReceivers AS n_unique_receivers,
   FROM blocks b JOIN cov cv USING (block_id))""")
 def q_receiver_coverage(spark, sf):
     """JN-7: per block, share of each scored set present among its receivers."""
-    cov = R.block_coverage(S.outputs(spark, sf), scores(spark, sf))
+    cov = coverage(spark, sf)
     return cov.select("block_id", "n_unique_receivers", *[f"coverage_{p}" for p in (65, 70, 75, 80, 90)])
 
 
@@ -171,7 +181,7 @@ SELECT b.block_id, CAST(cv.h75 AS DOUBLE) / NULLIF((SELECT s75 FROM sizes), 0) A
 FROM blocks b JOIN cov cv USING (block_id)""")
 def q_coverage_ratio(spark, sf):
     """AGG-13: members present ÷ set size for the 0.75 set (NULL when empty)."""
-    cov = R.block_coverage(S.outputs(spark, sf), scores(spark, sf), thresholds=(0.75,))
+    cov = coverage(spark, sf, thresholds=(0.75,))
     return cov.select("block_id", "coverage_75")
 
 
@@ -209,8 +219,8 @@ def q_dataset_counts(spark, sf):
         return df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()])).scalar()
 
     act = counts(R.receiver_activity(drop_first_tx(outs), S.GRAIN), n_receiver_rows=F.count(F.lit(1)))
-    tr = counts(train(spark, sf), n_train_buckets=F.count_distinct("t"), n_train_receivers=F.count_distinct("receiver"))
-    split = counts(features(spark, sf, 2), **{f"n_{v}_blocks": F.count_if(F.col("split") == v)
+    tr = counts(train(spark, sf, outs), n_train_buckets=F.count_distinct("t"), n_train_receivers=F.count_distinct("receiver"))
+    split = counts(features(spark, sf, 2, outs), **{f"n_{v}_blocks": F.count_if(F.col("split") == v)
                                               for v in ("train", "valid", "test")})
     o = outs.agg(F.count_distinct("block_id").alias("n_blocks"), F.count(F.lit(1)).alias("n_outputs"))
     return o.select("n_blocks", "n_outputs", act["n_receiver_rows"].alias("n_receiver_rows"),

@@ -110,8 +110,8 @@ def _scores_dir(spark, sf):
     from ..operators.receivers import scores_by_threshold
     s = scores_by_threshold(scores(spark, sf)).withColumn("threshold_pct", threshold_percent("threshold"))
     path = scratch_path(spark, "scored_receivers")
-    Wr.write_tuple_text(s.orderBy(F.desc("r4")), path, ["receiver", "n", "amount", "r30", "r1", "r2", "r3", "r4"],
-                        partition_by=["threshold_pct"])
+    Wr.write_tuple_text(s, path, ["receiver", "n", "amount", "r30", "r1", "r2", "r3", "r4"],
+                        partition_by=["threshold_pct"], order=[F.desc("r4")])
     return path
 
 

@@ -26,6 +26,15 @@ def test_missing_policies(spark, gap_prices, facts):
         err.collect()
 
 
+def test_an_absent_candle_is_seen_whatever_is_read(gap_prices, facts):
+    """No query may lose the check by not reading the price."""
+    err = P.with_prices(facts, gap_prices, {"p0": 0, "p60": 60})
+    for df in (err.select("t"), err.groupBy("t").count(), err.select("t").distinct(), err.agg({"t": "max"}), err.filter("t > 100").select("t")):
+        with pytest.raises(Exception, match="no candle"):
+            df.collect()
+    assert [r.t for r in P.with_prices(facts.filter("t < 100"), gap_prices, {"p0": 0, "p60": 60}).select("t").orderBy("t").collect()] == [0, 60]
+
+
 def test_a_candle_with_a_null_price_is_not_absent(spark):
     candles = spark.createDataFrame([(0, 1.0), (60, None)], "unix long, close double")
     facts = spark.createDataFrame([(0,), (60,), (120,)], "t long")

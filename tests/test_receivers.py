@@ -54,3 +54,27 @@ def test_popular_activity_semi_join(spark):
     act = spark.createDataFrame([(0, "a"), (0, "b"), (60, "a")], "t long, receiver string")
     pop = spark.createDataFrame([("a", 0.5)], "receiver string, fraction double")
     assert R.popular_activity(act, pop).count() == 2
+
+
+def test_bitmap_lets_every_member_pass_and_few_others(spark):
+    members = spark.range(0, 30_000, 3).selectExpr("cast(id as string) as receiver")
+    df = spark.range(30_000).selectExpr("cast(id as string) as receiver", "id")
+    kept = {r.id for r in R.maybe_member(df, "receiver", members, 10_000).collect()}
+    assert kept >= set(range(0, 30_000, 3))
+    assert len(kept) - 10_000 < 0.1 * 20_000
+    # a bitmap that is too small for its members drops none of them either
+    assert R.maybe_member(df, "receiver", members, 1).filter("id % 3 = 0").count() == 10_000
+    assert R.maybe_member(df, "receiver", members.limit(0), 0).count() == 0
+
+
+def test_coverage_prunes_pairs_before_the_shuffle(spark):
+    outs = spark.createDataFrame([(f"b{i % 7}", i % 7 * 60, f"r{i % 50}") for i in range(500)], "block_id string, time long, receiver string")
+    scores = spark.createDataFrame([("r1", 0.9), ("r2", 0.5), ("nobody", 0.7)], "receiver string, r4 double")
+    cov = R.block_coverage(outs, scores)
+    plan = cov._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "getbit" in plan.lower()
+    got = {r.block_id: r for r in cov.collect()}
+    for i in range(7):
+        mine = {f"r{k % 50}" for k in range(500) if k % 7 == i}
+        assert got[f"b{i}"].n_unique_receivers == len(mine)
+        assert got[f"b{i}"].coverage_65 == ("r1" in mine) / 2 and got[f"b{i}"].coverage_90 == float("r1" in mine)
