@@ -88,28 +88,32 @@ def hash160_hex(s: pd.Series) -> pd.Series:
     return s.map({x: _hash160_hex(x) for x in s.dropna().unique()}).astype(object).where(s.notna(), None)
 
 
-def receiver_key(script, strict: bool = False) -> Column:
-    """STR-1: output script (lowercase hex) -> receiver key.
-
-    Branches in order: P2PKH -> inner 20-byte hash; P2SH -> inner hash; any other
-    script ending in "ac" -> hash160 of the script without that suffix (quirk Q7:
-    this also catches other shapes; ``strict=True`` limits it to pushed 33/65-byte
-    keys); otherwise the script itself.
-    """
+def _key_parts(script, strict: bool = False) -> tuple[Column, Column, Column]:
+    """(key of the branches that need no hash, whether the script is in the hash branch, what is hashed then)."""
     s = col_(script)
     n = F.length(s)
     p2pkh = s.startswith(P2PKH_PREFIX) & s.endswith(P2PKH_SUFFIX)
     p2sh = s.startswith(P2SH_PREFIX) & s.endswith(P2SH_SUFFIX)
-    p2pk = s.endswith(P2PK_SUFFIX)
+    p2pk = s.endswith(P2PK_SUFFIX) & ~p2pkh & ~p2sh
     if strict:
         p2pk = p2pk & n.isin(2 * 35, 2 * 67)
     inner_p2pkh = F.substring(s, len(P2PKH_PREFIX) + 1, n - len(P2PKH_PREFIX) - len(P2PKH_SUFFIX))
     inner_p2sh = F.substring(s, len(P2SH_PREFIX) + 1, n - len(P2SH_PREFIX) - len(P2SH_SUFFIX))
-    pub = F.substring(s, 1, n - len(P2PK_SUFFIX))
-    return (F.when(p2pkh, inner_p2pkh)
-            .when(p2sh, inner_p2sh)
-            .when(p2pk, hash160_hex(F.when(p2pk & ~p2pkh & ~p2sh, pub)))
-            .otherwise(s))
+    plain = F.when(p2pkh, inner_p2pkh).when(p2sh, inner_p2sh).otherwise(s)
+    return plain, F.coalesce(p2pk, F.lit(False)), F.substring(s, 1, n - len(P2PK_SUFFIX))
+
+
+def receiver_key(script, strict: bool = False) -> Column:
+    """STR-1: output script (lowercase hex) -> receiver key, as one column.
+
+    Branches in order: P2PKH -> inner 20-byte hash; P2SH -> inner hash; any other
+    script ending in "ac" -> hash160 of the script without that suffix (quirk Q7:
+    this also catches other shapes; ``strict=True`` limits it to pushed 33/65-byte
+    keys); otherwise the script itself. Every row passes the Python hash; for tables of outputs use
+    ``operators.receivers.with_receiver_keys``.
+    """
+    plain, hashed, pub = _key_parts(script, strict)
+    return F.when(hashed, hash160_hex(F.when(hashed, pub))).otherwise(plain)
 
 
 def script_branch(script) -> Column:

@@ -19,7 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.scalars import floor_time, receiver_key
+from ..functions.scalars import floor_time
+from ..sinks.staging import staged
+from .receivers import maybe_member, with_receiver_keys
 
 # Fixed values of the reference's feature definitions (parameters here):
 #   block subsidy 6.25 coins; "many outputs" >= 10 outputs; "high value" >= 10 coins;
@@ -42,7 +44,7 @@ def explode_outputs(blocks: DataFrame, drop_first_tx: bool = False, with_keys: b
     """PRJ-3/PRJ-4/AGG-12 on nested blocks: one row per output carrying its parents.
 
     Adds ``n_outputs`` and ``n_unique_scripts`` of the parent transaction (computed
-    on the array, no shuffle) and, with ``with_keys``, the receiver key (STR-1).
+    on the array, no shuffle) and, with ``with_keys``, the receiver key (STR-1), for which the outputs are staged.
     """
     txs = explode_txs(blocks)
     if drop_first_tx:
@@ -57,9 +59,7 @@ def explode_outputs(blocks: DataFrame, drop_first_tx: bool = False, with_keys: b
         F.col("o.amount_sat").alias("amount_sat"), F.col("o.script").alias("script"))
     outs = outs.withColumn("amount", (F.col("amount_sat").cast(T.DecimalType(28, 0)) / F.lit(10 ** 8))
                            .cast(T.DecimalType(28, 8)))
-    if with_keys:
-        outs = outs.withColumn("receiver", receiver_key("script"))
-    return outs
+    return with_receiver_keys(staged(outs, "outputs")) if with_keys else outs
 
 
 def list_transactions(blocks: DataFrame) -> DataFrame:
@@ -74,12 +74,19 @@ def drop_first_tx(outs: DataFrame, positional: bool = False) -> DataFrame:
 
     ``positional``: ``tx_pos`` is a 0-based position, so a filter suffices.
     Otherwise the first order key per block is aggregated (one row per block, partial
-    aggregation) and joined back on the block.
+    aggregation) and staged. A bitmap of these (block, transaction) pairs tells nearly all other outputs apart in
+    the scan; they go straight through, and only those that may be a coinbase's are joined with the blocks. So the
+    outputs aren't shuffled, and a block that holds a large share of them is no skewed key.
     """
     if positional:
         return outs.filter(F.col("tx_pos") > 0)
-    first = outs.groupBy("block_id").agg(F.min("tx_pos").alias("_first_tx"))
-    return outs.join(first, "block_id").filter(F.col("tx_pos") > F.col("_first_tx")).drop("_first_tx")
+    known = outs.filter(F.col("block_id").isNotNull() & F.col("tx_pos").isNotNull())
+    first = known.groupBy("block_id").agg(F.min("tx_pos").alias("tx_pos"))
+    first = staged(first.select("block_id", "tx_pos", F.xxhash64("block_id", "tx_pos").alias("_tx")), "coinbases")
+    told = maybe_member(known.withColumn("_tx", F.xxhash64("block_id", "tx_pos")), "_tx", first, first.count(), keep="_maybe")
+    straight = told.filter(~F.col("_maybe")).select(outs.columns)
+    rest = told.filter("_maybe").select(outs.columns).join(first.select("block_id", "tx_pos"), ["block_id", "tx_pos"], "left_anti")
+    return straight.unionByName(rest)
 
 
 def tx_fanout(outs: DataFrame) -> DataFrame:

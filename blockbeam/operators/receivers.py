@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.scalars import floor_time
+from ..functions.scalars import _key_parts, floor_time, hash160_hex
 from ..sinks.staging import staged
 from .prices import rise_flags, with_prices
 
@@ -33,6 +33,21 @@ def receiver_activity(outs: DataFrame, grain: int = 60) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_txns"), F.sum("amount").alias("amount")))
 
 
+def with_receiver_keys(outs: DataFrame, script: str = "script", name: str = "receiver", strict: bool = False) -> DataFrame:
+    """STR-1 for a table (best a staged one: it is read three times): ``receiver_key`` of every row, with Python
+    only for a dictionary of distinct scripts.
+
+    Most scripts need built-in functions alone and go straight through. Those of the hash branch are made distinct, hashed
+    once each, and joined back; the dictionary has one row per script, so a script that many outputs share is
+    split like any skewed join."""
+    plain, hashed, pub = _key_parts(script, strict)
+    straight = outs.filter(~hashed).withColumn(name, plain)
+    asked = outs.filter(hashed).withColumn("_pub", pub)
+    book = staged(asked.select("_pub").distinct().withColumn("_hash", hash160_hex("_pub")), "receiver_hashes")
+    found = asked.join(book, "_pub").withColumn(name, F.col("_hash")).drop("_pub", "_hash")
+    return straight.unionByName(found)
+
+
 def receiver_frequency(activity: DataFrame) -> DataFrame:
     """AGG-3: rows (time buckets) per receiver."""
     return activity.groupBy("receiver").agg(F.count(F.lit(1)).alias("freq"))
@@ -104,10 +119,10 @@ def scores_by_threshold(scores: DataFrame, score_col: str = "r4",
 BITS_EACH, BUCKET_BITS, MOST_BUCKETS = 16, 32768, 2048
 
 
-def maybe_member(df: DataFrame, col: str, members: DataFrame, n_members: int) -> DataFrame:
+def maybe_member(df: DataFrame, col: str, members: DataFrame, n_members: int, keep: str | None = None) -> DataFrame:
     """The rows of ``df`` whose ``col`` may be in the column of the same name of ``members``: a bitmap of the members' hashes, in
     buckets that are broadcast, lets every member pass and about one in ``BITS_EACH`` others (more of them if the
-    bitmap had to be smaller than that)."""
+    bitmap had to be smaller than that). With ``keep`` all rows stay, and that column says so."""
     buckets = min(MOST_BUCKETS, max(1, -(-n_members * BITS_EACH // BUCKET_BITS)))
     bit = lambda c: F.pmod(F.xxhash64(F.lit("member"), c), F.lit(buckets * BUCKET_BITS))
     own = bit(F.col(col))
@@ -115,8 +130,11 @@ def maybe_member(df: DataFrame, col: str, members: DataFrame, n_members: int) ->
         F.bitmap_construct_agg((F.col("_bit") % BUCKET_BITS)).alias("_bitmap"))
     at = (own % BUCKET_BITS).cast("int")
     byte = F.conv(F.hex(F.substring("_bitmap", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    kept = df.join(F.broadcast(bitmap), F.floor(own / BUCKET_BITS).cast("int") == F.col("_bucket"))
-    return kept.filter(F.getbit(byte, at % 8) == 1).select(df.columns)
+    told = df.join(F.broadcast(bitmap), F.floor(own / BUCKET_BITS).cast("int") == F.col("_bucket"), "left" if keep else "inner")
+    maybe = F.getbit(byte, at % 8) == 1
+    if keep:
+        return told.select(*df.columns, F.coalesce(maybe, F.lit(False)).alias(keep))
+    return told.filter(maybe).select(df.columns)
 
 
 def block_coverage(outs: DataFrame, scores: DataFrame, score_col: str = "r4",

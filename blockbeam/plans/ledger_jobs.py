@@ -37,9 +37,8 @@ DEFAULTS = dict(grain=60, hour=3600, receiver_cut_index=3999, train_v1=3800, tra
 
 
 def outputs(spark: SparkSession, a) -> DataFrame:
-    """Decoded blocks -> flat outputs with receiver keys, staged once."""
-    blocks = B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad)
-    return staged(chain.explode_outputs(blocks), "outputs")
+    """Decoded blocks -> flat outputs, staged once, with receiver keys."""
+    return chain.explode_outputs(B.read_block_files(spark, a.blocks, glob=a.glob, on_bad=a.on_bad))
 
 
 def candles(spark: SparkSession, a) -> DataFrame:

@@ -53,13 +53,43 @@ def q_receiver_key(spark, sf):
     return s.select("l_orderkey", "l_linenumber", "script", X.receiver_key("script").alias("receiver"))
 
 
-@query("receiver_key_hash")
+# Public keys and their published hash160 (the curve's generator, compressed and not; the key that the
+# first block pays; the key of the worked example of an address).
+PUBLIC_KEYS = (
+    ("0279be667ef9dcbbac55a06295ce870b07029bfcdb2dce28d959f2815b16f81798",
+     "751e76e8199196d454941c45d1b3a323f1433bd6"),
+    ("0479be667ef9dcbbac55a06295ce870b07029bfcdb2dce28d959f2815b16f81798"
+     "483ada7726a3c4655da4fbfc0e1108a8fd17b448a68554199c47d08ffb10d4b8",
+     "91b24bf9f5288532960ac687abb035127b1d28a5"),
+    ("04678afdb0fe5548271967f1a67130b7105cd6a828e03909a67962e0ea1f61deb6"
+     "49f6bc3f4cef38c4f35504e51ec112de5c384df7ba0b8d578a4c702b6bf11d5f",
+     "62e907b15cbf27d5425399ebf6f0fb50ebb88f18"),
+    ("0450863ad64a87ae8a2fe83c1af1a8403cb53f53e486d8511dad8a04887e5b2352"
+     "2cd470243453a299fa9e77237716103abc11a1df38855ed6f2ee187e9c582ba6",
+     "010966776006953d5567439e5e39f86a0d273bee"),
+)
+_VECTOR = f"l_partkey % {len(PUBLIC_KEYS)}"
+
+
+@query("receiver_key_hash", f"""WITH vectors(k, key, hash) AS (VALUES {", ".join(f"({i}, '{k}', '{h}')" for i, (k, h) in enumerate(PUBLIC_KEYS))}),
+scripts AS (
+  SELECT l_orderkey, l_linenumber, {_VECTOR} AS k, CASE l_linenumber % 3
+           WHEN 1 THEN '76a914' || lpad(lower(hex(l_partkey)), 40, '0') || '88ac'
+           WHEN 2 THEN 'a914' || lpad(lower(hex(l_suppkey)), 40, '0') || '87' END AS hashed
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, coalesce(hashed, key || 'ac') AS script,
+       CASE l_linenumber % 3 WHEN 1 THEN substr(hashed, 7, 40) WHEN 2 THEN substr(hashed, 5, 40) ELSE hash END AS receiver,
+       CASE l_linenumber % 3 WHEN 1 THEN 'p2pkh' WHEN 2 THEN 'p2sh' ELSE 'p2pk' END AS branch
+FROM scripts JOIN vectors USING (k)""")
 def q_receiver_key_hash(spark, sf):
-    """STR-1 with the pay-to-pubkey branch: hash160 of the pushed key (rows-only;
-    the unit tests check the hashes against hashlib)."""
-    s = _scripts(spark, sf, with_hash_branch=True)
-    return s.select("l_orderkey", "l_linenumber", "script", X.receiver_key("script").alias("receiver"),
-                    X.script_branch("script").alias("branch"))
+    """STR-1 with the pay-to-pubkey branch, by a dictionary of distinct scripts: a third of the rows pay to one
+    of four public keys whose hash160 is published, the others as in ``receiver_key``."""
+    keys = F.array(*[F.lit(k + "ac") for k, _ in PUBLIC_KEYS])
+    li = S.table(spark, sf, "lineitem")
+    s = li.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("76a914"), _hex("l_partkey", 40), F.lit("88ac")))
+                  .when(F.col("l_linenumber") % 3 == 2, F.concat(F.lit("a914"), _hex("l_suppkey", 40), F.lit("87")))
+                  .otherwise(F.element_at(keys, (F.expr(_VECTOR) + 1).cast("int"))).alias("script"))
+    return R.with_receiver_keys(s).withColumn("branch", X.script_branch("script"))
 
 
 @query("receiver_key_branches", with_(_SCRIPTS_SQL.replace("'0014' || lpad(lower(hex(l_orderkey)), 38, '0') || '01'",
@@ -71,7 +101,7 @@ def q_receiver_key_branches(spark, sf):
     """STR-1 per branch, the hash branch included: every script gets a key of 20 bytes, and
     different scripts get different keys."""
     s = _scripts(spark, sf, with_hash_branch=True)
-    keyed = s.select("script", X.receiver_key("script").alias("key"), X.script_branch("script").alias("branch"))
+    keyed = R.with_receiver_keys(s, name="key").select("script", "key", X.script_branch("script").alias("branch"))
     return keyed.groupBy("branch").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("key").alias("n_keys"),
         F.min(F.length("key")).cast("long").alias("min_chars"), F.max(F.length("key")).cast("long").alias("max_chars"),

@@ -55,3 +55,22 @@ def test_nested_rows_do_not_grow_with_the_data(spark):
         assert r.largest <= ORDERS_PER_BLOCK
         blocks[sf] = r.blocks
     assert blocks["0.01"] > 5 * blocks["0.001"]
+
+
+def test_coinbase_filter_does_not_shuffle_the_outputs(spark):
+    """A block with a third of all outputs; the outputs go straight through, only possible coinbases meet the blocks."""
+    from blockbeam.operators import chain
+
+    rows = [("hot" if i % 3 == 0 else f"b{i % 40}", i // 2 % 997, i) for i in range(6000)]
+    rows += [(None, 5, 1), ("b1", None, 2), ("b1", -3, 3), ("b1", -3, 4)]
+    outs = spark.createDataFrame(rows, "block_id string, tx_pos long, v long").repartition(4)
+    first = {}
+    for b, t, _ in rows:
+        if b is not None and t is not None:
+            first[b] = min(first.get(b, t), t)
+    got = sorted(map(tuple, chain.drop_first_tx(outs).collect()))
+    assert got == sorted(r for r in rows if r[0] is not None and r[1] is not None and r[1] > first[r[0]])
+    plan = chain.drop_first_tx(outs)._jdf.queryExecution().executedPlan().toString()
+    # the union's first branch, which nearly all rows take, has no exchange but that of the input
+    branches = plan.split("Union", 1)[1].split("SortMergeJoin")[0] if "SortMergeJoin" in plan else plan.split("Union", 1)[1]
+    assert "hashpartitioning(block_id" not in branches.split("BroadcastHashJoin")[0]

@@ -68,3 +68,17 @@ def test_hash160_of_public_vectors(spark):
     df = spark.createDataFrame([(k,) for k in [*want, *want, None]], "k string")
     got = [(r.k, r.h) for r in df.select("k", X.hash160_hex("k").alias("h")).collect()]
     assert got == [(k, want.get(k)) for k in [*want, *want, None]]
+
+
+def test_keys_by_a_dictionary_equal_the_column(spark):
+    from blockbeam.operators.receivers import with_receiver_keys
+
+    key33 = "02" + "11" * 32
+    rows = ["76a914" + "ab" * 20 + "88ac", "a914" + "cd" * 20 + "87", "21" + key33 + "ac", "0014" + "ef" * 20, "ac", "", None,
+            "0020" + "12" * 31 + "ac"] + ["21" + key33 + "ac"] * 50 + [f"21{k:066x}ac" for k in range(20)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(rows)], "i int, script string").repartition(3)
+    for strict in (False, True):
+        a = with_receiver_keys(df, strict=strict)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, df.withColumn("receiver", X.receiver_key("script", strict)).collect()))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan  # the dictionary is staged; no output passes Python

@@ -35,3 +35,29 @@ def test_embargo_q4(spark):
     assert got["b007"] == "train" and got["b008"] == "embargo" and got["b009"] == "embargo"
     assert got["b010"] == "valid" and got["b015"] == "test"
     assert Sp.chronological_split(df, ["time", "id"], 10, 5).filter("split = 'embargo'").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 300, 999, 1000, 1700, 2000])
+def test_a_far_cut_is_narrowed_down(spark, n):
+    """Cuts beyond the merge bound equal a sort's: hot keys, nulls and pairs; the merge stays bounded."""
+    import random
+
+    rnd = random.Random(n)
+    rows = [(None if i % 50 == 0 else 700 if i % 3 == 0 else rnd.randrange(10_000), f"b{i:04d}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "t long, id string").repartition(5)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    one = df.limit(1)
+    cut = one.select(Sp.nth_key(df, "t", n, distinct=False, merged=60).alias("c")).first().c
+    assert cut == ordered[n - 1][0]
+    pair = one.select(Sp.nth_key(df, ["t", "id"], n, distinct=False, merged=60).alias("c")).first().c
+    assert tuple(pair) == ordered[n - 1]
+    left, place = Sp.narrowed(df.select("t").withColumnRenamed("t", "_k"), n, 60)
+    assert left.count() <= 60 and 1 <= place <= 60
+
+
+def test_a_cut_beyond_all_keys(spark):
+    df = spark.range(500).selectExpr("id as t")
+    one = df.limit(1)
+    assert one.select(Sp.nth_key(df, "t", 700, fewer="last", merged=20).alias("c")).first().c == 499
+    with pytest.raises(Exception, match="fewer than"):
+        one.select(Sp.nth_key(df, "t", 700, merged=20).alias("c")).collect()
