@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..sinks.staging import staged
 
@@ -33,28 +33,36 @@ DEC = T.DecimalType(38, 0)
 _LOW_BITS = (1 << 33) - 1
 
 
-def _n_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+#: Input bytes (as stored) that a task of an ordered scan takes on.
+TASK_BYTES = 64 << 20
+
+
+def _n_parts(df: DataFrame) -> int:
+    """Range partitions for an ordered scan: by the bytes of the tables that ``df`` reads, and at least the session's
+    shuffle partitions. Inputs whose size Spark doesn't know don't count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(s for s in sizes if s < 1 << 60)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-known // TASK_BYTES))
 
 
 def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx",
               num_partitions: int | None = None) -> DataFrame:
     """Add a global 0-based row index in the order of ``order_cols`` (make it unique).
 
-    The range-partitioned, sorted table is checkpointed (reliable checkpoint in
-    ``spark.checkpoint.dir``) so partition ids and record numbers are fixed before
-    they are combined, and a lost executor recomputes nothing upstream.
+    The range-partitioned, sorted table is staged as Parquet so partition ids and record numbers are fixed before
+    they are combined, later steps read only the columns they use, and a lost executor recomputes nothing upstream.
     """
     return _numbered(df, order_cols, name, num_partitions).drop("_pid", "_local", "_off", "_cnt")
 
 
 def _numbered(df: DataFrame, order_cols: Sequence[str], name: str, num_partitions: int | None = None) -> DataFrame:
     """``row_index`` with each row's range partition, place and partition size (_pid, _local, _cnt)."""
-    n = num_partitions or _n_parts(df.sparkSession)
+    n = num_partitions or _n_parts(df)
     parted = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
-    parted = parted.checkpoint(eager=True)
+    parted = staged(parted, "numbered")
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", "_cnt", F.coalesce(
         F.sum("_cnt").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
@@ -148,7 +156,7 @@ def _frames(df: DataFrame, u: str, frame: int, values: dict[str, Column], lasts:
     row in its tile, ``_E_<k>``, those up to the frame's end in the end's tile (``n`` counts rows), and ``_E_<c>``, the latest value
     there. The second have besides ``_Bp_<k>`` and ``_Bq_<k>``, what the tiles before the row's and the end's hold, where
     ``_Bp_place_<k>`` is the sum of a value times its place among all rows, for a value ``place_<k>`` given as ``_r`` times k."""
-    n = _n_parts(df.sparkSession)
+    n = _n_parts(df)
     rows = df.filter(F.col(u).isNotNull()).withColumn("_id", F.monotonically_increasing_id())
     tail = [*tiebreak, "_id"]
     tiles = Tiles(rows, u, frame, tail, n * TILES)

@@ -166,3 +166,19 @@ def test_rows_are_exchanged_once(spark):
     assert "Exchange" not in buf.getvalue()
     crossing, all_rows = far.count(), 2000
     assert local.count() + crossing == all_rows and crossing < 0.4 * all_rows
+
+
+def test_partitions_follow_the_inputs_bytes(spark, tmp_out):
+    path = tmp_out("bytes")
+    spark.range(200_000).selectExpr("id as u", "uuid() as s").write.parquet(path)
+    df = spark.read.parquet(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert Wn._n_parts(df) == n
+    from unittest import mock
+    with mock.patch.object(Wn, "TASK_BYTES", 1 << 18):
+        many = Wn._n_parts(df)
+        assert many > 3 * n
+        # and the rows come out the same, whatever their number
+        got = Wn.lags(df.select("u"), ["u"], ["u"], [3]).agg(F.count_if(F.col("u_lag3") == F.col("u") - 3), F.count_if(F.col("u_lag3").isNull())).first()
+    assert tuple(got) == (199_997, 3)
+    assert Wn._n_parts(df.checkpoint()) == n  # size unknown
