@@ -1,19 +1,23 @@
 """License scans: winnowed fingerprints pick candidates, banded alignment reports spans.
 
 Texts and templates are read as words ``[a-z0-9]+`` of the lower-cased text. A template's fingerprints
-are the smallest hash of every window of ``WINDOW`` consecutive ``GRAM``-word hashes (winnowing), so any run
-of ``GRAM + WINDOW - 1`` words of a template holds one. An inverted index maps a fingerprint to its
+are the smallest hash of every window of consecutive n-word hashes (winnowing). An inverted index maps a fingerprint to its
 templates and places; it is as large as the templates, which are checked to be at most
-``MAX_WORDS`` words, and goes to every task. All grams of every text are looked up in it. Hits of
-one template on nearby diagonals (place in the text less place in the template) are one candidate, and
-banded alignments (local: match 1, mismatch and gap -1) within ``BAND`` words of its diagonals give
-the words matched and the spans of the text: the best that covers enough, then the best beside it, and so on.
-
-A template of up to ``SHORT`` words, or one that can be covered enough by shorter runs than hold a fingerprint,
-isn't looked up by fingerprints. An alignment spans less than two words of the text for each word of
-its template, so it lies in a window of the text that holds enough of the template's words; these windows
-are found by counting, and aligned on all diagonals, so no match is lost. A longer template is
-found unless words put in between leave no run of ``GRAM + WINDOW - 1`` of its words. Defined results: null and empty texts match nothing;
+``MAX_WORDS`` words, and goes to every task. All grams of every text are looked up in it, and hits of one template are
+chained to candidates. Local alignments (match 1, mismatch and gap -1) on the diagonals of a candidate's hits (place in
+the text less place in the template), for long templates also ``BAND`` beside them, give the words matched
+and the spans of the text: the best that covers enough, then the best beside it, and so on.
+
+Grams get shorter with the template (``grams_for``):
+
+* up to ``SHORT`` words, and where runs of other lengths might hold no fingerprint, every word is one. Hits are chained by
+  place: an alignment that covers enough spans less than two words of the text for each word of its
+  template, and each word it matches is a hit, so it lies in a row of hits that are enough and close enough. No match is lost.
+* longer templates have 2-word grams, or beyond ``LONG`` words 3-word grams in windows of ``WINDOW``. Hits are chained by diagonal.
+  Edits that leave one run of the template's words as long as a window's grams leave a hit; the tests measure how
+  much is found at 80 % coverage.
+
+Defined results: null and empty texts match nothing;
 null doc_ids are reported as null; repeated rows repeat their matches; a template that stands several
 times in a text is reported for each. Of two overlapping matches of one template the better is
 reported, the first on a tie. Extra columns are ignored.
@@ -23,7 +27,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Words, column, prepare, slices, windows
 
-GRAM, WINDOW, BAND, PERCENT, SHORT = 3, 2, 8, 80, 16
+BAND, PERCENT, SHORT, LONG, WINDOW = 8, 80, 16, 64, 2
 MAX_WORDS = 1_000_000
 
 # Public license notices, by SPDX-like names.
@@ -48,6 +51,9 @@ TEMPLATES = {
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MIT-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD-3-Clause-full": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "Zlib-full": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
 
@@ -72,32 +78,40 @@ def winnowed(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.arange(len(view)) + window - 1 - view[:, ::-1].argmin(1))
 
 
+def grams_for(size: int, need: int) -> tuple[int, int]:
+    """Words of a gram, and grams of a winnowing window, for a template of so many words of which ``need`` must match."""
+    for gram, window, least in ((3, WINDOW, LONG + 1), (2, 1, SHORT + 1)):
+        # the words that need not match cut the others into runs, the longest of which must hold a fingerprint
+        if size >= least and need > (gram + window - 2) * (size - need + 1):
+            return gram, window
+    return 1, 1
+
+
 class Index:
-    """Fingerprints of templates, sorted, with template and place of each; one part per gram size. Templates that
-    fingerprints could miss are listed in ``counted``."""
+    """Fingerprints of templates, sorted, with template and place of each; one part per gram size. ``by_place`` says whose
+    every word is a fingerprint."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, percent: int = PERCENT):
+    def __init__(self, templates: dict[str, str], percent: int = PERCENT):
         self.names = sorted(templates)
         self.words = [words_of(templates[n]) for n in self.names]
         if sum(map(len, self.words)) > MAX_WORDS:
             raise ValueError(f"templates of more than {MAX_WORDS} words; scan them in parts")
-        self.parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        found: dict[int, list[tuple[int, int, int]]] = {}
         self.need = [max(1, -(-percent * len(w) // 100)) for w in self.words]
-        self.counted: list[int] = []
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.by_place = np.zeros(len(self.words), bool)
+        found: dict[int, list[tuple[int, int, int]]] = {}
         for i, w in enumerate(self.words):
-            # the words that need not match cut the others into runs
-            if len(w) <= max(SHORT, gram) or self.need[i] <= (gram + WINDOW - 2) * (len(w) - self.need[i] + 1):
-                self.counted += [i] if w else []
-            else:
-                g = _grams(w, gram)
-                found.setdefault(gram, []).extend((int(g[p]), i, int(p)) for p in winnowed(g))
+            gram, window = grams_for(len(w), self.need[i])
+            self.by_place[i] = gram == 1
+            g = _grams(w, gram)
+            found.setdefault(gram, []).extend((int(g[p]), i, int(p)) for p in winnowed(g, window))
+        self.parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n, rows in found.items():
             rows.sort()
-            self.parts[n] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+            self.parts[n] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64))
 
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, template and diagonal of every fingerprint found."""
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, template, place in the text and diagonal of every fingerprint found."""
         h = words.hashes()
         out = []
         for n, (keys, template, place) in self.parts.items():
@@ -107,32 +121,46 @@ class Index:
             many = (hi - lo)[some]
             k = np.repeat(lo[some] - (np.cumsum(many) - many), many) + np.arange(many.sum())
             where = np.repeat(at[some], many)
-            doc = words.doc[where]
-            out.append((doc, template[k], where - words.start[doc] - place[k]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+            doc = words.doc[where].astype(np.int64)
+            own = where - words.start[doc]
+            out.append((doc, template[k], own, own - place[k]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
+
+    def places(self, words: Words) -> list[tuple[int, int, int, int | None, int, int]]:
+        """Candidates: text, template, begin and end in the text (None: as far as the diagonals go), and least and greatest diagonal."""
+        doc, template, place, diagonal = self.hits(words)
+        short = self.by_place[template] if len(template) else np.zeros(0, bool)
+        far = candidates(doc[~short], template[~short], diagonal[~short])
+        return [(d, t, 0, None, low - BAND, high + BAND) for d, t, low, high in far] + self.rows_of_hits(doc[short], template[short], place[short], diagonal[short])
 
-    def windows(self, words: Words) -> list[tuple[int, int, int, int]]:
-        """(text, template, begin, end) of the places in texts that hold enough words of a ``counted`` template."""
+    def rows_of_hits(self, doc: np.ndarray, template: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int | None, int, int]]:
+        """Candidates of templates whose every word is a fingerprint: spans of the text in which enough different places hit
+        within two words for each word of the template."""
+        if not len(doc):
+            return []
+        order = np.lexsort((place, template, doc))
+        doc, template, place, diagonal = doc[order], template[order], place[order], diagonal[order]
+        new = np.ones(len(doc), bool)  # a word that stands twice in a template hits twice at one place
+        new[1:] = (doc[1:] != doc[:-1]) | (template[1:] != template[:-1]) | (place[1:] != place[:-1])
+        at = np.flatnonzero(new)
+        d, t, p = doc[at], template[at], place[at]
+        last = np.arange(len(at)) + np.array(self.need)[t] - 1
+        inside = np.flatnonzero(last < len(at))
+        last = last[inside]
+        ok = (d[last] == d[inside]) & (t[last] == t[inside]) & (p[last] - p[inside] < 2 * self.size[t[inside]])
+        first, last = inside[ok], last[ok]
+        if not len(first):
+            return []
+        # spans that meet in a place are one candidate
+        cut = np.ones(len(first), bool)
+        cut[1:] = first[1:] > last[:-1]
+        begins = np.flatnonzero(cut)
+        least = np.minimum.reduceat(diagonal, at)
+        most = np.maximum.reduceat(diagonal, at)
         out = []
-        size = len(words.code)
-        for i in self.counted:
-            width = min(2 * len(self.words[i]), size)
-            held = np.zeros(size - width + 1, np.int32)  # in the window that begins here
-            for w, many in Counter(self.words[i]).items():
-                code = pc.index(words.distinct, pa.scalar(w, words.distinct.type)).as_py()
-                if code >= 0:
-                    upto = np.concatenate([[0], np.cumsum(words.code == code, dtype=np.int32)])
-                    held += np.minimum(upto[width:] - upto[: size - width + 1], many)
-            full = np.flatnonzero(held >= self.need[i]) if width else np.zeros(0, np.int64)
-            edge = np.zeros(size + 1, np.int64)
-            np.add.at(edge, full, 1)
-            np.add.at(edge, full + width, -1)
-            inside = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-            if len(inside):
-                cut = np.flatnonzero((np.diff(inside) > 1) | (np.diff(words.doc[inside]) > 0)) + 1
-                for run in np.split(inside, cut):
-                    d = int(words.doc[run[0]])
-                    out.append((d, i, int(run[0] - words.start[d]), int(run[-1] + 1 - words.start[d])))
+        for k, e in zip(begins.tolist(), np.append(begins[1:], len(first)).tolist(), strict=True):
+            a, b = int(first[k]), int(last[e - 1])
+            out.append((int(d[a]), int(t[a]), int(p[a]), int(p[b]) + 1, int(least[a : b + 1].min()), int(most[a : b + 1].max())))
         return out
 
 
@@ -206,9 +234,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, *, pe
             held: dict[int, list[str]] = {}
             spans: dict[int, list[tuple[int, int]]] = {}
             seen: dict[tuple[int, int], list[tuple]] = {}
-            places = [(d, t, 0, None, low - BAND, high + BAND) for d, t, low, high in candidates(*index.hits(words))]
-            places += [(d, t, begin, end, begin - len(index.words[t]), end) for d, t, begin, end in index.windows(words)]
-            for d, t, begin, end, low, high in sorted(places, key=lambda p: p[:2]):
+            for d, t, begin, end, low, high in sorted(index.places(words), key=lambda p: p[:2]):
                 if d not in held:
                     held.clear()
                     raw = text[d].as_py()
