@@ -101,6 +101,29 @@ class Transitions:
         return v
 
 
+#: Conversations of up to so many runs are solved once for each pattern; so many patterns are kept.
+KEPT_RUNS, KEPT_PATTERNS = 32, 20_000
+
+
+class Solver:
+    """``solved``, remembering the patterns of short conversations."""
+
+    def __init__(self) -> None:
+        self.table = Transitions()
+        self.known: dict[tuple, tuple[int, str]] = {}
+
+    def __call__(self, runs: list[list]) -> tuple[int, str]:
+        if len(runs) > KEPT_RUNS:
+            return solved(runs, self.table)
+        key = tuple([(s, k) for s, k in runs])
+        found = self.known.get(key)
+        if found is None:
+            found = solved(runs, self.table)
+            if len(self.known) < KEPT_PATTERNS:
+                self.known[key] = found
+        return found
+
+
 def solved(runs: list[list], table: Transitions) -> tuple[int, str]:
     """Least cost and audit of ``runs`` ([symbol, rows] each)."""
     after = [END]
@@ -219,21 +242,21 @@ class Conversation:
         else:
             self.runs.append([(initial, fault), n])
 
-    def row(self, table: Transitions) -> tuple:
+    def row(self, solve: Solver) -> tuple:
         gaps = 0 if self.least is None else self.turn - self.least + 1 - self.turns
-        return self.conv, gaps, self.count[BLANK], self.count[DUPLICATE], self.count[TRUNCATED], self.illegal, *solved(self.runs, table)
+        return self.conv, gaps, self.count[BLANK], self.count[DUPLICATE], self.count[TRUNCATED], self.illegal, *solve(self.runs)
 
 
 def audits(rows: DataFrame) -> DataFrame:
     """Counts, least cost and audit of each conversation of ``rows`` (as ``faults`` returns them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, now, out = Transitions(), None, []
+        solve, now, out = Solver(), None, []
         for b in batches:
             for conv, turn, initial, blank, cut, n, repeated in zip(*(column(b, c).to_pylist() for c in ("conv_id", "turn", "initial", "blank", "cut", "n", "repeated")), strict=True):
                 if now is None or conv != now.conv:
                     if now is not None:
-                        out.append(now.row(table))
+                        out.append(now.row(solve))
                     now = Conversation(conv)
                 if n:
                     now.add(turn, initial, BLANK if blank else DUPLICATE if repeated else TRUNCATED if cut else NONE, n if blank or repeated else 1)
@@ -243,7 +266,7 @@ def audits(rows: DataFrame) -> DataFrame:
                 yield records(out, _AUDIT)
                 out = []
         if now is not None:
-            out.append(now.row(table))
+            out.append(now.row(solve))
         if out:
             yield records(out, _AUDIT)
 
