@@ -12,9 +12,9 @@ Shards hold a bounded number of keys each (their number follows the keys); the l
 by shard and by a salt of the document, so that a very common line meets many copies of its filter.
 
 Defined results: a null or empty text is one empty line, which is never dropped (keys have
-``min_chars`` code points at least). Rows are documents: repeated rows count each. Rows that share a
-doc_id (null, too) share the look-up, which depends on the key alone. Extra columns are ignored by
-``line_dedup`` and kept by ``dropped``.
+``min_chars`` code points at least). Rows are documents: repeated rows count each. Lines are looked up for each (doc_id, hash of
+the text), so rows that share a doc_id, or have none, don't meet unless their texts are equal as well; two texts of one hash
+would share their common keys, which changes nothing. Extra columns are ignored by ``line_dedup`` and kept by ``dropped``.
 """
 
 from __future__ import annotations
@@ -51,16 +51,17 @@ def digest(line: bytes, min_chars: int) -> bytes | None:
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, k1, k2) for each distinct key of each row of ``docs``."""
+    """(doc_id, hash of the text, k1, k2) for each distinct key of each row of ``docs``."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             found = [{d for line in t.encode().split(b"\n") if (d := digest(line, min_chars))} if t else () for t in column(b, "text").to_pylist()]
             at = np.repeat(np.arange(len(found)), [len(x) for x in found])
             k = np.frombuffer(b"".join(b"".join(sorted(x)) for x in found), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(pa.array(at)), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["doc_id", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([*(column(b, c).take(pa.array(at)) for c in ("doc_id", "hash")), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["doc_id", "hash", "k1", "k2"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(keys, "doc_id long, k1 long, k2 long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash")).mapInArrow(keys, "doc_id long, hash long, k1 long, k2 long")
 
 
 def references(keys: DataFrame) -> DataFrame:
@@ -177,18 +178,18 @@ def passed(keys: DataFrame, made: DataFrame, shards: int, salts: int) -> DataFra
 
     def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return left[["doc_id", "k1", "k2"]]
+            return left[["doc_id", "hash", "k1", "k2"]]
         yes = Cuckoo.load(right["filter"].iloc[0]).contains(left["k1"].to_numpy(np.int64), left["k2"].to_numpy(np.int64))
-        return left.loc[yes, ["doc_id", "k1", "k2"]]
+        return left.loc[yes, ["doc_id", "hash", "k1", "k2"]]
 
     # the salt takes the key in as well, so that rows that share a doc_id don't all meet
-    asked = keys.withColumns({"shard": shard(shards), "salt": F.pmod(F.xxhash64("doc_id", "k2", F.lit("salt")), F.lit(salts)).cast("int")})
+    asked = keys.withColumns({"shard": shard(shards), "salt": F.pmod(F.xxhash64("doc_id", "hash", "k2", F.lit("salt")), F.lit(salts)).cast("int")})
     copies = made.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return asked.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInPandas(ask, "doc_id long, k1 long, k2 long")
+    return asked.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInPandas(ask, "doc_id long, hash long, k1 long, k2 long")
 
 
 def drops(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, common): the common keys that documents hold, as an array of 16-byte strings."""
+    """(doc_id, hash of the text, common): the common keys that documents hold."""
     keys = stage(line_keys(docs, min_chars), "line-keys")
     refs = stage(references(keys), "line-refs")
     common = refs.where(F.col("refs") >= min_docs).select("k1", "k2")
@@ -196,7 +197,7 @@ def drops(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS)
     salts = -(-keys.count() // (GROUP_LINES * shards)) or 1
     maybe = passed(keys, filters(common, shards), shards, salts)
     hits = maybe.join(common, ["k1", "k2"])  # the exact table decides
-    return hits.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("common")).select(F.col("doc_id").alias("_id"), "common")
+    return hits.groupBy("doc_id", "hash").agg(F.collect_set(F.struct("k1", "k2")).alias("common")).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "common")
 
 
 def _split(text: str | None, common: list | None, min_chars: int) -> tuple[int, int, bytes]:
@@ -214,7 +215,8 @@ def _with_drops(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     found = drops(docs.select("doc_id", "text"), min_docs, min_chars)
     # an empty struct column carries the common keys beside the columns of docs, whatever their names
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    return whole.join(found, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
+    same = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("_row.text").cast("string")) == F.col("_hash"))
+    return whole.join(found, same, "left")
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
