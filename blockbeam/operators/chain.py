@@ -63,8 +63,9 @@ def explode_outputs(blocks: DataFrame, drop_first_tx: bool = False, with_keys: b
 
 
 def list_transactions(blocks: DataFrame) -> DataFrame:
-    """JOB-7 listing: (time, txid) per transaction, time not floored."""
-    return explode_txs(blocks).select("time", "txid")
+    """JOB-7 listing: (time, txid) per transaction, time not floored; of nested blocks, or of a table that has a row per
+    transaction already."""
+    return (explode_txs(blocks) if "txs" in blocks.columns else blocks).select("time", "txid")
 
 
 # ------------------------------------------------------------------ flat operators

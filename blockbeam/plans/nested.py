@@ -10,7 +10,7 @@ base units (cents) and scripts are receiver strings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from . import standins as S
 
@@ -31,8 +31,19 @@ def fold_outputs(outs: DataFrame) -> DataFrame:
     return blocks.select("block_id", "time", "txs")
 
 
+def flat_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outputs of the nested stand-in's blocks, not folded; ``time`` is still each order's own."""
+    height = F.floor(F.col("txid") / F.lit(ORDERS_PER_BLOCK)).cast("long")
+    return S.outputs(spark, sf_dir).withColumn("block_id", height.cast("string"))
+
+
+def flat_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per transaction of those blocks (block_id, time of the block, txid), without folding them to arrays and
+    unfolding them again; a block's window holds ``ORDERS_PER_BLOCK`` transactions at most."""
+    txs = flat_outputs(spark, sf_dir).groupBy("block_id", "txid").agg(F.min("time").alias("time"))
+    return txs.select("block_id", F.min("time").over(W.partitionBy("block_id")).alias("time"), "txid")
+
+
 def nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested stand-in: block_id (the height as text), time, txs, nonce (the height)."""
-    height = F.floor(F.col("txid") / F.lit(ORDERS_PER_BLOCK)).cast("long")
-    outs = S.outputs(spark, sf_dir).withColumn("block_id", height.cast("string"))
-    return fold_outputs(outs).withColumn("nonce", F.col("block_id").cast("long"))
+    return fold_outputs(flat_outputs(spark, sf_dir)).withColumn("nonce", F.col("block_id").cast("long"))

@@ -9,7 +9,7 @@ from ..functions.scalars import epoch_seconds, floor_time
 from ..operators import chain, prices
 from . import standins as S
 from .catalog import query
-from .nested import nested_blocks
+from .nested import flat_transactions, nested_blocks
 from .sqlviews import ACTIVITY, BLOCKS, CANDLES, FIRSTS, NESTED_OUTS, OUTS, epoch, hours, with_
 
 # Column names of the block-activity table (fixed values: the reference's CSV header).
@@ -202,8 +202,8 @@ def q_block_features_nested(spark, sf):
 
 @query("job_tx_listing", with_(NESTED_OUTS) + "SELECT DISTINCT time, txid FROM outs")
 def q_job_tx_listing(spark, sf):
-    """JOB-7: (time, txid) per transaction from the nested rows."""
-    return chain.list_transactions(nested_blocks(spark, sf))
+    """JOB-7: (time, txid) per transaction of the nested stand-in's blocks."""
+    return chain.list_transactions(flat_transactions(spark, sf))
 
 
 @query("order_by_time", _BLK + """
