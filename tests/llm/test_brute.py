@@ -51,10 +51,35 @@ def test_quality_ratio_matches_counts(spark, docs, corpus):
         g = grams(t)
         score = sum(np.log(p(good, x) / p(raw, x)) for x in g) / len(g)
         assert rows[i, len(WORD.findall(t))].score == pytest.approx(score, abs=1e-9)
-    judged = [r for r in rows.values() if not r.base_failed]
-    base = [r.score for r in quality.quality(docs, trusted(spark)).collect() if r.doc_id in (1, 2, 3) and not r.base_failed]
-    limit = round(np.mean(base) - quality.DEVIATIONS * np.std(base), 9)
-    assert all(r.kept == (r.score >= limit) for r in judged) and not any(r.kept for r in rows.values() if r.base_failed)
+    # the threshold: the trusted documents' scores, each with its own n-grams left out, and none of them to be lost here
+    honest = []
+    for i, t, *_ in corpus:
+        if i in (1, 2, 3) and not rows[i, len(WORD.findall(t))].base_failed:
+            g = grams(t)
+            own = Counter(g)
+            rest = sum(good.values()) - len(g) + quality.BUCKETS
+            honest.append(sum(np.log((good[x] - own[x] + 1) / rest / p(raw, x)) for x in g) / len(g))
+    limit = np.floor(min(honest) * quality.STEPS) / quality.STEPS
+    assert all(r.kept == (r.score >= limit) for r in rows.values() if not r.base_failed) and not any(r.kept for r in rows.values() if r.base_failed)
+
+
+def test_quality_threshold_is_a_quantile(spark):
+    rows = spark.createDataFrame([(k / 1000 - 0.3,) for k in range(1000)] + [(5.0,)] * 1000, "honest double").repartition(5)
+    assert quality.threshold(rows, 0.005) == pytest.approx(0.01 - 0.3, abs=2e-4)
+    assert quality.threshold(rows, 0.0) == -0.3
+    assert quality.threshold(rows, 0.9) == 5.0
+    assert quality.threshold(rows.limit(0), 0.005) == float("-inf")
+
+
+def test_quality_tells_good_from_bad(spark):
+    """Shares kept by label, of those that pass the base rules; held-out: the trusted of one half judge the other half."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.where("quality = 1 and toxic = 0").select("doc_id")
+    got = quality.quality(docs, good.where("doc_id % 2 = 0")).where("not base_failed").join(labels, "doc_id")
+    share = {k: got.where(c).agg(F.avg(F.col("kept").cast("int"))).first()[0] for k, c in {"good": "quality = 1 and toxic = 0 and doc_id % 2 = 1", "bad": "quality = 0"}.items()}
+    assert share["good"] >= 0.98 and share["bad"] <= 0.05
 
 
 def test_language_profile_is_the_bundle_of_bound_letters():
