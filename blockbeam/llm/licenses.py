@@ -13,9 +13,10 @@ Grams get shorter with the template (``grams_for``):
 * up to ``SHORT`` words, and where runs of other lengths might hold no fingerprint, every word is one. Hits are chained by
   place: an alignment that covers enough spans less than two words of the text for each word of its
   template, and each word it matches is a hit, so it lies in a row of hits that are enough and close enough. No match is lost.
-* longer templates have 2-word grams, or beyond ``LONG`` words 3-word grams in windows of ``WINDOW``. Hits are chained by diagonal.
-  Edits that leave one run of the template's words as long as a window's grams leave a hit; the tests measure how
-  much is found at 80 % coverage.
+* longer templates have 2-word grams, or beyond ``LONG`` words 3-word grams in windows of ``WINDOW``. Hits are chained by diagonal, and
+  a candidate needs some different fingerprints of the template (``least_hits``): one ``SHARE``-th of those that must be left (q-gram
+  lemma) when as many words are lost or replaced as the coverage allows. So words put in between may break the
+  others; the tests measure how much is found at 80 % coverage.
 
 Defined results: null and empty texts match nothing;
 null doc_ids are reported as null; repeated rows repeat their matches; a template that stands several
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Words, column, prepare, slices, windows
 
-BAND, PERCENT, SHORT, LONG, WINDOW = 8, 80, 16, 64, 2
+BAND, PERCENT, SHORT, LONG, WINDOW, SHARE = 8, 80, 16, 64, 2, 4
 MAX_WORDS = 1_000_000
 
 # Public license notices, by SPDX-like names.
@@ -87,6 +88,12 @@ def grams_for(size: int, need: int) -> tuple[int, int]:
     return 1, 1
 
 
+def least_hits(size: int, need: int, gram: int, window: int) -> int:
+    """Different fingerprints that a candidate for such a template must hold."""
+    left = size - gram + 1 - gram * (size - need)
+    return max(1, left // (window * SHARE))
+
+
 class Index:
     """Fingerprints of templates, sorted, with template and place of each; one part per gram size. ``by_place`` says whose
     every word is a fingerprint."""
@@ -99,9 +106,11 @@ class Index:
         self.need = [max(1, -(-percent * len(w) // 100)) for w in self.words]
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.by_place = np.zeros(len(self.words), bool)
+        self.least = np.ones(len(self.words), np.int64)
         found: dict[int, list[tuple[int, int, int]]] = {}
         for i, w in enumerate(self.words):
             gram, window = grams_for(len(w), self.need[i])
+            self.least[i] = least_hits(len(w), self.need[i], gram, window)
             self.by_place[i] = gram == 1
             g = _grams(w, gram)
             found.setdefault(gram, []).extend((int(g[p]), i, int(p)) for p in winnowed(g, window))
@@ -130,7 +139,7 @@ class Index:
         """Candidates: text, template, begin and end in the text (None: as far as the diagonals go), and least and greatest diagonal."""
         doc, template, place, diagonal = self.hits(words)
         short = self.by_place[template] if len(template) else np.zeros(0, bool)
-        far = candidates(doc[~short], template[~short], diagonal[~short])
+        far = candidates(doc[~short], template[~short], diagonal[~short], place[~short] - diagonal[~short], self.least)
         return [(d, t, 0, None, low - BAND, high + BAND) for d, t, low, high in far] + self.rows_of_hits(doc[short], template[short], place[short], diagonal[short])
 
     def rows_of_hits(self, doc: np.ndarray, template: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int, int | None, int, int]]:
@@ -164,16 +173,21 @@ class Index:
         return out
 
 
-def candidates(doc: np.ndarray, template: np.ndarray, diagonal: np.ndarray, band: int = BAND) -> list[tuple[int, int, int, int]]:
-    """(text, template, least and greatest diagonal) of hits whose diagonals follow within ``band``."""
+def candidates(doc: np.ndarray, template: np.ndarray, diagonal: np.ndarray, place: np.ndarray, least: np.ndarray, band: int = BAND) -> list[tuple[int, int, int, int]]:
+    """(text, template, least and greatest diagonal) of hits whose diagonals follow within ``band``, if they are hits of
+    ``least`` different places of the template or more."""
     order = np.lexsort((diagonal, template, doc))
-    doc, template, diagonal = doc[order], template[order], diagonal[order]
+    doc, template, diagonal, place = doc[order], template[order], diagonal[order], place[order]
     if not len(doc):
         return []
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (template[1:] != template[:-1]) | (diagonal[1:] - diagonal[:-1] > band)
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(doc)) - 1
+    chain = np.cumsum(new) - 1
+    held = np.bincount(np.unique(chain * (place.max() + 1) + place) // (place.max() + 1), minlength=len(at))
+    full = held >= least[template[at]]
+    at, last = at[full], last[full]
     return list(zip(doc[at].tolist(), template[at].tolist(), diagonal[at].tolist(), diagonal[last].tolist(), strict=True))
 
 
