@@ -150,7 +150,8 @@ def _frames(df: DataFrame, u: str, frame: int, values: dict[str, Column], lasts:
     Rows are dealt by range of time into tiles, in one exchange. A row whose frame ends beyond its tile sends on
     one narrow row, an *end*, to the tile where its frame ends; every other row makes its end in its own tile.
     A tile is sorted once, rows and ends together, and running sums go over it; a row then finds its own end
-    in the tile, or else joins it by id. ``values`` may use ``_r``, a row's place in its tile (from 1).
+    in the tile, or else joins it by id. Ids number the rows of the input's partitions: stage an input that might not come in
+    the same order twice. ``values`` may use ``_r``, a row's place in its tile (from 1).
 
     Returns (rows with their end in the tile, rows with their end elsewhere). Rows have ``_r``, ``_S_<k>``, the sums before the
     row in its tile, ``_E_<k>``, those up to the frame's end in the end's tile (``n`` counts rows), and ``_E_<c>``, the latest value
