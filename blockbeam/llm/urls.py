@@ -158,8 +158,9 @@ class UrlFilter:
         some = rows
         if total["n"] > max_labelled:
             some = rows.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 31)) < int((1 << 31) * max_labelled / total["n"]))
+        # the sample alone goes to one partition; a coalesce would take the scan along
         told = cls.with_statistics(some, counts, share, F.col("fold")).select("url", F.col("block").cast("double").alias("label"), *FEATURES)
-        train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(told).coalesce(1).sortWithinPartitions("url", "label").select("features", "label")
+        train = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(told).repartition(1).sortWithinPartitions("url", "label").select("features", "label")
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, minInstancesPerNode=LEAF, seed=11, cacheNodeIds=False)
         return cls(share, counts, trees.fit(train))
 
