@@ -6,7 +6,9 @@ pieces are dealt by a hash into blocks of about ``BLOCK`` pieces, and each block
 bound: take the largest piece left, enumerate the undominated fillings of the room beside it, try them
 by least waste, and give up a branch when its waste exceeds what a better solution than the incumbent
 could have. The first incumbent is best-fit decreasing; the search ends when the incumbent meets the
-lower bound (all ids / sequence length) or after ``NODES`` fillings, a bound on time only: every piece is always placed.
+lower bound (all ids / sequence length) or after ``NODES`` fillings. The enumeration of a bin's fillings is bounded as well: ``STEPS``
+steps, the ``WIDTH`` largest sizes that fit at each, and the ``WIDTH`` best fillings found; pieces of under about 20 ids need
+more steps than that for one filling, so best-fit decides there. These are bounds on time only: every piece is always placed.
 
 Ids come from a tokenizer file. Words are encoded once per batch and kept in a bounded cache of the
 worker: the tokenizer drops white space, so the ids of a text are those of its words.
