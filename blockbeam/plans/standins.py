@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalars import epoch_seconds, seconds_to_ntz
+from ..session import stored_bytes
 
 GRAIN = 86400
 HOUR = 2 * 86400
@@ -37,6 +38,7 @@ TRAIN_BLOCKS_V2 = 2000
 VALID_BLOCKS = 500
 SUBSIDY = 6.25
 
+LEDGER_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -45,6 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Stored bytes of the tables that the ledger's views are made of."""
+    return stored_bytes(spark, [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in LEDGER_TABLES])
+
+
 def outputs(spark: SparkSession, sf_dir: str, receiver: str = "l_partkey") -> DataFrame:
     """Flat outputs: block_id, time, txid, tx_pos, out_pos, amount, receiver."""
     o = table(spark, sf_dir, "orders").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,10 @@ CORE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# What a task of the ledger queries takes on at most: bytes of a table as stored, and bytes of a shuffle. An output
+# takes some 20 bytes of a shuffle, and 100 to 150 in each sort, window buffer or hash aggregate of a task.
+SCAN_BYTES, SHUFFLE_BYTES = 16 << 20, 8 << 20
+
 
 def build_session(master: str | None = None, app: str = "blockbeam",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -73,6 +78,31 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def stored_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes of the files at or below ``paths``; paths that aren't there count nothing."""
+    total = 0
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
+def apply_task_sizes(spark: SparkSession, input_bytes: int) -> None:
+    """Keep the size of a task, and so its memory, the same whatever the size of the input: more input makes more tasks.
+
+    Scans are split, and adaptive execution merges shuffle partitions, up to ``SCAN_BYTES`` and ``SHUFFLE_BYTES`` (a session's
+    own smaller sizes stay). Merging needs partitions that are small to begin with, so their number follows
+    the input: two for each ``SHUFFLE_BYTES`` of it, and at least the session's shuffle partitions."""
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most, default in (("spark.sql.files.maxPartitionBytes", SCAN_BYTES, "128m"),
+                               ("spark.sql.adaptive.advisoryPartitionSizeInBytes", SHUFFLE_BYTES, "64m")):
+        spark.conf.set(key, str(min(most, int(to_bytes(spark.conf.get(key, default))))))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-2 * input_bytes // SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``blockbeam`` importable on the Python workers (the UDF and mapInArrow
     steps reference its functions): zip the package once per SparkContext and add it
