@@ -55,9 +55,10 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            found = [{d for line in t.encode().split(b"\n") if (d := digest(line, min_chars))} if t else () for t in column(b, "text").to_pylist()]
-            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
-            k = np.frombuffer(b"".join(b"".join(sorted(x)) for x in found), np.int64).reshape(-1, 2)
+            # each text's set of digests goes as soon as it is joined: only 16 bytes a key are held
+            found = [b"".join(sorted({d for line in t.encode().split(b"\n") if (d := digest(line, min_chars))})) if t else b"" for t in column(b, "text").to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(x) // 16 for x in found])
+            k = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([*(column(b, c).take(pa.array(at)) for c in ("doc_id", "hash")), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["doc_id", "hash", "k1", "k2"])
 
     text = F.col("text").cast("string")
@@ -200,13 +201,22 @@ def drops(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS)
     return hits.groupBy("doc_id", "hash").agg(F.collect_set(F.struct("k1", "k2")).alias("common")).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "common")
 
 
-def _split(text: str | None, common: list | None, min_chars: int) -> tuple[int, int, bytes]:
-    """Lines, lines dropped, and the text that stays."""
+def _commons(found: pa.ListArray) -> Iterator[set[bytes]]:
+    """The common keys of each row of a column of them (k1, k2), one row's at a time: a batch of copies of a
+    long text repeats all its keys in every row, which as Python objects would take twenty times the batch."""
+    inner, ends = found.values, found.offsets.to_numpy()
+    keys = np.column_stack([inner.field(0).to_numpy(zero_copy_only=False), inner.field(1).to_numpy(zero_copy_only=False)]).astype(np.int64, copy=False) if len(inner) else np.zeros((0, 2), np.int64)
+    for a, b, there in zip(ends[:-1], ends[1:], found.is_valid().to_numpy(zero_copy_only=False), strict=True):
+        row = keys[a:b].tobytes() if there else b""
+        yield {row[i : i + 16] for i in range(0, len(row), 16)}
+
+
+def _split(text: str | None, gone: set[bytes], min_chars: int) -> tuple[int, int, bytes]:
+    """Lines, lines dropped, and the text that stays, without the lines of the keys ``gone``."""
     data = (text or "").encode()
+    if not gone:
+        return data.count(b"\n") + 1, 0, data
     lines = data.split(b"\n")
-    if not common:
-        return len(lines), 0, data
-    gone = {np.array([c["k1"], c["k2"]], np.int64).tobytes() for c in common}
     kept = [x for x in lines if digest(x, min_chars) not in gone]
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
@@ -227,8 +237,11 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            out = [_split(t, c, min_chars) for t, c in zip(column(b, "text").to_pylist(), column(b, "common").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([hashlib.sha256(x[2]).hexdigest() for x in out], pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
+            out = []
+            for t, gone in zip(column(b, "text").to_pylist(), _commons(column(b, "common")), strict=True):
+                n, less, kept = _split(t, gone, min_chars)
+                out.append((n, less, hashlib.sha256(kept).hexdigest()))
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
     return joined.mapInArrow(cut, RESULT)
 
@@ -242,7 +255,7 @@ def dropped(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHAR
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             texts = column(b, "text").to_pylist()
-            out = [t if not c else _split(t, c, min_chars)[2].decode() for t, c in zip(texts, column(b, "common").to_pylist(), strict=True)]
+            out = [t if not gone else _split(t, gone, min_chars)[2].decode() for t, gone in zip(texts, _commons(column(b, "common")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), column(b, "_row")], names=["_text", "_row"])
 
     cut_ = joined.mapInArrow(cut, kind)
