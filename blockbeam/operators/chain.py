@@ -31,6 +31,9 @@ FANOUT_MIN_OUTPUTS = 10
 HIGH_VALUE_AMOUNT = 10
 MINUTE = 60
 
+#: Blocks whose coinbases (one narrow row each) are broadcast as they are by the jobs; more of them go by a bitmap.
+FEW_BLOCKS = 100_000
+
 
 # ------------------------------------------------------------------ nested -> flat
 
@@ -70,21 +73,25 @@ def list_transactions(blocks: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ flat operators
 
-def drop_first_tx(outs: DataFrame, positional: bool = False) -> DataFrame:
+def drop_first_tx(outs: DataFrame, positional: bool = False, few_blocks: int = 0) -> DataFrame:
     """PRJ-4: remove the outputs of each block's first (coinbase) transaction.
 
     ``positional``: ``tx_pos`` is a 0-based position, so a filter suffices.
     Otherwise the first order key per block is aggregated (one row per block, partial
     aggregation) and staged. A bitmap of these (block, transaction) pairs tells nearly all other outputs apart in
     the scan; they go straight through, and only those that may be a coinbase's are joined with the blocks. So the
-    outputs aren't shuffled, and a block that holds a large share of them is no skewed key.
+    outputs aren't shuffled, and a block that holds a large share of them is no skewed key. That reads the outputs twice;
+    up to ``few_blocks`` blocks are broadcast instead, and one pass drops their coinbases.
     """
     if positional:
         return outs.filter(F.col("tx_pos") > 0)
     known = outs.filter(F.col("block_id").isNotNull() & F.col("tx_pos").isNotNull())
     first = known.groupBy("block_id").agg(F.min("tx_pos").alias("tx_pos"))
     first = staged(first.select("block_id", "tx_pos", F.xxhash64("block_id", "tx_pos").alias("_tx")), "coinbases")
-    told = maybe_member(known.withColumn("_tx", F.xxhash64("block_id", "tx_pos")), "_tx", first, first.count(), keep="_maybe")
+    n_blocks = first.count()
+    if n_blocks <= few_blocks:
+        return known.join(F.broadcast(first.select("block_id", "tx_pos")), ["block_id", "tx_pos"], "left_anti").select(outs.columns)
+    told = maybe_member(known.withColumn("_tx", F.xxhash64("block_id", "tx_pos")), "_tx", first, n_blocks, keep="_maybe")
     straight = told.filter(~F.col("_maybe")).select(outs.columns)
     rest = told.filter("_maybe").select(outs.columns).join(first.select("block_id", "tx_pos"), ["block_id", "tx_pos"], "left_anti")
     return straight.unionByName(rest)

@@ -20,7 +20,7 @@ def receiver_raw(outs: DataFrame, candles: DataFrame, *, grain: int, cut_index:
                  missing: str = "error", drop_coinbase: bool = True, fewer: str = "error") -> DataFrame:
     """JOB-2: coinbase dropped (quirk Q12, a parameter), Σ per (bucket, receiver), close
     at the bucket, and a train/test label cut at the (cut_index+1)-th distinct bucket."""
-    kept = chain.drop_first_tx(outs) if drop_coinbase else outs
+    kept = chain.drop_first_tx(outs, few_blocks=chain.FEW_BLOCKS) if drop_coinbase else outs
     # the activity table is the stage boundary (the reference writes it out): staged
     # once, it feeds both the cut subquery and the price lookup
     act = staged(R.receiver_activity(kept, grain), "activity")
